@@ -10,18 +10,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.storagelevel import StorageLevel
+
+from userflow.operators import sampling
 from userflow.operators.evaluate import metrics, tag_sets
 from userflow.plans import modeling
-from userflow.plans.registry import LABEL, _rebalanced, _split
-from userflow.session import shared_path
+from userflow.plans.registry import LABEL, REBALANCE_SEED, SPLIT_RATIO, SPLIT_SEED, _ft
+from userflow.session import shared_dir, shared_path
 
 _FITTED: dict = {}
+_SETS: dict = {}
 
 
 def _sets(spark: SparkSession, sf: str):
-    train, test = _split(spark, sf)
-    rebalanced = _rebalanced(spark, sf)
-    return train, test, rebalanced
+    """(train, test, rebalanced) from a feature table written once to the
+    shared checkpoint folder: model fitting makes many passes, and none of
+    them recomputes the feature plan or depends on a lost executor's blocks."""
+    key = (id(spark), sf)
+    if key not in _SETS:
+        shared_dir(spark)
+        ft = _ft(spark, sf).checkpoint(eager=True)
+        train, test = sampling.split_by_key(ft, SPLIT_RATIO, SPLIT_SEED, key="user")
+        rebalanced = sampling.rebalance(train, LABEL, REBALANCE_SEED, key="userId")
+        _SETS[key] = (train, test, rebalanced.persist(StorageLevel.MEMORY_AND_DISK))
+    return _SETS[key]
 
 
 def _fitted(spark: SparkSession, sf: str, kind: str = "gbt", **params):
