@@ -1,91 +1,131 @@
 """Column expressions used across the operators.
 
 All are built-in Catalyst expressions, so they stay inside whole-stage codegen
-and never leave the JVM.
+and never leave the JVM.  They are written as SQL expression text (``*_sql``
+helpers compose text, the plain helpers wrap it with ``F.expr``): one parse
+in the JVM instead of a round trip per nested function call.  Arguments are
+column names or SQL expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from userflow.sources.schema import DAY_MS
 
-def col_(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+def q(s: str) -> str:
+    """SQL string literal."""
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def epoch_ms(ts: str | Column) -> Column:
-    """Epoch milliseconds (floor) of a timestamp without time zone.
 
-    Built from the calendar fields, so the session time zone plays no part.
+def e(sql: str, alias: str | None = None) -> Column:
+    c = F.expr(sql)
+    return c.alias(alias) if alias else c
+
+
+def epoch_ms(ts: str, session_tz: str = "UTC") -> Column:
+    """Epoch milliseconds (floor) of a ``timestamp_ntz`` column read as UTC wall time.
+
+    ``cast(ntz as timestamp)`` reads the wall time in the session zone; under
+    another zone the value is first moved from UTC to that zone, so the
+    result never depends on the session setting.  Plain arithmetic, cheap
+    enough to be repeated where the optimizer inlines it into filters.
     """
-    t = col_(ts).cast("timestamp_ntz")
-    day = F.unix_date(t.cast("date")).cast("long")
-    sec_of_day = F.hour(t).cast("long") * 3600 + F.minute(t).cast("long") * 60
-    millis = F.floor(F.date_part(F.lit("SECOND"), t) * F.lit(1000)).cast("long")
-    return day * F.lit(DAY_MS) + sec_of_day * F.lit(1000) + millis
+    src = ts if session_tz == "UTC" else f"convert_timezone('UTC', {q(session_tz)}, {ts})"
+    return e(floor_div_sql(f"unix_micros(cast({src} as timestamp))", 1000))
 
 
-def floor_div(a: Column, d: int) -> Column:
+def floor_div_sql(a: str, d: int) -> str:
     """Exact integer floor division by a positive constant."""
-    return ((a - F.pmod(a, F.lit(d))) / F.lit(d)).cast("long")
+    return f"((({a}) - pmod({a}, {int(d)})) div {int(d)})"
+
+
+def ceil_div_sql(a: str, d: int) -> str:
+    return f"(-{floor_div_sql(f'-({a})', d)})"
 
 
-def ceil_div(a: Column, d: int) -> Column:
-    return -floor_div(-a, d)
+def floor_div(a: str, d: int) -> Column:
+    return e(floor_div_sql(a, d))
 
 
-def page_flag(page: str | Column, name: str) -> Column:
+def page_flag_sql(page: str, name: str) -> str:
     """1 when the page equals ``name``, else 0 (null page -> 0)."""
-    return F.when(col_(page) == F.lit(name), F.lit(1)).otherwise(F.lit(0))
+    return f"CASE WHEN {page} = {q(name)} THEN 1 ELSE 0 END"
 
 
-def yes_no(page: str | Column, name: str) -> Column:
-    return F.when(col_(page) == F.lit(name), F.lit("Yes")).otherwise(F.lit("No"))
+def page_flag(page: str, name: str) -> Column:
+    return e(page_flag_sql(page, name))
 
 
-def tenure_days(registration: str | Column, cutoff_ms: int | Column) -> Column:
+def yes_no_sql(page: str, name: str) -> str:
+    return f"CASE WHEN {page} = {q(name)} THEN 'Yes' ELSE 'No' END"
+
+
+def yes_no(page: str, name: str) -> Column:
+    return e(yes_no_sql(page, name))
+
+
+def tenure_days_sql(registration: str, cutoff_ms: str | int) -> str:
     """Days from registration to the cutoff; null registration -> 0.0."""
-    cut = cutoff_ms if isinstance(cutoff_ms, Column) else F.lit(int(cutoff_ms))
-    return F.coalesce((cut - col_(registration)) / F.lit(float(DAY_MS)), F.lit(0.0))
+    return f"coalesce(({cutoff_ms} - {registration}) / {float(DAY_MS)}D, 0.0D)"
+
 
+def tenure_days(registration: str, cutoff_ms: str | int) -> Column:
+    return e(tenure_days_sql(registration, cutoff_ms))
 
-def length_filled(length: str | Column) -> Column:
-    return F.coalesce(col_(length), F.lit(0.0))
 
+def length_filled(length: str) -> Column:
+    return e(f"coalesce({length}, 0.0D)")
 
-def exact_length(length: str | Column) -> Column:
+
+def exact_length_sql(length: str) -> str:
     """Length as a fixed-point decimal, so sums do not depend on row order."""
-    return length_filled(length).cast("decimal(18,6)")
+    return f"cast(coalesce({length}, 0.0D) as decimal(18,6))"
+
+
+def paid_flag_sql(level: str) -> str:
+    return f"CASE WHEN {level} = 'paid' THEN 1 ELSE 0 END"
+
+
+def female_flag_sql(gender: str) -> str:
+    return f"CASE WHEN {gender} = 'F' THEN 1 ELSE 0 END"
 
 
-def paid_flag(level: str | Column) -> Column:
-    return F.when(col_(level) == F.lit("paid"), F.lit(1)).otherwise(F.lit(0))
+def paid_flag(level: str) -> Column:
+    return e(paid_flag_sql(level))
 
 
-def female_flag(gender: str | Column) -> Column:
-    return F.when(col_(gender) == F.lit("F"), F.lit(1)).otherwise(F.lit(0))
+def female_flag(gender: str) -> Column:
+    return e(female_flag_sql(gender))
 
 
-def day_bucket(ts_ms: str | Column) -> Column:
+def day_bucket(ts_ms: str) -> Column:
     """Epoch seconds of the UTC midnight starting the day of ``ts_ms``."""
-    return floor_div(col_(ts_ms), DAY_MS) * F.lit(86400)
+    return e(f"{floor_div_sql(ts_ms, DAY_MS)} * 86400")
 
 
-def offset_id(user: str | Column, offset: str | Column) -> Column:
+def offset_id_sql(user: str, offset: str) -> str:
     """``<user>_x<offset>``; null user stays null."""
-    return F.concat(col_(user), F.lit("_x"), col_(offset).cast("string"))
+    return f"concat({user}, '_x', cast({offset} as string))"
+
+
+def offset_id(user: str, offset: str) -> Column:
+    return e(offset_id_sql(user, offset))
+
+
+def hash_unit_sql(key: str, seed: int) -> str:
+    return f"cast(conv(substring(md5(concat(cast({key} as string), '|{int(seed)}')), 1, 8), 16, 10) as bigint)"
 
 
-def hash_unit(key: str | Column, seed: int) -> Column:
+def hash_unit(key: str, seed: int) -> Column:
     """Deterministic 32-bit bucket in [0, 2^32) of ``key`` and ``seed`` from md5.
 
     The same number is produced by SQL engines with md5 and hex parsing, which
     makes splits reproducible outside Spark and independent of partitioning.
     """
-    digest = F.md5(F.concat(col_(key).cast("string"), F.lit(f"|{int(seed)}")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return e(hash_unit_sql(key, seed))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
@@ -93,12 +133,9 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
 
 
-def round_doubles(df, digits: int = 6):
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column; used where results are compared by value."""
-    out = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+    return df.select(*[
+        e(f"round(`{name}`, {digits})", name) if t in ("double", "float") else F.col(f"`{name}`")
+        for name, t in df.dtypes
+    ])

@@ -27,7 +27,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]
 def daily_counts(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Rows per UTC day; ``day`` = epoch seconds of midnight."""
     return (
-        df.select(day_bucket(F.col(ts)).alias("day"))
+        df.select(day_bucket(ts).alias("day"))
         .groupBy("day")
         .agg(F.count("day").alias("n_logs"))
         .orderBy("day")
@@ -38,7 +38,7 @@ def daily_lifecycle(df: DataFrame, pages: dict[str, str], ts: str = "ts", page:
     """Churn, downgrade and upgrade events per UTC day, in one pass."""
     lp = label_pages(pages)
     return (
-        df.select(day_bucket(F.col(ts)).alias("day"), F.col(page).alias("_p"))
+        df.select(day_bucket(ts).alias("day"), F.col(page).alias("_p"))
         .groupBy("day")
         .agg(*[F.count_if(F.col("_p") == F.lit(lp[n])).alias(f"n_{n}") for n in ("churn", "downgrade", "upgrade")])
         .orderBy("day")

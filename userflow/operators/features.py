@@ -23,23 +23,28 @@ Two forms with equal results:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from userflow.functions.columns import (
-    ceil_div,
-    exact_length,
-    female_flag,
-    floor_div,
-    offset_id,
-    page_flag,
-    paid_flag,
-    tenure_days,
+    ceil_div_sql,
+    e,
+    exact_length_sql,
+    female_flag_sql,
+    floor_div_sql,
+    offset_id_sql,
+    page_flag_sql,
+    paid_flag_sql,
+    q,
+    tenure_days_sql,
 )
 from userflow.operators.clean import drop_anonymous
 from userflow.operators.windows import CutoffPlan, expand_offsets, time_slice
 from userflow.sources.schema import (
     DAY_MS,
+    EVENT_COLUMNS,
     LABEL_CODES,
     LABELS,
     PAGE_CODES,
@@ -61,10 +66,10 @@ def windowed_rows(df: DataFrame, plan: CutoffPlan) -> DataFrame:
 def behaviour(train: DataFrame, pages: dict[str, str]) -> DataFrame:
     """Per (user, offset): 21 page counts, total length, tenure in days."""
     return train.groupBy(*KEY).agg(
-        F.max("cutoff_ms").alias("cutoff_ms"),
-        *[F.count_if(F.col("page") == F.lit(pages[code])).alias(count_column(code)) for code, _ in PAGE_CODES],
-        F.sum(exact_length("length")).cast("double").alias("total_length"),
-        F.max(tenure_days("registration", F.col("cutoff_ms"))).alias("tenure_days"),
+        e("max(cutoff_ms)", "cutoff_ms"),
+        *[e(f"count_if(page = {q(pages[code])})", count_column(code)) for code, _ in PAGE_CODES],
+        e(f"cast(sum({exact_length_sql('length')}) as double)", "total_length"),
+        e(f"max({tenure_days_sql('registration', 'cutoff_ms')})", "tenure_days"),
     )
 
 
@@ -96,7 +101,7 @@ def last_state(train: DataFrame, ties: str = "one") -> DataFrame:
     for k in KEY:
         cond = cond & (train[k] == last[f"_{k}"])
     rows = train.join(last, cond, "left_semi").select(
-        *KEY, paid_flag("level").alias("last_paid"), female_flag("gender").alias("last_female")
+        *KEY, e(paid_flag_sql("level"), "last_paid"), e(female_flag_sql("gender"), "last_female")
     )
     if ties == "all":
         return rows
@@ -108,21 +113,20 @@ def last_state(train: DataFrame, ties: str = "one") -> DataFrame:
 def lifecycle_labels(ahead: DataFrame, pages: dict[str, str]) -> DataFrame:
     """Per (user, offset) seen in the look-ahead window: 1 if the label event occurs."""
     return ahead.groupBy(*KEY).agg(
-        *[F.max(page_flag("page", pages[code])).alias(name) for name, code in LABEL_CODES]
+        *[e(f"max({page_flag_sql('page', pages[code])})", name) for name, code in LABEL_CODES]
     )
 
 
 def _finish(df: DataFrame) -> DataFrame:
     """Offset-tagged id, fixed column order, numeric nulls -> 0."""
-    numeric = FEATURES + LABELS
-    out = df.fillna(0, subset=numeric)
+    out = df.fillna(0, subset=FEATURES + LABELS)
     return out.select(
-        offset_id(F.col("userId"), F.col("offset_idx")).alias("userId"),
-        F.col("userId").alias("base_user"),
+        e(offset_id_sql("userId", "offset_idx"), "userId"),
+        e("userId", "base_user"),
         "offset_idx",
         "cutoff_ms",
         *FEATURES,
-        *[F.col(c).cast("int").alias(c) for c in LABELS],
+        *[e(f"cast({c} as int)", c) for c in LABELS],
     )
 
 
@@ -148,9 +152,13 @@ def feature_table_literal(df: DataFrame, plan: CutoffPlan, pages: dict[str, str]
 
 # --- production form ---------------------------------------------------------
 
-def _slot(plan: CutoffPlan) -> F.Column:
+def _slot_sql(plan: CutoffPlan) -> str:
     """Day index relative to the first cutoff: day d covers [C + d*DAY, C + (d+1)*DAY)."""
-    return floor_div(F.col("ts") - F.lit(plan.cutoff_ms), DAY_MS)
+    return floor_div_sql(f"ts - {plan.cutoff_ms}L", DAY_MS)
+
+
+def _cutoff_sql(plan: CutoffPlan) -> str:
+    return f"({plan.cutoff_ms}L - {plan.step_ms}L * offset_idx)"
 
 
 def _fan_out(df: DataFrame, plan: CutoffPlan, with_labels: bool) -> DataFrame:
@@ -160,97 +168,111 @@ def _fan_out(df: DataFrame, plan: CutoffPlan, with_labels: bool) -> DataFrame:
     -(i*I + b) <= d <= -(i*I) - 1 and in its look-ahead window when
     -(i*I) <= d <= -(i*I) + l - 1 (I interval, b look-back, l look-ahead days).
     """
-    d = F.col("slot")
     step, b, l = plan.interval_days, plan.look_back_days, plan.look_ahead_days
     last = (l - 1) if with_labels else -1
-    lo = F.greatest(F.lit(0).cast("long"), ceil_div(-d - F.lit(b), step))
-    hi = F.least(F.lit(plan.n_extra).cast("long"), floor_div(F.lit(last) - d, step))
+    lo = f"greatest(0L, {ceil_div_sql(f'-slot - {b}L', step)})"
+    hi = f"least({plan.n_extra}L, {floor_div_sql(f'{last}L - slot', step)})"
     return (
-        df.withColumn("_lo", lo)
-        .withColumn("_hi", hi)
-        .where(F.col("_lo") <= F.col("_hi"))
-        .withColumn("offset_idx", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
-        .withColumn("in_train", d <= -F.col("offset_idx") * F.lit(step) - F.lit(1))
-        .drop("_lo", "_hi")
+        df.where(e(f"{lo} <= {hi}"))
+        .select("*", e(f"explode(sequence({lo}, {hi}))", "offset_idx"))
+        .select("*", e(f"slot <= -offset_idx * {step}L - 1L", "in_train"))
     )
 
 
 def _day_partials(log: DataFrame, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
-    """Branch A, step 1: one row per (user, day) with every mergeable partial."""
-    return log.groupBy("userId", _slot(plan).alias("slot")).agg(
-        *[F.count_if(F.col("page") == F.lit(pages[code])).alias(count_column(code)) for code, _ in PAGE_CODES],
-        F.sum(exact_length("length")).alias("_len"),
-        F.min("registration").alias("_reg_min"),
-        F.max(F.col("registration").isNull().cast("int")).alias("_reg_null"),
-        F.max(F.struct(F.col("ts"), paid_flag("level").alias("v"))).alias("_paid"),
-        F.max(F.struct(F.col("ts"), female_flag("gender").alias("v"))).alias("_fem"),
-        *[F.max(page_flag("page", pages[code])).alias(f"_lab_{name}") for name, code in LABEL_CODES],
-    )
-
+    """Branch A, step 1: one row per (user, day) with every mergeable partial.
 
-def _offset_features(days: DataFrame, plan: CutoffPlan) -> DataFrame:
-    """Branch A, step 2: day partials summed into (user, offset) features and labels."""
-    fanned = _fan_out(days, plan, with_labels=True)
-    tr = F.col("in_train")
-    cutoff = F.lit(plan.cutoff_ms) - F.lit(plan.step_ms) * F.col("offset_idx")
-    day_tenure = F.greatest(
-        (cutoff - F.col("_reg_min")) / F.lit(float(DAY_MS)),
-        F.when(F.col("_reg_null") == 1, F.lit(0.0)),
-    )
-    agg = fanned.groupBy(*KEY).agg(
-        F.max(tr.cast("int")).alias("_has_train"),
-        *[F.sum(F.when(tr, F.col(count_column(code)))).alias(count_column(code)) for code, _ in PAGE_CODES],
-        F.sum(F.when(tr, F.col("_len"))).cast("double").alias("total_length"),
-        F.max(F.when(tr, day_tenure)).alias("tenure_days"),
-        F.max(F.when(tr, F.col("_paid"))).getField("v").alias("last_paid"),
-        F.max(F.when(tr, F.col("_fem"))).getField("v").alias("last_female"),
-        *[F.max(F.when(~tr, F.col(f"_lab_{name}"))).alias(name) for name in LABELS],
-    )
-    return agg.where(F.col("_has_train") == 1).drop("_has_train").withColumn(
-        "cutoff_ms", F.lit(plan.cutoff_ms) - F.lit(plan.step_ms) * F.col("offset_idx")
+    Last level / gender are kept as ``max(2 * ts + flag)``: the max is reached
+    at the latest ts and, among rows tied there, by the largest flag, which
+    ``pmod(max, 2)`` returns.  A plain long keeps the aggregation hash-based
+    (a struct max would force a sort-based one).
+    """
+    return log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+        *[e(f"count_if(page = {q(pages[code])})", count_column(code)) for code, _ in PAGE_CODES],
+        e(f"sum({exact_length_sql('length')})", "_len"),
+        e("min(registration)", "_reg_min"),
+        e("max(CASE WHEN registration IS NULL THEN 1 ELSE 0 END)", "_reg_null"),
+        e(f"max(ts * 2L + {paid_flag_sql('level')})", "_paid"),
+        e(f"max(ts * 2L + {female_flag_sql('gender')})", "_fem"),
+        *[e(f"max({page_flag_sql('page', pages[code])})", f"_lab_{name}") for name, code in LABEL_CODES],
     )
 
 
-def _offset_depth(log: DataFrame, plan: CutoffPlan) -> DataFrame:
-    """Branch B: per (user, offset) the mean item number over rows at a session's
-    highest item, from aggregates only.
+def _session_parts(log: DataFrame, plan: CutoffPlan) -> DataFrame:
+    """Branch B: per (user, offset, session) the depth contribution
+    ``_dnum = top item * rows at it`` and ``_dden = rows at it``, from aggregates only.
 
     item level   -> rows per (user, day, session, item)
     session-day  -> top item m and its row count k
-    session      -> across the days of a window: top m, summed k at it
-    user-offset  -> sum(m * k) / sum(k)
+    session      -> over the days of a window (at most look-back days of
+                    them): top m and the summed k of the days reaching it
     """
     items = (
-        log.where(F.col("itemInSession").isNotNull())
-        .groupBy("userId", _slot(plan).alias("slot"), "sessionId", "itemInSession")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        log.where("itemInSession IS NOT NULL")
+        .groupBy("userId", e(_slot_sql(plan), "slot"), "sessionId", "itemInSession")
+        .agg(e("count(1)", "_n"))
     )
     session_day = items.groupBy("userId", "slot", "sessionId").agg(
-        F.max("itemInSession").alias("_m"), F.max_by("_n", "itemInSession").alias("_k")
+        e("max(itemInSession)", "_m"), e("max_by(_n, itemInSession)", "_k")
+    )
+    per_session = _fan_out(session_day, plan, with_labels=False).groupBy(*KEY, "sessionId").agg(
+        e("collect_list(named_struct('m', _m, 'k', _k))", "_parts")
     )
-    fanned = _fan_out(session_day, plan, with_labels=False)
-    per_top = fanned.groupBy(*KEY, "sessionId", "_m").agg(F.sum("_k").alias("_k"))
-    session = per_top.groupBy(*KEY, "sessionId").agg(
-        F.max("_m").alias("_m"), F.max_by("_k", "_m").alias("_k")
+    at_top = "aggregate(filter(_parts, x -> x.m = _top), 0L, (acc, x) -> acc + x.k)"
+    return (
+        per_session.select(*KEY, "_parts", e("array_max(transform(_parts, x -> x.m))", "_top"))
+        .select(*KEY, e(f"_top * {at_top}", "_dnum"), e(at_top, "_dden"))
     )
-    return session.groupBy(*KEY).agg(
-        (F.sum(F.col("_m") * F.col("_k")) / F.sum("_k")).alias("avg_session_depth")
+
+
+def _offset_rows(days_fanned: DataFrame, sessions: DataFrame, plan: CutoffPlan) -> DataFrame:
+    """Day partials and session contributions summed per (user, offset) in one
+    aggregate; offsets without a look-back row are dropped."""
+    both = days_fanned.unionByName(sessions, allowMissingColumns=True)
+    tr = "in_train"
+    tenure = (f"greatest(({_cutoff_sql(plan)} - _reg_min) / {float(DAY_MS)}D, "
+              "CASE WHEN _reg_null = 1 THEN 0.0D END)")
+    agg = both.groupBy(*KEY).agg(
+        e(f"max(cast({tr} as int))", "_has_train"),
+        *[e(f"sum(CASE WHEN {tr} THEN {count_column(c)} END)", count_column(c)) for c, _ in PAGE_CODES],
+        e(f"cast(sum(CASE WHEN {tr} THEN _len END) as double)", "total_length"),
+        e(f"max(CASE WHEN {tr} THEN {tenure} END)", "tenure_days"),
+        e(f"cast(pmod(max(CASE WHEN {tr} THEN _paid END), 2) as int)", "last_paid"),
+        e(f"cast(pmod(max(CASE WHEN {tr} THEN _fem END), 2) as int)", "last_female"),
+        *[e(f"max(CASE WHEN NOT {tr} THEN _lab_{n} END)", n) for n in LABELS],
+        e("cast(sum(_dnum) as double) / sum(_dden)", "avg_session_depth"),
     )
+    return agg.where("_has_train = 1").select(
+        *[c for c in agg.columns if c != "_has_train"], e(_cutoff_sql(plan), "cutoff_ms")
+    )
+
+
+BEHAVIOUR_INPUT = ["userId", "ts", "page", "level", "gender", "registration", "length"]
+DEPTH_INPUT = ["userId", "ts", "sessionId", "itemInSession"]
+
+Source = DataFrame | Callable[[list[str]], DataFrame]
+
+
+def _read(source: Source, cols: list[str]) -> DataFrame:
+    """The log with ``cols``; a callable source builds only those columns."""
+    return source(cols) if callable(source) else source.select(*cols)
 
 
-def feature_table(df: DataFrame, plan: CutoffPlan, pages: dict[str, str], ties: str = "one") -> DataFrame:
+def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties: str = "one") -> DataFrame:
     """Feature and label table, one row per (user, offset) with a look-back row.
 
-    Columns: ``userId`` (``<user>_x<offset>``), ``base_user``, ``offset_idx``,
-    ``cutoff_ms``, the 26 features in model order, ``upgrade``, ``downgrade``,
-    ``churn``.  ``ties='all'`` keeps one row per event tied at the last
-    timestamp and is served by the join form.
+    ``source`` is the event log, or a function returning the log restricted
+    to a list of columns (so derived columns are built only by the branch
+    that needs them).  Columns: ``userId`` (``<user>_x<offset>``),
+    ``base_user``, ``offset_idx``, ``cutoff_ms``, the 26 features in model
+    order, ``upgrade``, ``downgrade``, ``churn``.  ``ties='all'`` keeps one
+    row per event tied at the last timestamp and is served by the join form.
     """
     if ties == "all":
-        return feature_table_literal(df, plan, pages, ties)
+        return feature_table_literal(_read(source, EVENT_COLUMNS), plan, pages, ties)
     if ties != "one":
         raise ValueError("ties must be 'one' or 'all'")
-    log = time_slice(drop_anonymous(df), plan.start_ms, plan.end_ms)
-    feats = _offset_features(_day_partials(log, plan, pages), plan)
-    depth = _offset_depth(time_slice(log, plan.start_ms, plan.cutoff_ms), plan)
-    return _finish(feats.join(depth, KEY, "left"))
+    log = time_slice(drop_anonymous(_read(source, BEHAVIOUR_INPUT)), plan.start_ms, plan.end_ms)
+    days = _fan_out(_day_partials(log, plan, pages), plan, with_labels=True)
+    rows = time_slice(drop_anonymous(_read(source, DEPTH_INPUT)), plan.start_ms, plan.cutoff_ms)
+    return _finish(_offset_rows(days, _session_parts(rows, plan), plan))

@@ -15,7 +15,7 @@ from userflow.functions.columns import hash_unit
 TWO_32 = 1 << 32
 
 
-def split_condition(key: Column, ratio: float, seed: int) -> Column:
+def split_condition(key: str, ratio: float, seed: int) -> Column:
     """True for the train side: bucket < ratio * 2^32."""
     return hash_unit(key, seed) < F.lit(int(ratio * TWO_32))
 
@@ -28,7 +28,7 @@ def split_by_key(df: DataFrame, ratio: float, seed: int, key: str = "user") -> t
     offset-tagged id).  Any other value is taken as a column name.
     """
     col = {"user": "base_user" if "base_user" in df.columns else "userId", "row": "userId"}.get(key, key)
-    cond = split_condition(F.col(col), ratio, seed)
+    cond = split_condition(col, ratio, seed)
     return df.where(cond), df.where(~cond)
 
 
@@ -64,6 +64,6 @@ def rebalance(df: DataFrame, label: str, seed: int, key: str = "userId") -> Data
     minor_val, n_minor, major_val, n_major = v0, n0, v1, n1
     if n_minor == n_major:
         return df
-    bucket = hash_unit(F.col(key), seed).cast("decimal(38,0)")
+    bucket = hash_unit(key, seed).cast("decimal(38,0)")
     keep_major = bucket * F.lit(n_major).cast("decimal(38,0)") < F.lit(n_minor * TWO_32).cast("decimal(38,0)")
     return df.where((F.col(label) == F.lit(minor_val)) | keep_major)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.functions.columns import ceil_div, floor_div, offset_id
+from userflow.functions.columns import ceil_div_sql, e, floor_div, floor_div_sql, offset_id_sql
 from userflow.sources.schema import DAY_MS
 
 
@@ -74,15 +74,15 @@ def cutoff_table(spark: SparkSession, plan: CutoffPlan) -> DataFrame:
     )
 
 
-def offsets_of(ts: F.Column, plan: CutoffPlan, train_only: bool = False):
+def offsets_sql(ts: str, plan: CutoffPlan, train_only: bool = False) -> tuple[str, str]:
     """(first, last) offset index whose window contains ``ts``; empty when first > last.
 
     Offset i contains ts when c_i - back <= ts < c_i + ahead (or < c_i for
     ``train_only``), i.e. ceil((C - back - ts) / step) <= i <= floor((C + ahead - ts - 1) / step).
     """
     end = 0 if train_only else plan.ahead_ms
-    lo = F.greatest(F.lit(0).cast("long"), ceil_div(F.lit(plan.cutoff_ms - plan.back_ms) - ts, plan.step_ms))
-    hi = F.least(F.lit(plan.n_extra).cast("long"), floor_div(F.lit(plan.cutoff_ms + end - 1) - ts, plan.step_ms))
+    lo = f"greatest(0L, {ceil_div_sql(f'{plan.cutoff_ms - plan.back_ms}L - {ts}', plan.step_ms)})"
+    hi = f"least({plan.n_extra}L, {floor_div_sql(f'{plan.cutoff_ms + end - 1}L - {ts}', plan.step_ms)})"
     return lo, hi
 
 
@@ -94,26 +94,22 @@ def expand_offsets(df: DataFrame, plan: CutoffPlan, ts: str = "ts", train_only:
     integer arithmetic, so no table is broadcast and nothing is compared
     pairwise.  A row is repeated at most ``(back + ahead) / step + 1`` times.
     """
-    t = F.col(ts)
-    lo, hi = offsets_of(t, plan, train_only)
+    lo, hi = offsets_sql(ts, plan, train_only)
     stop = plan.cutoff_ms if train_only else plan.end_ms
     within = time_slice(df, plan.start_ms, stop, ts)
-    out = (
-        within.withColumn("_lo", lo)
-        .withColumn("_hi", hi)
-        .where(F.col("_lo") <= F.col("_hi"))
-        .withColumn("offset_idx", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
-        .drop("_lo", "_hi")
-        .withColumn("cutoff_ms", F.lit(plan.cutoff_ms) - F.lit(plan.step_ms) * F.col("offset_idx"))
-        .withColumn("in_train", t < F.col("cutoff_ms"))
+    cutoff = f"{plan.cutoff_ms}L - {plan.step_ms}L * offset_idx"
+    return (
+        within.where(e(f"{lo} <= {hi}"))
+        .select("*", e(f"explode(sequence({lo}, {hi}))", "offset_idx"))
+        .select("*", e(cutoff, "cutoff_ms"))
+        .select("*", e(f"{ts} < cutoff_ms", "in_train"))
     )
-    return out
 
 
 def offset_users(df: DataFrame, plan: CutoffPlan, user: str = "userId", ts: str = "ts") -> DataFrame:
     """Distinct (user, offset) pairs with train rows, and the offset-tagged id."""
     pairs = expand_offsets(df.select(user, ts), plan, ts, train_only=True).select(user, "offset_idx").distinct()
-    return pairs.withColumn("offset_user", offset_id(F.col(user), F.col("offset_idx")))
+    return pairs.select("*", e(offset_id_sql(user, "offset_idx"), "offset_user"))
 
 
 def plan_offsets(df: DataFrame, look_back_days: int, look_ahead_days: int, interval_days: int,
@@ -126,8 +122,8 @@ def plan_offsets(df: DataFrame, look_back_days: int, look_ahead_days: int, inter
     (negative -> none fit).
     """
     s = df.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
-    first_day = floor_div(F.col("min_ts"), DAY_MS)
-    last_day = floor_div(F.col("max_ts"), DAY_MS)
+    first_day = floor_div("min_ts", DAY_MS)
+    last_day = floor_div("max_ts", DAY_MS)
     days = last_day - first_day + F.lit(1)
     n_extra = F.floor((days - F.lit(look_ahead_days + n_buckets * look_back_days)) / F.lit(interval_days)).cast("long")
     cutoff = (last_day + F.lit(1 - look_ahead_days)) * F.lit(DAY_MS)

@@ -47,8 +47,15 @@ def anon(spark, sf) -> DataFrame:
     return with_anonymous_users(act(spark, sf))
 
 
+def plan_days(plan: windows.CutoffPlan):
+    """Whole UTC days covering every window of ``plan`` (None if not whole days)."""
+    if plan.start_ms % DAY_MS or plan.end_ms % DAY_MS:
+        return None
+    return plan.start_ms, plan.end_ms
+
+
 def _ft(spark, sf) -> DataFrame:
-    return features.feature_table(act(spark, sf), PLAN, PAGES)
+    return features.feature_table(lambda cols: act(spark, sf, cols, between=plan_days(PLAN)), PLAN, PAGES)
 
 
 def _split(spark, sf):

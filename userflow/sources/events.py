@@ -36,7 +36,7 @@ def write_activity(df: DataFrame, path: str, partition_by_day: bool = True) -> N
     from userflow.sources.schema import DAY_MS
     from pyspark.sql import functions as F
 
-    out = df.withColumn("day", floor_div(F.col("ts"), DAY_MS)) if partition_by_day else df
+    out = df.withColumn("day", floor_div("ts", DAY_MS)) if partition_by_day else df
     w = out.write.mode("overwrite")
     if partition_by_day:
         w = w.partitionBy("day")

@@ -25,7 +25,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.functions.columns import epoch_ms, floor_div
+from userflow.functions.columns import e, epoch_ms, floor_div, q
 from userflow.operators.ordering import position_in_group
 from userflow.sources.schema import DAY_MS, EVENT_COLUMNS
 
@@ -61,8 +61,9 @@ def activity_from_tables(
         ev = ev.where((F.col("ts") >= _ntz_literal(start)) & (F.col("ts") < _ntz_literal(end)))
 
     need = set(cols)
+    tz = spark.conf.get("spark.sql.session.timeZone")
     base = [F.col("user_id")]
-    ts_ms = epoch_ms("ts")
+    ts_ms = epoch_ms("ts", tz)
     if need & {"ts", "sessionId", "itemInSession"}:
         base.append(ts_ms.alias("_ts"))
     if "itemInSession" in need:
@@ -73,10 +74,10 @@ def activity_from_tables(
         base.append(F.col("value"))
     df = ev.select(*base)
     if need & {"sessionId", "itemInSession"}:
-        df = df.withColumn("_day", floor_div(F.col("_ts"), DAY_MS))
+        df = df.select("*", floor_div("_ts", DAY_MS).alias("_day"))
     if "itemInSession" in need:
         df = position_in_group(df, ["user_id", "_day"], ["_ts", "event_id"], "_item",
-                               split=floor_div(F.col("_ts"), 60_000))
+                               split=floor_div("_ts", 60_000))
     if "gender" in need:
         cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
         df = df.join(cust, df["user_id"] == cust["c_custkey"], "left")
@@ -89,17 +90,18 @@ def activity_from_tables(
         df = df.join(reg, df["user_id"] == reg["o_custkey"], "left")
 
     exprs = {
-        "userId": lambda: F.col("user_id").cast("string"),
-        "ts": lambda: F.col("_ts"),
-        "page": lambda: F.col("_page"),
-        "sessionId": lambda: F.col("_day"),
-        "itemInSession": lambda: F.col("_item"),
-        "level": lambda: F.when(F.col("value") >= F.lit(50), F.lit("paid")).otherwise(F.lit("free")),
-        "gender": lambda: F.when(F.col("c_custkey") % 2 == 0, F.lit("F")).otherwise(F.lit("M")),
-        "registration": lambda: epoch_ms("_reg"),
-        "length": lambda: F.when(F.col("_page") == F.lit(VIEW_PAGE), F.col("value")),
+        "userId": "cast(user_id as string)",
+        "ts": "_ts",
+        "page": "_page",
+        "sessionId": "_day",
+        "itemInSession": "_item",
+        "level": "CASE WHEN value >= 50 THEN 'paid' ELSE 'free' END",
+        "gender": "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END",
+        "registration": None,
+        "length": f"CASE WHEN _page = {q(VIEW_PAGE)} THEN value END",
     }
-    return df.select(*[exprs[c]().alias(c) for c in cols])
+    out = [epoch_ms("_reg", tz).alias(c) if c == "registration" else e(exprs[c], c) for c in cols]
+    return df.select(*out)
 
 
 def with_anonymous_users(df: DataFrame, empty_every: int = 50, null_every: int = 50,
