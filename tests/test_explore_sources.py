@@ -106,3 +106,17 @@ def test_plan_offsets(spark):
     r = plan_offsets(log, 21, 7, 4).collect()[0]
     assert r.history_days == 62 and r.n_extra == (62 - 7 - 21) // 4
     assert r.cutoff_ms == (71 + 1 - 7) * day
+
+
+def test_exact_percentiles_match_percentile(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(g, rng.choice([None] + list(range(0, 10_000, 7)))) for g in ("a", "b", "c") for _ in range(300)]
+    rows += [("d", 42)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    got = {r.g: r for r in explore.exact_percentiles(df, "g", "v", split_width=500).collect()}
+    want = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(x) for x in explore.QUANTILES])).alias("p")).collect()
+    for r in want:
+        cols = [f"p{int(round(x * 100)):02d}" for x in explore.QUANTILES]
+        assert [round(getattr(got[r.g], c), 6) for c in cols] == [round(x, 6) for x in r.p]

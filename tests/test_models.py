@@ -61,3 +61,23 @@ def test_transformer_persists(spark, tmp_path):
     t.write().overwrite().save(str(tmp_path / "t"))
     back = WindowedFeatures.load(str(tmp_path / "t"))
     assert back.plan() == t.plan() and back.pages() == LOG_PAGES
+
+
+def test_scoring_model_with_feature_stage(spark, tmp_path):
+    from conftest import random_log
+    from userflow.operators.windows import CutoffPlan
+    from userflow.plans.modeling import scoring_model, score_log
+    from userflow.operators.features import feature_table
+    from userflow.sources.schema import DAY_MS
+
+    log = random_log(spark, n=1500)
+    c = 1_700_000_000_000 // DAY_MS * DAY_MS + 15 * DAY_MS
+    stage = WindowedFeatures(cutoffMs=c, lookBackDays=7, lookAheadDays=2, extraOffsets=2)
+    feats = stage.transform(log)
+    fitted = build_pipeline("churn", "dt", maxDepth=3).fit(feats)
+    path = save_model(spark, scoring_model(stage, fitted), str(tmp_path / "scoring"))
+    a = fitted.transform(feature_table(log, CutoffPlan(c, 7, 2, 2), LOG_PAGES)).select("userId", "prediction")
+    b = score_log(path, log).select("userId", "prediction")
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    moved = score_log(path, log, cutoff_ms=c - DAY_MS).select("cutoff_ms").distinct().collect()
+    assert max(r.cutoff_ms for r in moved) == c - DAY_MS

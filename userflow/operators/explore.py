@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from userflow.functions.columns import day_bucket, yes_no
+from userflow.functions.columns import day_bucket, e, floor_div, yes_no
 from userflow.sources.schema import label_pages
 
 
@@ -118,17 +118,59 @@ def occurrences(df: DataFrame, page_name: str, limit: int | None = None, user: s
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
+def exact_percentiles(df: DataFrame, group: str, value: str, qs=QUANTILES, split_width: int = 86_400_000) -> DataFrame:
+    """Per ``group``: exact percentiles of ``value`` with linear interpolation
+    (the semantics of Spark's ``percentile``), one column ``p<q*100>`` each.
+
+    ``percentile`` keeps every distinct value of a group in one task's map;
+    here values are numbered inside their group (the numbering is split into
+    ranges of ``split_width`` of the value, see :func:`position_in_group`) and
+    only the rows at the needed positions are joined back, so no task holds
+    more than one value range.
+    """
+    from userflow.operators.ordering import position_in_group
+
+    base = df.where(F.col(value).isNotNull()).select(group, value)
+    ranked = position_in_group(base, [group], [value], "_r", split=floor_div(value, split_width))
+    structs = ", ".join(f"named_struct('q', {float(x)}D, 'p', {float(x)}D * (_cnt - 1))" for x in qs)
+    targets = (
+        base.groupBy(group).agg(e("count(1)", "_cnt"))
+        .select(F.col(group).alias("_g"), e(f"explode(array({structs}))", "_t"))
+        .select("_g", e("_t.q", "_q"), e("_t.p", "_p"), e("cast(floor(_t.p) as bigint)", "_lo"),
+                e("cast(ceil(_t.p) as bigint)", "_hi"))
+    )
+
+    def values(name: str) -> DataFrame:
+        return ranked.select(F.col(group).alias(f"_g{name}"), F.col("_r").alias(f"_r{name}"),
+                             F.col(value).cast("double").alias(name))
+
+    lo, hi = values("_lv"), values("_hv")
+    picked = (
+        targets.join(lo, targets["_g"].eqNullSafe(lo["_g_lv"]) & (targets["_lo"] == lo["_r_lv"]))
+        .join(hi, targets["_g"].eqNullSafe(hi["_g_hv"]) & (targets["_hi"] == hi["_r_hv"]))
+        .select("_g", "_q", e("CASE WHEN _hi = _lo OR _hv = _lv THEN _lv "
+                              "ELSE (_hi - _p) * _lv + (_p - _lo) * _hv END", "_v"))
+    )
+    return picked.groupBy(F.col("_g").alias(group)).agg(
+        *[e(f"max(CASE WHEN _q = {float(x)}D THEN _v END)", f"p{int(round(x * 100)):02d}") for x in qs]
+    )
+
+
 def registration_spread(users: DataFrame, flag: str = "churn", registration: str = "registration") -> DataFrame:
     """Distribution of registration (in days since epoch) per flag value:
     exact percentiles (linear interpolation), min, max, mean."""
     day = F.col(registration) / F.lit(86_400_000.0)
-    return users.groupBy(flag).agg(
+    stats = users.groupBy(flag).agg(
         F.count(registration).alias("n_users"),
-        *[
-            (F.percentile(F.col(registration), F.lit(q)) / F.lit(86_400_000.0)).alias(f"p{int(q * 100):02d}_day")
-            for q in QUANTILES
-        ],
         F.min(day).alias("min_day"),
         F.max(day).alias("max_day"),
         F.avg(day).alias("avg_day"),
     )
+    pct = exact_percentiles(users, flag, registration).withColumnRenamed(flag, "_f")
+    pcols = [f"p{int(round(x * 100)):02d}" for x in QUANTILES]
+    out = stats.join(pct, stats[flag].eqNullSafe(pct["_f"]), "left")
+    return out.select(
+        flag, "n_users",
+        *[(F.col(c) / F.lit(86_400_000.0)).alias(f"{c}_day") for c in pcols],
+        "min_day", "max_day", "avg_day",
+    )

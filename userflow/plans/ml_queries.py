@@ -15,7 +15,19 @@ from pyspark.storagelevel import StorageLevel
 from userflow.operators import sampling
 from userflow.operators.evaluate import metrics, tag_sets
 from userflow.plans import modeling
-from userflow.plans.registry import LABEL, REBALANCE_SEED, SPLIT_RATIO, SPLIT_SEED, _ft
+from userflow.plans.registry import (
+    LABEL,
+    PAGES,
+    PLAN,
+    REBALANCE_SEED,
+    SPLIT_RATIO,
+    SPLIT_SEED,
+    _ft,
+    act,
+    plan_days,
+)
+from userflow.plans.transformer import WindowedFeatures
+from userflow.sources.schema import PAGE_CODES
 from userflow.session import shared_dir, shared_path
 
 _FITTED: dict = {}
@@ -65,10 +77,17 @@ def q_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_score_saved_model(spark: SparkSession, sf: str) -> DataFrame:
-    path = modeling.save_model(spark, _fitted(spark, sf), shared_path(spark, "models"))
-    train, test, _ = _sets(spark, sf)
-    scored = modeling.score(path, tag_sets({"train": train, "test": test}))
-    return scored.select("dataset", "userId", LABEL, "prediction")
+    """Save the fitted pipeline behind its feature stage, load it back and
+    score the raw activity log of the tables."""
+    stage = WindowedFeatures(
+        cutoffMs=PLAN.cutoff_ms, lookBackDays=PLAN.look_back_days, lookAheadDays=PLAN.look_ahead_days,
+        extraOffsets=PLAN.n_extra, intervalDays=PLAN.interval_days,
+        pageNames=[PAGES[code] for code, _ in PAGE_CODES],
+    )
+    path = modeling.save_model(spark, modeling.scoring_model(stage, _fitted(spark, sf)),
+                               shared_path(spark, "models"))
+    scored = modeling.score_log(path, act(spark, sf, between=plan_days(PLAN)))
+    return scored.select("userId", "offset_idx", LABEL, "prediction")
 
 
 def q_grid_report(spark: SparkSession, sf: str) -> DataFrame:

@@ -99,6 +99,24 @@ def score(model_path: str, features: DataFrame) -> DataFrame:
     return PipelineModel.load(model_path).transform(features)
 
 
+def scoring_model(feature_stage, fitted: PipelineModel) -> PipelineModel:
+    """Event log -> features -> prediction as one persistable model.
+
+    The feature stage (a :class:`WindowedFeatures`) is stored first, so the
+    window settings used in training travel with the model.
+    """
+    return PipelineModel(stages=[feature_stage, *fitted.stages])
+
+
+def score_log(model_path: str, log: DataFrame, cutoff_ms: int | None = None) -> DataFrame:
+    """Load a scoring model and apply it to a raw event log, optionally at a
+    new first cutoff."""
+    model = PipelineModel.load(model_path)
+    if cutoff_ms is not None:
+        model.stages[0].setCutoffMs(int(cutoff_ms))
+    return model.transform(log)
+
+
 def evaluate_sets(model: PipelineModel, sets: dict[str, DataFrame], label: str) -> DataFrame:
     """Metrics of one model on several named sets, one row per set."""
     return metrics(model.transform(tag_sets(sets)), label, by=["dataset"])

@@ -21,7 +21,8 @@ from userflow.functions.columns import length_filled, page_flag, round_doubles,
 from userflow.operators import clean, explore, features, sampling, windows
 from userflow.operators.evaluate import metrics, tag_sets
 from userflow.sources.schema import DAY_MS, FEATURE_ORDER, LABELS, PAGE_CODES, TABLE_PAGES, count_column
-from userflow.sources.tables import activity_from_tables, with_anonymous_users
+from userflow.session import materialize
+from userflow.sources.tables import activity_from_tables, read_table, with_anonymous_users
 
 PAGES = TABLE_PAGES
 PLAN = windows.CutoffPlan(cutoff_ms=1_706_400_000_000, look_back_days=14, look_ahead_days=1, n_extra=6,
@@ -58,21 +59,28 @@ def _ft(spark, sf) -> DataFrame:
     return features.feature_table(lambda cols: act(spark, sf, cols, between=plan_days(PLAN)), PLAN, PAGES)
 
 
-def _split(spark, sf):
-    return sampling.split_by_key(_ft(spark, sf), SPLIT_RATIO, SPLIT_SEED, key="user")
+def _split(spark, sf, ft=None):
+    return sampling.split_by_key(ft if ft is not None else _ft(spark, sf), SPLIT_RATIO, SPLIT_SEED, key="user")
 
 
-def _rebalanced(spark, sf):
-    train, _ = _split(spark, sf)
+def _rebalanced(spark, sf, ft=None):
+    train, _ = _split(spark, sf, ft)
     return sampling.rebalance(train, LABEL, REBALANCE_SEED, key="userId")
 
 
-def _rows(spark, sf):
-    return features.windowed_rows(act(spark, sf), PLAN)
+def _ft_written(spark, sf):
+    """Feature table written once to the shared folder, for queries that read
+    it more than once (class counts, then the rows; several sets; fit then
+    transform)."""
+    return materialize(_ft(spark, sf))
 
 
-def _train_rows(spark, sf):
-    return _rows(spark, sf).where("in_train")
+def _rows(spark, sf, cols=None):
+    return features.windowed_rows(act(spark, sf, cols, between=plan_days(PLAN)), PLAN)
+
+
+def _train_rows(spark, sf, cols=None):
+    return _rows(spark, sf, cols).where("in_train")
 
 
 def _with_rule(df):
@@ -214,7 +222,7 @@ def q_session_last_items(spark, sf):
 
 
 def q_last_state(spark, sf):
-    return features.last_state(_train_rows(spark, sf), ties="one")
+    return features.last_state(_train_rows(spark, sf, ["userId", "ts", "level", "gender"]), ties="one")
 
 
 def q_top_pages(spark, sf):
@@ -226,7 +234,7 @@ def q_latest_occurrences(spark, sf):
 
 
 def q_cutoff_table(spark, sf):
-    rows = windows.expand_offsets(clean.drop_anonymous(act(spark, sf, ["userId", "ts"])), PLAN)
+    rows = windows.expand_offsets(clean.drop_anonymous(act(spark, sf, ["userId", "ts"], between=plan_days(PLAN))), PLAN)
     cover = rows.groupBy("offset_idx").agg(
         F.count_if("in_train").alias("n_train_rows"),
         F.count_if(~F.col("in_train")).alias("n_label_rows"),
@@ -241,15 +249,15 @@ def q_offset_plan(spark, sf):
 
 
 def q_behaviour_features(spark, sf):
-    return round_doubles(features.behaviour(_train_rows(spark, sf), PAGES))
+    return round_doubles(features.behaviour(_train_rows(spark, sf, features.BEHAVIOUR_INPUT), PAGES))
 
 
 def q_session_depth(spark, sf):
-    return round_doubles(features.session_depth(_train_rows(spark, sf)))
+    return round_doubles(features.session_depth(_train_rows(spark, sf, features.DEPTH_INPUT)))
 
 
 def q_lifecycle_labels(spark, sf):
-    return features.lifecycle_labels(_rows(spark, sf).where(~F.col("in_train")), PAGES)
+    return features.lifecycle_labels(_rows(spark, sf, ["userId", "ts", "page"]).where(~F.col("in_train")), PAGES)
 
 
 def q_join_session_depth(spark, sf):
@@ -261,7 +269,7 @@ def q_join_last_state(spark, sf):
 
 
 def q_join_labels(spark, sf):
-    return round_doubles(features.feature_table_literal(act(spark, sf), PLAN, PAGES))
+    return round_doubles(features.feature_table_literal(act(spark, sf, between=plan_days(PLAN)), PLAN, PAGES))
 
 
 def q_feature_table(spark, sf):
@@ -284,11 +292,11 @@ def q_split_sizes(spark, sf):
 
 
 def q_rebalanced(spark, sf):
-    return round_doubles(_rebalanced(spark, sf))
+    return round_doubles(_rebalanced(spark, sf, _ft_written(spark, sf)))
 
 
 def q_rebalanced_class_counts(spark, sf):
-    return sampling.class_counts(_rebalanced(spark, sf), LABEL)
+    return sampling.class_counts(_rebalanced(spark, sf, _ft_written(spark, sf)), LABEL)
 
 
 def q_class_counts(spark, sf):
@@ -298,17 +306,18 @@ def q_class_counts(spark, sf):
 def q_scaled_features(spark, sf):
     from userflow.plans.modeling import scaled_features
 
-    return round_doubles(scaled_features(_ft(spark, sf), ["userId"]))
+    return round_doubles(scaled_features(_ft_written(spark, sf), ["userId"]))
 
 
 def q_evaluation_metrics(spark, sf):
-    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    labels = read_table(spark, sf, "labels")
     return round_doubles(metrics(labels, "quality", "toxic"))
 
 
 def q_evaluation_by_dataset(spark, sf):
-    train, test = _split(spark, sf)
-    sets = tag_sets({"train": train, "test": test, "rebalanced": _rebalanced(spark, sf)})
+    ft = _ft_written(spark, sf)
+    train, test = _split(spark, sf, ft)
+    sets = tag_sets({"train": train, "test": test, "rebalanced": _rebalanced(spark, sf, ft)})
     return round_doubles(metrics(_with_rule(sets), LABEL, by=["dataset"]))
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins at run time: a side is
 # broadcast only when its measured size is under the threshold, skewed
@@ -58,3 +58,11 @@ def shared_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A new unique path below the shared folder."""
     return os.path.join(shared_dir(spark), *parts, uuid.uuid4().hex)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    written copy: later consumers do not recompute its plan, the lineage is
+    cut, and losing an executor loses none of it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

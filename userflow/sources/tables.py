@@ -37,6 +37,18 @@ def _ntz_literal(ms: int):
     return F.expr(f"TIMESTAMP_NTZ'{t.isoformat(sep=' ')}'")
 
 
+_HANDLES: dict = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A session-wide handle on one parquet table: files are listed and the
+    footer schema is read once per session, not once per query."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _HANDLES:
+        _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _HANDLES[key]
+
+
 def activity_from_tables(
     spark: SparkSession,
     sf_dir: str,
@@ -53,7 +65,7 @@ def activity_from_tables(
     unknown = set(cols) - set(EVENT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown columns {sorted(unknown)}")
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = read_table(spark, sf_dir, "events")
     if between is not None:
         start, end = between
         if start % DAY_MS or end % DAY_MS:
@@ -79,11 +91,11 @@ def activity_from_tables(
         df = position_in_group(df, ["user_id", "_day"], ["_ts", "event_id"], "_item",
                                split=floor_div("_ts", 60_000))
     if "gender" in need:
-        cust = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey")
+        cust = read_table(spark, sf_dir, "customer").select("c_custkey")
         df = df.join(cust, df["user_id"] == cust["c_custkey"], "left")
     if "registration" in need:
         reg = (
-            spark.read.parquet(f"{sf_dir}/orders.parquet")
+            read_table(spark, sf_dir, "orders")
             .groupBy("o_custkey")
             .agg(F.min("o_orderdate").alias("_reg"))
         )
