@@ -151,3 +151,19 @@ def test_plan_has_no_python_and_no_pairwise_join(spark):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert bad not in plan, bad
     assert F is not None
+
+
+def test_prior_churn_kept_by_default_and_dropped_on_request(spark):
+    plan = CutoffPlan(C, 14, 1, n_extra=2, interval_days=1)
+    log = make_log(spark, [
+        event("a", C - 30 * DAY_MS, "Cancellation Confirmation"),  # long before every window
+        event("a", C - 5),
+        event("b", C - DAY_MS - 5, "Cancellation Confirmation"),    # before cutoff 0 only
+        event("b", C - 3 * DAY_MS),
+        event("c", C - 5),
+    ])
+    keep = {r.userId for r in feature_table(log, plan, LOG_PAGES).collect()}
+    assert {"a_x0", "b_x0", "c_x0"} <= keep
+    drop = {r.userId for r in feature_table(log, plan, LOG_PAGES, exclude_prior_churn=True).collect()}
+    assert not any(u.startswith("a_") for u in drop)
+    assert "b_x0" not in drop and "b_x2" in drop and "c_x0" in drop

@@ -16,9 +16,9 @@ Two forms with equal results:
   cutoff, so a day never straddles a window edge and the result is exact.
   Session depth needs, per session, the highest item number and how many
   rows hold it; that is built by aggregation too (item -> session-day ->
-  session-offset -> user-offset), never by sorting a whole user or session
-  in one task.  Each event is read once and shuffled in narrow form once;
-  only day- or session-level partials are fanned out to offsets.
+  session-window, at most look-back days per session) and joins the same
+  final aggregate, so no user or session is ever sorted in one task.  Only
+  day- or session-level partials are fanned out to offsets.
 """
 
 from __future__ import annotations
@@ -258,7 +258,27 @@ def _read(source: Source, cols: list[str]) -> DataFrame:
     return source(cols) if callable(source) else source.select(*cols)
 
 
-def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties: str = "one") -> DataFrame:
+def drop_prior_churn(table: DataFrame, log: DataFrame, pages: dict[str, str], before_ms: int) -> DataFrame:
+    """Remove (user, offset) rows of users whose churn event happened before
+    that offset's cutoff (anywhere in the log, not only in the look-back).
+
+    One aggregate per user (first churn time before ``before_ms``, the latest
+    cutoff) and an anti join keyed on the user; the cutoff comparison is a
+    residual condition of that join.
+    """
+    churn_page = pages[dict(LABEL_CODES)["churn"]]
+    first = (
+        drop_anonymous(log.select("userId", "ts", "page"))
+        .where((F.col("page") == churn_page) & (F.col("ts") < F.lit(int(before_ms))))
+        .groupBy(F.col("userId").alias("_u"))
+        .agg(F.min("ts").alias("_first_churn"))
+    )
+    cond = (table["base_user"] == first["_u"]) & (first["_first_churn"] < table["cutoff_ms"])
+    return table.join(first, cond, "left_anti")
+
+
+def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties: str = "one",
+                  exclude_prior_churn: bool = False) -> DataFrame:
     """Feature and label table, one row per (user, offset) with a look-back row.
 
     ``source`` is the event log, or a function returning the log restricted
@@ -268,6 +288,9 @@ def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties:
     order, ``upgrade``, ``downgrade``, ``churn``.  ``ties='all'`` keeps one
     row per event tied at the last timestamp and is served by the join form.
     """
+    if exclude_prior_churn:
+        table = feature_table(source, plan, pages, ties)
+        return drop_prior_churn(table, _read(source, ["userId", "ts", "page"]), pages, plan.cutoff_ms)
     if ties == "all":
         return feature_table_literal(_read(source, EVENT_COLUMNS), plan, pages, ties)
     if ties != "one":

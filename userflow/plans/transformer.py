@@ -25,20 +25,23 @@ class WindowedFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
     extraOffsets = Param(Params._dummy(), "extraOffsets", "number of earlier cutoffs", TypeConverters.toInt)
     intervalDays = Param(Params._dummy(), "intervalDays", "days between cutoffs", TypeConverters.toInt)
     ties = Param(Params._dummy(), "ties", "'one' or 'all' rows at a tied last ts", TypeConverters.toString)
+    excludePriorChurn = Param(Params._dummy(), "excludePriorChurn", "drop users churned before the cutoff",
+                              TypeConverters.toBoolean)
     pageNames = Param(Params._dummy(), "pageNames", "page name per code, in code order",
                       TypeConverters.toListString)
 
     @keyword_only
     def __init__(self, cutoffMs=None, lookBackDays=21, lookAheadDays=2, extraOffsets=0, intervalDays=1,
-                 ties="one", pageNames=None):
+                 ties="one", pageNames=None, excludePriorChurn=False):
         super().__init__()
         self._setDefault(lookBackDays=21, lookAheadDays=2, extraOffsets=0, intervalDays=1, ties="one",
+                         excludePriorChurn=False,
                          pageNames=[LOG_PAGES[c] for c, _ in PAGE_CODES])
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     @keyword_only
     def setParams(self, cutoffMs=None, lookBackDays=21, lookAheadDays=2, extraOffsets=0, intervalDays=1,
-                  ties="one", pageNames=None):
+                  ties="one", pageNames=None, excludePriorChurn=False):
         return self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def setCutoffMs(self, value: int) -> "WindowedFeatures":
@@ -58,4 +61,5 @@ class WindowedFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
         return {code: name for (code, _), name in zip(PAGE_CODES, names, strict=True)}
 
     def _transform(self, dataset):
-        return feature_table(dataset, self.plan(), self.pages(), self.getOrDefault(self.ties))
+        return feature_table(dataset, self.plan(), self.pages(), self.getOrDefault(self.ties),
+                             self.getOrDefault(self.excludePriorChurn))
