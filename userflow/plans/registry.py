@@ -6,8 +6,7 @@ sides read whole tables.  Doubles are rounded to 6 places on both sides and
 every output column is named the same.
 
 Run setting (test tables): first cutoff 2024-01-28 UTC, look-back 14 days,
-look-ahead 1 day, 6 extra cutoffs 1 day apart.  Lifecycle-flag queries use
-2024-01-28 .. 2024-01-30, where users differ in their flags.
+look-ahead 1 day, 6 extra cutoffs 1 day apart.
 """
 
 from __future__ import annotations
@@ -27,7 +26,6 @@ from userflow.sources.tables import activity_from_tables, read_table, with_anony
 PAGES = TABLE_PAGES
 PLAN = windows.CutoffPlan(cutoff_ms=1_706_400_000_000, look_back_days=14, look_ahead_days=1, n_extra=6,
                           interval_days=1)
-SLICE = (1_706_400_000_000, 1_706_659_200_000)  # 2024-01-28 .. 2024-01-30
 EXCLUDED = ["7"]
 SPLIT_RATIO, SPLIT_SEED, REBALANCE_SEED = 0.7, 27, 271
 LABEL = "churn"
@@ -88,8 +86,7 @@ def _with_rule(df):
 
 
 def _users_slice(spark, sf):
-    return explore.user_profile(act(spark, sf, ["userId", "ts", "page", "gender", "level", "registration"],
-                                    between=SLICE), PAGES)
+    return explore.user_profile(act(spark, sf, ["userId", "ts", "page", "gender", "level", "registration"]), PAGES)
 
 
 def q_activity_scan(spark, sf):
@@ -124,17 +121,19 @@ def q_window_slice(spark, sf):
     return windows.time_slice(act(spark, sf, between=(start, end)), start, end)
 
 
-def _churned_ids(spark, sf):
-    s = act(spark, sf, ["userId", "ts", "page"], between=SLICE)
-    return s.where(F.col("page") == CHURN_PAGE).select("userId")
+def _train_ids(spark, sf):
+    """Distinct users on the train side of the seeded split: the id list the
+    reference collected; here it stays a DataFrame."""
+    users = act(spark, sf, ["userId"]).select("userId").distinct()
+    return users.where(sampling.split_condition("userId", SPLIT_RATIO, SPLIT_SEED))
 
 
 def q_split_members(spark, sf):
-    return sampling.split_by_ids(act(spark, sf), _churned_ids(spark, sf))[0]
+    return sampling.split_by_ids(act(spark, sf), _train_ids(spark, sf))[0]
 
 
 def q_split_non_members(spark, sf):
-    return sampling.split_by_ids(act(spark, sf), _churned_ids(spark, sf))[1]
+    return sampling.split_by_ids(act(spark, sf), _train_ids(spark, sf))[1]
 
 
 def q_page_flags(spark, sf):
@@ -165,18 +164,18 @@ def q_daily_lifecycle_counts(spark, sf):
 
 
 def q_user_lifecycle_flags(spark, sf):
-    return explore.with_lifecycle_flags(act(spark, sf, ["userId", "ts", "page"], between=SLICE), PAGES)
+    return explore.with_lifecycle_flags(act(spark, sf, ["userId", "ts", "page"]), PAGES)
 
 
 def _by_flag(flag):
     def q(spark, sf):
-        flags = explore.user_flags(act(spark, sf, ["userId", "page"], between=SLICE), PAGES)
+        flags = explore.user_flags(act(spark, sf, ["userId", "page"]), PAGES)
         return explore.count_users_by(flags, flag).orderBy(F.desc(flag))
     return q
 
 
 def q_users_by_flag_combo(spark, sf):
-    flags = explore.user_flags(act(spark, sf, ["userId", "page"], between=SLICE), PAGES)
+    flags = explore.user_flags(act(spark, sf, ["userId", "page"]), PAGES)
     return explore.count_users_by(flags, "churn", "upgrade", "downgrade").orderBy(F.desc("n_users"))
 
 
@@ -189,7 +188,7 @@ def q_gender_by_churn(spark, sf):
 
 
 def q_last_level_by_churn(spark, sf):
-    return explore.last_level_by(act(spark, sf, ["userId", "ts", "page", "level"], between=SLICE), PAGES)
+    return explore.last_level_by(act(spark, sf, ["userId", "ts", "page", "level"]), PAGES)
 
 
 def q_entry_level_counts(spark, sf):
@@ -348,7 +347,6 @@ select case when try_cast(userId as bigint) % 50 = 0 then ''
 from act)"""
 
 C, B, L, N = PLAN.cutoff_ms, PLAN.back_ms, PLAN.ahead_ms, PLAN.n_extra
-S0, S1 = SLICE
 D = "86400000.0::double"
 
 
@@ -445,7 +443,7 @@ _FLAGS = ",\n       ".join(
     f"max(case when page = {_lit(PAGES[code])} then 'Yes' else 'No' end) as {name}"
     for name, code in (("churn", "CC"), ("upgrade", "SU"), ("downgrade", "SD"))
 )
-SLICE_SQL = f"""sl as (select * from act where ts >= {S0} and ts < {S1}),
+SLICE_SQL = f"""sl as (select * from act),
 uf as (select userId,
        {_FLAGS}
 from sl group by userId)"""
@@ -481,7 +479,8 @@ def _sql() -> dict[str, str]:
     excl = ", ".join(_lit(i) for i in EXCLUDED)
     s_start, s_end = C - B, C
     flags = ", ".join(f"case when page = {_lit(PAGES[c])} then 1 else 0 end as is_{c.lower()}" for c, _ in PAGE_CODES)
-    churned = f"(select userId from act where page = {churn} and ts >= {S0} and ts < {S1})"
+    churned = (f"(select distinct userId from act where {_hash('userId', SPLIT_SEED)} < "
+               f"{int(SPLIT_RATIO * (1 << 32))})")
     nulls = ", ".join(f"count(*) filter (where {c} is null) as null_{c}" for c in
                       ["userId", "ts", "page", "sessionId", "itemInSession", "level", "gender", "registration",
                        "length"])
