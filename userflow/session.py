@@ -46,13 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (tests, local runs) a fresh
     folder is created and registered as the checkpoint folder.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the setting
+        return configured or ""
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="userflow-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="userflow-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

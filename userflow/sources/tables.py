@@ -43,7 +43,11 @@ _HANDLES: dict = {}
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A session-wide handle on one parquet table: files are listed and the
     footer schema is read once per session, not once per query."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    try:
+        owner = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        owner = id(spark)
+    key = (owner, sf_dir, name)
     if key not in _HANDLES:
         _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _HANDLES[key]
