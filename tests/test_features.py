@@ -167,3 +167,16 @@ def test_prior_churn_kept_by_default_and_dropped_on_request(spark):
     drop = {r.userId for r in feature_table(log, plan, LOG_PAGES, exclude_prior_churn=True).collect()}
     assert not any(u.startswith("a_") for u in drop)
     assert "b_x0" not in drop and "b_x2" in drop and "c_x0" in drop
+
+
+def test_hot_user_holding_a_third_of_rows(spark):
+    from pyspark.sql import functions as F2
+
+    log = random_log(spark, seed=11, n=6000)
+    hot = log.withColumn("userId", F2.when(F2.rand(3) < 1 / 3, F2.lit("hot")).otherwise(F2.col("userId")))
+    hot = spark.createDataFrame(hot.collect(), log.schema)  # freeze the random assignment
+    plan = CutoffPlan(1_700_000_000_000 // DAY_MS * DAY_MS + 15 * DAY_MS, 7, 2, n_extra=4, interval_days=1)
+    a = feature_table(hot, plan, LOG_PAGES)
+    b = feature_table_literal(hot, plan, LOG_PAGES)
+    assert a.where("base_user = 'hot'").count() == 5
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

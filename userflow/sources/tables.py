@@ -43,16 +43,22 @@ _HANDLES: dict = {}
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A session-wide handle on one parquet table: files are listed and the
     footer schema is read once per session, not once per query."""
-    try:
-        owner = spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        owner = id(spark)
-    key = (owner, sf_dir, name)
+    key = (_owner(spark), sf_dir, name)
     if key not in _HANDLES:
         _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _HANDLES[key]
 
 
+_VIEWS: dict = {}
+
+
+def _owner(spark: SparkSession):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return id(spark)
+
+
 def activity_from_tables(
     spark: SparkSession,
     sf_dir: str,
@@ -64,8 +70,19 @@ def activity_from_tables(
     ``between = (start_ms, end_ms)`` keeps whole UTC days on the raw ``ts``,
     before anything else, so the filter reaches the parquet reader; sessions
     are whole days, so in-session positions are unchanged by it.
+
+    The view definition is built once per session and arguments (a
+    DataFrame is an immutable plan; every action still reads the tables).
     """
-    cols = list(columns) if columns else list(EVENT_COLUMNS)
+    cols = tuple(columns) if columns else tuple(EVENT_COLUMNS)
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    key = (_owner(spark), sf_dir, cols, between, tz)
+    if key not in _VIEWS:
+        _VIEWS[key] = _build_activity(spark, sf_dir, list(cols), between, tz)
+    return _VIEWS[key]
+
+
+def _build_activity(spark: SparkSession, sf_dir: str, cols: list[str], between, tz: str) -> DataFrame:
     unknown = set(cols) - set(EVENT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown columns {sorted(unknown)}")
@@ -77,7 +94,6 @@ def activity_from_tables(
         ev = ev.where((F.col("ts") >= _ntz_literal(start)) & (F.col("ts") < _ntz_literal(end)))
 
     need = set(cols)
-    tz = spark.conf.get("spark.sql.session.timeZone")
     base = [F.col("user_id")]
     ts_ms = epoch_ms("ts", tz)
     if need & {"ts", "sessionId", "itemInSession"}:
