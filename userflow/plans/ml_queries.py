@@ -91,9 +91,20 @@ def q_score_saved_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_grid_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Sweep of (rounds, depth) over the shipped grid, metrics on the
+    rebalanced, train and test sets, with the run parameters and fit time."""
     train, test, rebalanced = _sets(spark, sf)
     grid = [(modeling.GBT_ROUNDS, modeling.GBT_DEPTH)]
-    return modeling.sweep(rebalanced, {"rebalanced": rebalanced, "train": train, "test": test}, LABEL, grid)
+    report = modeling.sweep(rebalanced, {"rebalanced": rebalanced, "train": train, "test": test}, LABEL, grid)
+    run = {
+        "label": LABEL,
+        "cutoff_ms": PLAN.cutoff_ms,
+        "look_back_days": PLAN.look_back_days,
+        "look_ahead_days": PLAN.look_ahead_days,
+        "extra_offsets": PLAN.n_extra,
+        "interval_days": PLAN.interval_days,
+    }
+    return report.select(*[F.lit(v).alias(k) for k, v in run.items()], "*")
 
 
 ML_QUERIES = {
