@@ -55,7 +55,7 @@ def rebalance(df: DataFrame, label: str, seed: int, key: str = "userId") -> Data
     class the input is returned unchanged.  The class counts are one row per
     label value and are the only thing brought to the driver.
     """
-    counts = df.groupBy(label).count().limit(3).collect()
+    counts = df.groupBy(label).count().collect()
     if len(counts) > 2:
         raise ValueError(f"{label} is not binary")
     if len(counts) < 2:

@@ -34,7 +34,6 @@ def write_activity(df: DataFrame, path: str, partition_by_day: bool = True) -> N
     """Store a log as parquet, partitioned by UTC day so time slices prune files."""
     from userflow.functions.columns import floor_div
     from userflow.sources.schema import DAY_MS
-    from pyspark.sql import functions as F
 
     out = df.withColumn("day", floor_div("ts", DAY_MS)) if partition_by_day else df
     w = out.write.mode("overwrite")
