@@ -7,6 +7,8 @@ of the fitted lifecycle models (50 rounds, depth 10) unless stated.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,15 +50,24 @@ def _sets(spark: SparkSession, sf: str):
     return _SETS[key]
 
 
-def _fitted(spark: SparkSession, sf: str, kind: str = "gbt", **params):
-    """One fit per (session, tables, classifier, params) and process."""
+def _fit_timed(spark: SparkSession, sf: str, kind: str = "gbt", **params):
+    """(model, fit seconds), one fit per (session, tables, classifier, params)."""
+    if kind == "gbt":
+        params.setdefault("maxIter", modeling.GBT_ROUNDS)
+        params.setdefault("maxDepth", modeling.GBT_DEPTH)
     key = (id(spark), sf, kind, tuple(sorted(params.items())))
     if key not in _FITTED:
         _, _, rebalanced = _sets(spark, sf)
-        _FITTED[key] = modeling.build_pipeline(LABEL, kind, **params).fit(rebalanced)
+        start = time.time()
+        model = modeling.build_pipeline(LABEL, kind, **params).fit(rebalanced)
+        _FITTED[key] = (model, time.time() - start)
     return _FITTED[key]
 
 
+def _fitted(spark: SparkSession, sf: str, kind: str = "gbt", **params):
+    return _fit_timed(spark, sf, kind, **params)[0]
+
+
 def q_gbt_predictions(spark: SparkSession, sf: str) -> DataFrame:
     _, test, _ = _sets(spark, sf)
     model = _fitted(spark, sf)
@@ -95,7 +106,10 @@ def q_grid_report(spark: SparkSession, sf: str) -> DataFrame:
     rebalanced, train and test sets, with the run parameters and fit time."""
     train, test, rebalanced = _sets(spark, sf)
     grid = [(modeling.GBT_ROUNDS, modeling.GBT_DEPTH)]
-    report = modeling.sweep(rebalanced, {"rebalanced": rebalanced, "train": train, "test": test}, LABEL, grid)
+    report = modeling.sweep(
+        rebalanced, {"rebalanced": rebalanced, "train": train, "test": test}, LABEL, grid,
+        fit=lambda rounds, depth: _fit_timed(spark, sf, "gbt", maxIter=rounds, maxDepth=depth),
+    )
     run = {
         "label": LABEL,
         "cutoff_ms": PLAN.cutoff_ms,

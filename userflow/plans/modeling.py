@@ -123,14 +123,18 @@ def evaluate_sets(model: PipelineModel, sets: dict[str, DataFrame], label: str)
 
 
 def sweep(train: DataFrame, sets: dict[str, DataFrame], label: str, grid: list[tuple[int, int]],
-          kind: str = "gbt") -> DataFrame:
+          kind: str = "gbt", fit=None) -> DataFrame:
     """Fit one pipeline per (rounds, depth) and report metrics on every set,
-    with the fit time in seconds."""
-    out = None
-    for rounds, depth in grid:
+    with the fit time in seconds.  ``fit(rounds, depth) -> (model, seconds)``
+    may supply already fitted models."""
+    def fresh(rounds: int, depth: int):
         start = time.time()
         model = build_pipeline(label, kind, maxIter=rounds, maxDepth=depth).fit(train)
-        fit_s = time.time() - start
+        return model, time.time() - start
+
+    out = None
+    for rounds, depth in grid:
+        model, fit_s = (fit or fresh)(rounds, depth)
         m = evaluate_sets(model, sets, label).select(
             F.lit(rounds).alias("rounds"), F.lit(depth).alias("depth"), F.lit(round(fit_s, 3)).alias("fit_seconds"),
             "*",
