@@ -180,3 +180,13 @@ def test_hot_user_holding_a_third_of_rows(spark):
     b = feature_table_literal(hot, plan, LOG_PAGES)
     assert a.where("base_user = 'hot'").count() == 5
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_behaviour_fast_path_equals_join_form(spark):
+    from userflow.operators.features import behaviour, behaviour_features, windowed_rows
+
+    log = random_log(spark, seed=3)
+    plan = CutoffPlan(1_700_000_000_000 // DAY_MS * DAY_MS + 16 * DAY_MS + 7 * 3_600_000, 6, 2, 3, 2)
+    a = behaviour_features(log, plan, LOG_PAGES)
+    b = behaviour(windowed_rows(log, plan).where("in_train"), LOG_PAGES)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -247,6 +247,28 @@ def _offset_rows(days_fanned: DataFrame, sessions: DataFrame, plan: CutoffPlan)
     )
 
 
+def behaviour_features(source, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
+    """Per (user, offset): 21 page counts, total length and tenure over the
+    look-back windows, by the production path (day partials fanned out to
+    offsets).  Same rows as :func:`behaviour` over :func:`windowed_rows`."""
+    log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "page", "registration", "length"])),
+                     plan.start_ms, plan.cutoff_ms)
+    days = log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+        *[e(f"count_if(page = {q(pages[code])})", count_column(code)) for code, _ in PAGE_CODES],
+        e(f"sum({exact_length_sql('length')})", "_len"),
+        e("min(registration)", "_reg_min"),
+        e("max(CASE WHEN registration IS NULL THEN 1 ELSE 0 END)", "_reg_null"),
+    )
+    tenure = (f"greatest(({_cutoff_sql(plan)} - _reg_min) / {float(DAY_MS)}D, "
+              "CASE WHEN _reg_null = 1 THEN 0.0D END)")
+    return _fan_out(days, plan, with_labels=False).groupBy(*KEY).agg(
+        e(f"max({_cutoff_sql(plan)})", "cutoff_ms"),
+        *[e(f"sum({count_column(c)})", count_column(c)) for c, _ in PAGE_CODES],
+        e("cast(sum(_len) as double)", "total_length"),
+        e(f"max({tenure})", "tenure_days"),
+    )
+
+
 BEHAVIOUR_INPUT = ["userId", "ts", "page", "level", "gender", "registration", "length"]
 DEPTH_INPUT = ["userId", "ts", "sessionId", "itemInSession"]
 

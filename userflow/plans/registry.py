@@ -248,7 +248,8 @@ def q_offset_plan(spark, sf):
 
 
 def q_behaviour_features(spark, sf):
-    return round_doubles(features.behaviour(_train_rows(spark, sf, features.BEHAVIOUR_INPUT), PAGES))
+    source = lambda cols: act(spark, sf, cols, between=plan_days(PLAN))
+    return round_doubles(features.behaviour_features(source, PLAN, PAGES))
 
 
 def q_session_depth(spark, sf):
