@@ -81,3 +81,27 @@ def test_scoring_model_with_feature_stage(spark, tmp_path):
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     moved = score_log(path, log, cutoff_ms=c - DAY_MS).select("cutoff_ms").distinct().collect()
     assert max(r.cutoff_ms for r in moved) == c - DAY_MS
+
+
+def test_train_and_score_flow(spark, tmp_path):
+    from conftest import random_log
+    from userflow.operators.windows import CutoffPlan
+    from userflow.plans.flow import RunSettings, score, train
+    from userflow.sources.schema import DAY_MS
+
+    log = random_log(spark, n=2500)
+    c = 1_700_000_000_000 // DAY_MS * DAY_MS + 15 * DAY_MS
+    s = RunSettings(plan=CutoffPlan(c, 7, 2, 3, 1), kind="gbt", params={"maxIter": 3, "maxDepth": 3},
+                    split_seed=27, rebalance_seed=271)
+    path, report = train(spark, log, s, str(tmp_path / "flow"))
+    rows = {r.dataset: r for r in report.collect()}
+    assert set(rows) == {"test", "train", "rebalanced"}
+    assert all(r.total > 0 for r in rows.values())
+    m = score(path, log, "churn").collect()[0]
+    assert m.total == feature_count(spark, log, s)
+
+
+def feature_count(spark, log, s):
+    from userflow.operators.features import feature_table
+
+    return feature_table(log, s.plan, s.pages).count()
