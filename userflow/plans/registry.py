@@ -38,8 +38,8 @@ DOUBLE_FEATURES = ["total_length", "tenure_days", "avg_session_depth"]
 
 # --- Spark side -------------------------------------------------------------
 
-def act(spark, sf, cols=None, between=None) -> DataFrame:
-    return activity_from_tables(spark, sf, cols, between)
+def act(spark, sf, cols=None, between=None, known_users=False) -> DataFrame:
+    return activity_from_tables(spark, sf, cols, between, known_users)
 
 
 def anon(spark, sf) -> DataFrame:
@@ -54,7 +54,7 @@ def plan_days(plan: windows.CutoffPlan):
 
 
 def _ft(spark, sf) -> DataFrame:
-    return features.feature_table(lambda cols: act(spark, sf, cols, between=plan_days(PLAN)), PLAN, PAGES)
+    return features.feature_table(lambda cols: act(spark, sf, cols, plan_days(PLAN), True), PLAN, PAGES)
 
 
 def _split(spark, sf, ft=None):
@@ -74,7 +74,7 @@ def _ft_written(spark, sf):
 
 
 def _rows(spark, sf, cols=None):
-    return features.windowed_rows(act(spark, sf, cols, between=plan_days(PLAN)), PLAN)
+    return features.windowed_rows(act(spark, sf, cols, plan_days(PLAN), True), PLAN)
 
 
 def _train_rows(spark, sf, cols=None):
@@ -248,7 +248,7 @@ def q_offset_plan(spark, sf):
 
 
 def q_behaviour_features(spark, sf):
-    source = lambda cols: act(spark, sf, cols, between=plan_days(PLAN))
+    source = lambda cols: act(spark, sf, cols, plan_days(PLAN), True)
     return round_doubles(features.behaviour_features(source, PLAN, PAGES))
 
 
@@ -269,7 +269,7 @@ def q_join_last_state(spark, sf):
 
 
 def q_join_labels(spark, sf):
-    return round_doubles(features.feature_table_literal(act(spark, sf, between=plan_days(PLAN)), PLAN, PAGES))
+    return round_doubles(features.feature_table_literal(act(spark, sf, None, plan_days(PLAN), True), PLAN, PAGES))
 
 
 def q_feature_table(spark, sf):

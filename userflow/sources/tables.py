@@ -64,6 +64,7 @@ def activity_from_tables(
     sf_dir: str,
     columns: list[str] | None = None,
     between: tuple[int, int] | None = None,
+    known_users: bool = False,
 ) -> DataFrame:
     """The activity log of the test tables, with only ``columns`` (default all).
 
@@ -71,18 +72,23 @@ def activity_from_tables(
     before anything else, so the filter reaches the parquet reader; sessions
     are whole days, so in-session positions are unchanged by it.
 
+    ``known_users`` keeps only rows with a user id, at the source (callers
+    that drop anonymous users anyway); both sides of the in-session position
+    then read the same input and share one shuffle.
+
     The view definition is built once per session and arguments (a
     DataFrame is an immutable plan; every action still reads the tables).
     """
     cols = tuple(columns) if columns else tuple(EVENT_COLUMNS)
     tz = spark.conf.get("spark.sql.session.timeZone")
-    key = (_owner(spark), sf_dir, cols, between, tz)
+    key = (_owner(spark), sf_dir, cols, between, tz, known_users)
     if key not in _VIEWS:
-        _VIEWS[key] = _build_activity(spark, sf_dir, list(cols), between, tz)
+        _VIEWS[key] = _build_activity(spark, sf_dir, list(cols), between, tz, known_users)
     return _VIEWS[key]
 
 
-def _build_activity(spark: SparkSession, sf_dir: str, cols: list[str], between, tz: str) -> DataFrame:
+def _build_activity(spark: SparkSession, sf_dir: str, cols: list[str], between, tz: str,
+                    known_users: bool) -> DataFrame:
     unknown = set(cols) - set(EVENT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown columns {sorted(unknown)}")
@@ -92,6 +98,8 @@ def _build_activity(spark: SparkSession, sf_dir: str, cols: list[str], between,
         if start % DAY_MS or end % DAY_MS:
             raise ValueError("between must cover whole UTC days")
         ev = ev.where((F.col("ts") >= _ntz_literal(start)) & (F.col("ts") < _ntz_literal(end)))
+    if known_users:  # the anonymous-user rule of the cleaning step, on the raw column
+        ev = ev.where(F.col("user_id").isNotNull() & (F.col("user_id").cast("string") != F.lit("")))
 
     need = set(cols)
     base = [F.col("user_id")]
