@@ -30,7 +30,7 @@ from userflow.plans.registry import (
 )
 from userflow.plans.transformer import WindowedFeatures
 from userflow.sources.schema import PAGE_CODES
-from userflow.session import shared_dir, shared_path
+from userflow.session import materialize, shared_path
 
 _FITTED: dict = {}
 _SETS: dict = {}
@@ -42,8 +42,7 @@ def _sets(spark: SparkSession, sf: str):
     them recomputes the feature plan or depends on a lost executor's blocks."""
     key = (id(spark), sf)
     if key not in _SETS:
-        shared_dir(spark)
-        ft = _ft(spark, sf).checkpoint(eager=True)
+        ft = materialize(_ft(spark, sf))
         train, test = sampling.split_by_key(ft, SPLIT_RATIO, SPLIT_SEED, key="user")
         rebalanced = sampling.rebalance(train, LABEL, REBALANCE_SEED, key="userId")
         _SETS[key] = (train, test, rebalanced.persist(StorageLevel.MEMORY_AND_DISK))
