@@ -190,3 +190,23 @@ def test_behaviour_fast_path_equals_join_form(spark):
     a = behaviour_features(log, plan, LOG_PAGES)
     b = behaviour(windowed_rows(log, plan).where("in_train"), LOG_PAGES)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("plan", [
+    CutoffPlan(1_700_000_000_000 // DAY_MS * DAY_MS + 15 * DAY_MS, 7, 2, n_extra=4, interval_days=1),
+    CutoffPlan(1_700_000_000_000 // DAY_MS * DAY_MS + 18 * DAY_MS + 3_600_000 * 5, 5, 3, n_extra=2, interval_days=4),
+])
+def test_per_part_tables_equal_join_form_parts(spark, plan):
+    from userflow.operators import features as fx
+
+    log = random_log(spark, seed=5)
+    rows = fx.windowed_rows(log, plan)
+    train, ahead = rows.where("in_train"), rows.where("NOT in_train")
+    pairs = [
+        (fx.session_depth_table(log, plan), fx.session_depth(train)),
+        (fx.last_state_table(log, plan), fx.last_state(train)),
+        (fx.labels_table(log, plan, LOG_PAGES), fx.lifecycle_labels(ahead, LOG_PAGES)),
+    ]
+    for a, b in pairs:
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -269,6 +269,42 @@ def behaviour_features(source, plan: CutoffPlan, pages: dict[str, str]) -> DataF
     )
 
 
+def session_depth_table(source, plan: CutoffPlan) -> DataFrame:
+    """Per (user, offset): mean top item per session, by the aggregate-only
+    path.  Same rows as :func:`session_depth` over the look-back windows."""
+    rows = time_slice(drop_anonymous(_read(source, DEPTH_INPUT)), plan.start_ms, plan.cutoff_ms)
+    return _session_parts(rows, plan).groupBy(*KEY).agg(
+        e("cast(sum(_dnum) as double) / sum(_dden)", "avg_session_depth")
+    )
+
+
+def last_state_table(source, plan: CutoffPlan) -> DataFrame:
+    """Per (user, offset): level and gender at the last look-back event
+    (``ties='one'``), from per-day ``max(2 * ts + flag)`` partials."""
+    log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "level", "gender"])),
+                     plan.start_ms, plan.cutoff_ms)
+    days = log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+        e(f"max(ts * 2L + {paid_flag_sql('level')})", "_paid"),
+        e(f"max(ts * 2L + {female_flag_sql('gender')})", "_fem"),
+    )
+    return _fan_out(days, plan, with_labels=False).groupBy(*KEY).agg(
+        e("cast(pmod(max(_paid), 2) as int)", "last_paid"),
+        e("cast(pmod(max(_fem), 2) as int)", "last_female"),
+    )
+
+
+def labels_table(source, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
+    """Per (user, offset) seen in the look-ahead window: the three labels,
+    from per-day flags fanned out to the look-ahead windows."""
+    log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "page"])), plan.cutoff(plan.n_extra),
+                     plan.end_ms)
+    days = log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+        *[e(f"max({page_flag_sql('page', pages[code])})", f"_lab_{name}") for name, code in LABEL_CODES]
+    )
+    ahead = _fan_out(days, plan, with_labels=True).where("NOT in_train")
+    return ahead.groupBy(*KEY).agg(*[e(f"max(_lab_{name})", name) for name in LABELS])
+
+
 BEHAVIOUR_INPUT = ["userId", "ts", "page", "level", "gender", "registration", "length"]
 DEPTH_INPUT = ["userId", "ts", "sessionId", "itemInSession"]
 

@@ -53,8 +53,13 @@ def plan_days(plan: windows.CutoffPlan):
     return plan.start_ms, plan.end_ms
 
 
+def _source(spark, sf):
+    """Column-aware view of the known users' activity over the plan's days."""
+    return lambda cols: act(spark, sf, cols, plan_days(PLAN), True)
+
+
 def _ft(spark, sf) -> DataFrame:
-    return features.feature_table(lambda cols: act(spark, sf, cols, plan_days(PLAN), True), PLAN, PAGES)
+    return features.feature_table(_source(spark, sf), PLAN, PAGES)
 
 
 def _split(spark, sf, ft=None):
@@ -221,7 +226,7 @@ def q_session_last_items(spark, sf):
 
 
 def q_last_state(spark, sf):
-    return features.last_state(_train_rows(spark, sf, ["userId", "ts", "level", "gender"]), ties="one")
+    return features.last_state_table(_source(spark, sf), PLAN)
 
 
 def q_top_pages(spark, sf):
@@ -248,16 +253,15 @@ def q_offset_plan(spark, sf):
 
 
 def q_behaviour_features(spark, sf):
-    source = lambda cols: act(spark, sf, cols, plan_days(PLAN), True)
-    return round_doubles(features.behaviour_features(source, PLAN, PAGES))
+    return round_doubles(features.behaviour_features(_source(spark, sf), PLAN, PAGES))
 
 
 def q_session_depth(spark, sf):
-    return round_doubles(features.session_depth(_train_rows(spark, sf, features.DEPTH_INPUT)))
+    return round_doubles(features.session_depth_table(_source(spark, sf), PLAN))
 
 
 def q_lifecycle_labels(spark, sf):
-    return features.lifecycle_labels(_rows(spark, sf, ["userId", "ts", "page"]).where(~F.col("in_train")), PAGES)
+    return features.labels_table(_source(spark, sf), PLAN, PAGES)
 
 
 def q_join_session_depth(spark, sf):
