@@ -210,3 +210,13 @@ def test_per_part_tables_equal_join_form_parts(spark, plan):
     for a, b in pairs:
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_joined_parts_equal_feature_table(spark):
+    from userflow.operators import features as fx
+
+    log = random_log(spark, seed=9)
+    plan = CutoffPlan(1_700_000_000_000 // DAY_MS * DAY_MS + 17 * DAY_MS, 9, 2, n_extra=3, interval_days=2)
+    a = fx._finish(fx.joined_parts(log, plan, LOG_PAGES))
+    b = fx.feature_table(log, plan, LOG_PAGES)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -305,6 +305,20 @@ def labels_table(source, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
     return ahead.groupBy(*KEY).agg(*[e(f"max(_lab_{name})", name) for name in LABELS])
 
 
+def joined_parts(source, plan: CutoffPlan, pages: dict[str, str], upto: str = "labels") -> DataFrame:
+    """The reference's left joins on (user, offset) over the per-part tables:
+    behaviour -> + session depth (``upto='depth'``) -> + last state
+    (``'state'``) -> + labels (``'labels'``).  Every part is aggregated before
+    it is joined, so the joins see one row per (user, offset) a side."""
+    out = behaviour_features(source, plan, pages).join(session_depth_table(source, plan), KEY, "left")
+    if upto == "depth":
+        return out
+    out = out.join(last_state_table(source, plan), KEY, "left")
+    if upto == "state":
+        return out
+    return out.join(labels_table(source, plan, pages), KEY, "left")
+
+
 BEHAVIOUR_INPUT = ["userId", "ts", "page", "level", "gender", "registration", "length"]
 DEPTH_INPUT = ["userId", "ts", "sessionId", "itemInSession"]
 

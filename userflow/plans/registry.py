@@ -78,14 +78,6 @@ def _ft_written(spark, sf):
     return materialize(_ft(spark, sf))
 
 
-def _rows(spark, sf, cols=None):
-    return features.windowed_rows(act(spark, sf, cols, plan_days(PLAN), True), PLAN)
-
-
-def _train_rows(spark, sf, cols=None):
-    return _rows(spark, sf, cols).where("in_train")
-
-
 def _with_rule(df):
     return df.withColumn("prediction", F.when(F.col("cnt_cc") >= RULE_MIN_CC, 1.0).otherwise(0.0))
 
@@ -265,15 +257,15 @@ def q_lifecycle_labels(spark, sf):
 
 
 def q_join_session_depth(spark, sf):
-    return round_doubles(features.join_session_depth(_rows(spark, sf), PAGES))
+    return round_doubles(features.joined_parts(_source(spark, sf), PLAN, PAGES, "depth"))
 
 
 def q_join_last_state(spark, sf):
-    return round_doubles(features.join_last_state(_rows(spark, sf), PAGES))
+    return round_doubles(features.joined_parts(_source(spark, sf), PLAN, PAGES, "state"))
 
 
 def q_join_labels(spark, sf):
-    return round_doubles(features.feature_table_literal(act(spark, sf, None, plan_days(PLAN), True), PLAN, PAGES))
+    return round_doubles(features._finish(features.joined_parts(_source(spark, sf), PLAN, PAGES, "labels")))
 
 
 def q_feature_table(spark, sf):
