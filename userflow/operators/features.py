@@ -29,11 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from userflow.functions.columns import (
-    ceil_div_sql,
     e,
     exact_length_sql,
     female_flag_sql,
-    floor_div_sql,
     offset_id_sql,
     page_flag_sql,
     paid_flag_sql,
@@ -41,7 +39,7 @@ from userflow.functions.columns import (
     tenure_days_sql,
 )
 from userflow.operators.clean import drop_anonymous
-from userflow.operators.windows import CutoffPlan, expand_offsets, time_slice
+from userflow.operators.windows import CutoffPlan, cutoff_sql, expand_offsets, fan_out_days, slot_sql, time_slice
 from userflow.sources.schema import (
     DAY_MS,
     EVENT_COLUMNS,
@@ -153,30 +151,15 @@ def feature_table_literal(df: DataFrame, plan: CutoffPlan, pages: dict[str, str]
 # --- production form ---------------------------------------------------------
 
 def _slot_sql(plan: CutoffPlan) -> str:
-    """Day index relative to the first cutoff: day d covers [C + d*DAY, C + (d+1)*DAY)."""
-    return floor_div_sql(f"ts - {plan.cutoff_ms}L", DAY_MS)
+    return slot_sql(plan)
 
 
 def _cutoff_sql(plan: CutoffPlan) -> str:
-    return f"({plan.cutoff_ms}L - {plan.step_ms}L * offset_idx)"
+    return cutoff_sql(plan)
 
 
 def _fan_out(df: DataFrame, plan: CutoffPlan, with_labels: bool) -> DataFrame:
-    """Repeat day partials for each offset whose window holds the day, with ``in_train``.
-
-    Day d is in the look-back window of offset i when
-    -(i*I + b) <= d <= -(i*I) - 1 and in its look-ahead window when
-    -(i*I) <= d <= -(i*I) + l - 1 (I interval, b look-back, l look-ahead days).
-    """
-    step, b, l = plan.interval_days, plan.look_back_days, plan.look_ahead_days
-    last = (l - 1) if with_labels else -1
-    lo = f"greatest(0L, {ceil_div_sql(f'-slot - {b}L', step)})"
-    hi = f"least({plan.n_extra}L, {floor_div_sql(f'{last}L - slot', step)})"
-    return (
-        df.where(e(f"{lo} <= {hi}"))
-        .select("*", e(f"explode(sequence({lo}, {hi}))", "offset_idx"))
-        .select("*", e(f"slot <= -offset_idx * {step}L - 1L", "in_train"))
-    )
+    return fan_out_days(df, plan, with_labels)
 
 
 def _day_partials(log: DataFrame, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:

@@ -106,12 +106,62 @@ def expand_offsets(df: DataFrame, plan: CutoffPlan, ts: str = "ts", train_only:
     )
 
 
+def slot_sql(plan: CutoffPlan, ts: str = "ts") -> str:
+    """Day index relative to the first cutoff: day d covers [C + d*DAY, C + (d+1)*DAY).
+    Window edges are whole days from C, so no day straddles an edge."""
+    return floor_div_sql(f"{ts} - {plan.cutoff_ms}L", DAY_MS)
+
+
+def cutoff_sql(plan: CutoffPlan, offset: str = "offset_idx") -> str:
+    return f"({plan.cutoff_ms}L - {plan.step_ms}L * {offset})"
+
+
+def fan_out_days(df: DataFrame, plan: CutoffPlan, with_labels: bool) -> DataFrame:
+    """Repeat per-day rows (column ``slot``) for each offset whose window holds
+    the day, with ``offset_idx`` and ``in_train``.
+
+    Day d is in the look-back window of offset i when
+    -(i*I + b) <= d <= -(i*I) - 1 and in its look-ahead window when
+    -(i*I) <= d <= -(i*I) + l - 1 (I interval, b look-back, l look-ahead days).
+    """
+    step, b, l = plan.interval_days, plan.look_back_days, plan.look_ahead_days
+    last = (l - 1) if with_labels else -1
+    lo = f"greatest(0L, {ceil_div_sql(f'-slot - {b}L', step)})"
+    hi = f"least({plan.n_extra}L, {floor_div_sql(f'{last}L - slot', step)})"
+    return (
+        df.where(e(f"{lo} <= {hi}"))
+        .select("*", e(f"explode(sequence({lo}, {hi}))", "offset_idx"))
+        .select("*", e(f"slot <= -offset_idx * {step}L - 1L", "in_train"))
+    )
+
+
+def day_rows(df: DataFrame, plan: CutoffPlan, user: str = "userId", ts: str = "ts") -> DataFrame:
+    """Rows per (user, day) within the plan's range."""
+    within = time_slice(df, plan.start_ms, plan.end_ms, ts)
+    return within.groupBy(user, e(slot_sql(plan, ts), "slot")).agg(e("count(1)", "_rows"))
+
+
 def offset_users(df: DataFrame, plan: CutoffPlan, user: str = "userId", ts: str = "ts") -> DataFrame:
-    """Distinct (user, offset) pairs with train rows, and the offset-tagged id."""
-    pairs = expand_offsets(df.select(user, ts), plan, ts, train_only=True).select(user, "offset_idx").distinct()
+    """Distinct (user, offset) pairs with look-back rows, and the offset-tagged id.
+
+    Rows are first reduced to (user, day); only those are fanned out."""
+    days = day_rows(df.select(user, ts), plan, user, ts)
+    pairs = fan_out_days(days, plan, with_labels=False).select(user, "offset_idx").distinct()
     return pairs.select("*", e(offset_id_sql(user, "offset_idx"), "offset_user"))
 
 
+def window_coverage(df: DataFrame, plan: CutoffPlan, user: str = "userId", ts: str = "ts") -> DataFrame:
+    """Per offset: the cutoff table plus look-back rows, look-ahead rows and
+    users with look-back rows, from per-(user, day) row counts."""
+    fanned = fan_out_days(day_rows(df.select(user, ts), plan, user, ts), plan, with_labels=True)
+    cover = fanned.groupBy("offset_idx").agg(
+        e("coalesce(sum(CASE WHEN in_train THEN _rows END), 0L)", "n_train_rows"),
+        e("coalesce(sum(CASE WHEN NOT in_train THEN _rows END), 0L)", "n_label_rows"),
+        e(f"count(DISTINCT CASE WHEN in_train THEN {user} END)", "n_users"),
+    )
+    return cutoff_table(df.sparkSession, plan).join(cover, "offset_idx", "left")
+
+
 def plan_offsets(df: DataFrame, look_back_days: int, look_ahead_days: int, interval_days: int,
                  n_buckets: int = 1, ts: str = "ts") -> DataFrame:
     """How many extra offsets fit in the log's history.

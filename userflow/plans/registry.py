@@ -230,13 +230,7 @@ def q_latest_occurrences(spark, sf):
 
 
 def q_cutoff_table(spark, sf):
-    rows = windows.expand_offsets(clean.drop_anonymous(act(spark, sf, ["userId", "ts"], between=plan_days(PLAN))), PLAN)
-    cover = rows.groupBy("offset_idx").agg(
-        F.count_if("in_train").alias("n_train_rows"),
-        F.count_if(~F.col("in_train")).alias("n_label_rows"),
-        F.count_distinct(F.when(F.col("in_train"), F.col("userId"))).alias("n_users"),
-    )
-    return windows.cutoff_table(spark, PLAN).join(cover, "offset_idx", "left")
+    return windows.window_coverage(clean.drop_anonymous(act(spark, sf, ["userId", "ts"], plan_days(PLAN), True)), PLAN)
 
 
 def q_offset_plan(spark, sf):
