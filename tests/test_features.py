@@ -220,3 +220,13 @@ def test_joined_parts_equal_feature_table(spark):
     a = fx._finish(fx.joined_parts(log, plan, LOG_PAGES))
     b = fx.feature_table(log, plan, LOG_PAGES)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("seed", [2, 4])
+def test_ties_all_production_equals_join_form(spark, seed):
+    log = random_log(spark, seed=seed, n=4000)  # whole hours: many ties at the last ts
+    plan = CutoffPlan(1_700_000_000_000 // DAY_MS * DAY_MS + 16 * DAY_MS, 6, 2, n_extra=3, interval_days=2)
+    a = feature_table(log, plan, LOG_PAGES, ties="all")
+    b = feature_table_literal(log, plan, LOG_PAGES, ties="all")
+    assert a.count() > feature_table(log, plan, LOG_PAGES).count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -276,6 +276,33 @@ def last_state_table(source, plan: CutoffPlan) -> DataFrame:
     )
 
 
+def last_state_all_table(source, plan: CutoffPlan) -> DataFrame:
+    """Per (user, offset): one row per event at the last look-back timestamp
+    (``ties='all'``), without repeating raw rows per window.
+
+    per (user, day, ts)  rows of each (paid, female) combination
+    per (user, day)      the counts at the day's latest ts (exact: ts is a key)
+    per (user, offset)   the counts of the latest day in the window (days never
+                         share a ts), expanded back into that many rows
+    """
+    log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "level", "gender"])),
+                     plan.start_ms, plan.cutoff_ms)
+    paid, fem = paid_flag_sql("level"), female_flag_sql("gender")
+    combos = [(p_, f_) for p_ in (0, 1) for f_ in (0, 1)]
+    at_ts = log.groupBy("userId", e(_slot_sql(plan), "slot"), "ts").agg(
+        *[e(f"count_if({paid} = {p_} AND {fem} = {f_})", f"n{p_}{f_}") for p_, f_ in combos]
+    )
+    counts = "named_struct(" + ", ".join(f"'n{p_}{f_}', n{p_}{f_}" for p_, f_ in combos) + ")"
+    days = at_ts.groupBy("userId", "slot").agg(e("max(ts)", "_t"), e(f"max_by({counts}, ts)", "_c"))
+    per = _fan_out(days, plan, with_labels=False).groupBy(*KEY).agg(e("max_by(_c, _t)", "_c"))
+    parts = ", ".join(
+        f"array_repeat(named_struct('p', {p_}, 'f', {f_}), cast(_c.n{p_}{f_} AS int))" for p_, f_ in combos
+    )
+    return per.select(*KEY, e(f"explode(flatten(array({parts})))", "_s")).select(
+        *KEY, e("_s.p", "last_paid"), e("_s.f", "last_female")
+    )
+
+
 def labels_table(source, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
     """Per (user, offset) seen in the look-ahead window: the three labels,
     from per-day flags fanned out to the look-ahead windows."""
@@ -347,7 +374,12 @@ def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties:
         table = feature_table(source, plan, pages, ties)
         return drop_prior_churn(table, _read(source, ["userId", "ts", "page"]), pages, plan.cutoff_ms)
     if ties == "all":
-        return feature_table_literal(_read(source, EVENT_COLUMNS), plan, pages, ties)
+        one = feature_table(source, plan, pages, "one")
+        tied = last_state_all_table(source, plan).select(
+            F.col("userId").alias("_u"), F.col("offset_idx").alias("_o"), "last_paid", "last_female")
+        rows = one.drop("last_paid", "last_female").join(
+            tied, (F.col("base_user") == F.col("_u")) & (F.col("offset_idx") == F.col("_o")), "inner")
+        return rows.select(*one.columns)
     if ties != "one":
         raise ValueError("ties must be 'one' or 'all'")
     log = time_slice(drop_anonymous(_read(source, BEHAVIOUR_INPUT)), plan.start_ms, plan.end_ms)
