@@ -42,7 +42,6 @@ from userflow.operators.clean import drop_anonymous
 from userflow.operators.windows import CutoffPlan, cutoff_sql, expand_offsets, fan_out_days, slot_sql, time_slice
 from userflow.sources.schema import (
     DAY_MS,
-    EVENT_COLUMNS,
     LABEL_CODES,
     LABELS,
     PAGE_CODES,
