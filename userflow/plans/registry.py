@@ -103,10 +103,13 @@ def q_clean_excluded_users(spark, sf):
 
 
 def q_users_missing_registration(spark, sf):
-    a = anon(spark, sf)
-    before = clean.missing_registration(a).select(F.lit("before").alias("stage"), "userId")
-    after = clean.missing_registration(clean.drop_anonymous(a)).select(F.lit("after").alias("stage"), "userId")
-    return before.unionByName(after)
+    # Dropping anonymous rows filters on the id only, so "after" is "before"
+    # without the anonymous ids: one distinct pass over the log, each user row
+    # tagged with the stages it is in.
+    users = clean.missing_registration(anon(spark, sf))
+    known = F.col("userId").isNotNull() & (F.col("userId") != F.lit(""))
+    stages = F.when(known, F.array(F.lit("before"), F.lit("after"))).otherwise(F.array(F.lit("before")))
+    return users.select(F.explode(stages).alias("stage"), "userId")
 
 
 def q_event_occurrences(spark, sf):
