@@ -27,11 +27,21 @@ def split_by_key(df: DataFrame, ratio: float, seed: int, key: str = "user") -> t
     person on one side, no leakage); ``key='row'`` splits on ``userId`` (the
     offset-tagged id).  Any other value is taken as a column name.
     """
-    col = {"user": "base_user" if "base_user" in df.columns else "userId", "row": "userId"}.get(key, key)
-    cond = split_condition(col, ratio, seed)
+    cond = split_condition(_split_key(df, key), ratio, seed)
     return df.where(cond), df.where(~cond)
 
 
+def split_side(df: DataFrame, ratio: float, seed: int, key: str = "user") -> Column:
+    """``'train'`` / ``'test'`` per row, the same sides as :func:`split_by_key`,
+    for queries that need both sides in one pass."""
+    cond = split_condition(_split_key(df, key), ratio, seed)
+    return F.when(cond, F.lit("train")).otherwise(F.lit("test"))
+
+
+def _split_key(df: DataFrame, key: str) -> str:
+    return {"user": "base_user" if "base_user" in df.columns else "userId", "row": "userId"}.get(key, key)
+
+
 def split_by_ids(df: DataFrame, ids: DataFrame, key: str = "userId") -> tuple[DataFrame, DataFrame]:
     """(rows whose key is in ``ids``, the other rows), as semi / anti joins.
 

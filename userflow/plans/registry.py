@@ -282,8 +282,8 @@ def q_split_test(spark, sf):
 
 
 def q_split_sizes(spark, sf):
-    train, test = _split(spark, sf)
-    parts = tag_sets({"train": train, "test": test}, "side")
+    ft = _ft(spark, sf)
+    parts = ft.withColumn("side", sampling.split_side(ft, SPLIT_RATIO, SPLIT_SEED, key="user"))
     return parts.groupBy("side").agg(F.count(F.lit(1)).alias("n_rows"),
                                      F.count_distinct("base_user").alias("n_users"))
 
