@@ -65,15 +65,22 @@ def rebalance(df: DataFrame, label: str, seed: int, key: str = "userId") -> Data
     class the input is returned unchanged.  The class counts are one row per
     label value and are the only thing brought to the driver.
     """
+    keep = rebalance_condition(df, label, seed, key)
+    return df if keep is None else df.where(keep)
+
+
+def rebalance_condition(df: DataFrame, label: str, seed: int, key: str = "userId") -> Column | None:
+    """The row test of :func:`rebalance` (``None``: every row is kept), for
+    queries that tag the rebalanced rows inside a larger pass."""
     counts = df.groupBy(label).count().collect()
     if len(counts) > 2:
         raise ValueError(f"{label} is not binary")
     if len(counts) < 2:
-        return df
+        return None
     (v0, n0), (v1, n1) = sorted(((r[0], r[1]) for r in counts), key=lambda t: t[1])
     minor_val, n_minor, major_val, n_major = v0, n0, v1, n1
     if n_minor == n_major:
-        return df
+        return None
     bucket = hash_unit(key, seed).cast("decimal(38,0)")
     keep_major = bucket * F.lit(n_major).cast("decimal(38,0)") < F.lit(n_minor * TWO_32).cast("decimal(38,0)")
-    return df.where((F.col(label) == F.lit(minor_val)) | keep_major)
+    return (F.col(label) == F.lit(minor_val)) | keep_major

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from userflow.functions.columns import length_filled, page_flag, round_doubles, tenure_days
 from userflow.operators import clean, explore, features, sampling, windows
-from userflow.operators.evaluate import metrics, tag_sets
+from userflow.operators.evaluate import metrics
 from userflow.sources.schema import DAY_MS, FEATURE_ORDER, LABELS, PAGE_CODES, TABLE_PAGES, count_column
 from userflow.session import materialize
 from userflow.sources.tables import activity_from_tables, read_table, with_anonymous_users
@@ -312,9 +312,14 @@ def q_evaluation_metrics(spark, sf):
 
 
 def q_evaluation_by_dataset(spark, sf):
+    # One pass over the written feature table: each row is tagged with its
+    # split side and, when the rebalanced train set keeps it, 'rebalanced' too.
     ft = _ft_written(spark, sf)
-    train, test = _split(spark, sf, ft)
-    sets = tag_sets({"train": train, "test": test, "rebalanced": _rebalanced(spark, sf, ft)})
+    side = sampling.split_side(ft, SPLIT_RATIO, SPLIT_SEED, key="user")
+    keep = sampling.rebalance_condition(_split(spark, sf, ft)[0], LABEL, REBALANCE_SEED, key="userId")
+    in_rebalanced = (side == F.lit("train")) & (F.lit(True) if keep is None else keep)
+    names = F.when(in_rebalanced, F.array(side, F.lit("rebalanced"))).otherwise(F.array(side))
+    sets = ft.select("*", F.explode(names).alias("dataset"))
     return round_doubles(metrics(_with_rule(sets), LABEL, by=["dataset"]))
 
 
