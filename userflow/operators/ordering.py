@@ -31,9 +31,11 @@ def position_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str
     ranked = d.withColumn(
         "_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)) - 1
     )
-    # counted from the ranked rows: already clustered on the sub-group keys,
-    # so this needs no further scan or shuffle of the raw rows
-    counts = ranked.groupBy(*keys).agg((F.max("_r") + 1).alias("_n"))
+    # counted from the input with a map-side partial count, so only one row
+    # per sub-group and task is shuffled (Spark does not reuse the ranked
+    # side's shuffle for a second branch; counting from it shuffles the raw
+    # rows twice)
+    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*group_cols).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
