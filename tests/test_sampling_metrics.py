@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from userflow.operators.evaluate import metrics
-from userflow.operators.sampling import class_counts, rebalance, split_by_ids, split_by_key
+from userflow.operators.sampling import (
+    class_counts, rebalance, rebalance_condition, split_by_ids, split_by_key, split_side,
+)
 
 
 def _users(spark, n=500, pos_every=5):
@@ -63,6 +65,24 @@ def test_rebalance_mostly_positive_and_one_class(spark):
     assert rebalance(one, "churn", 3).count() == 20
 
 
+def test_split_side_tags_the_split_sets(spark):
+    df = _users(spark)
+    train, test = split_by_key(df, 0.7, 27)
+    tagged = df.withColumn("side", split_side(df, 0.7, 27))
+    assert tagged.where("side = 'train'").drop("side").exceptAll(train).count() == 0
+    assert tagged.where("side = 'test'").drop("side").exceptAll(test).count() == 0
+    assert tagged.where("side = 'train'").count() == train.count()
+
+
+def test_rebalance_condition_is_the_rebalance_filter(spark):
+    df = _users(spark)
+    keep = rebalance_condition(df, "churn", 271)
+    out = rebalance(df, "churn", 271)
+    assert df.where(keep).exceptAll(out).count() == 0 and out.exceptAll(df.where(keep)).count() == 0
+    one = spark.createDataFrame([("u", "u", 0)], "userId string, base_user string, churn int")
+    assert rebalance_condition(one, "churn", 3) is None
+
+
 def _pred(spark, pairs):
     return spark.createDataFrame([(y, float(p)) for y, p in pairs], "y int, prediction double")
 
