@@ -33,3 +33,16 @@ def test_plan_shape(spark, name):
     for line in plan.splitlines():
         if re.search(r"\bWindow \[", line):
             assert "_split" in line, f"{name}: window without a chunk key: {line.strip()[:200]}"
+
+
+# Queries that once re-read the log per branch; they read it in one pass now
+# (registration_by_churn reads only its written per-user rows).
+MAX_SCANS = {"registration_by_churn": 6, "users_missing_registration": 4, "split_sizes": 3}
+
+
+@pytest.mark.parametrize("name", sorted(MAX_SCANS))
+def test_scan_counts(spark, name):
+    plan = _plan(spark, name)
+    assert plan.count("FileScan parquet") <= MAX_SCANS[name], name
+    if name == "registration_by_churn":
+        assert "event_type" not in " ".join(re.findall(r"FileScan parquet \[([^\]]*)\]", plan)), "log re-read"
