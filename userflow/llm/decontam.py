@@ -79,6 +79,11 @@ def _flips(radius: int) -> np.ndarray:
                      for chosen in combinations(range(BLOCK_BITS), r)], np.uint64)
 
 
+def _member(pool: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted, non-empty ``pool``."""
+    return pool[np.minimum(np.searchsorted(pool, values), len(pool) - 1)] == values
+
+
 @dataclass
 class _Length:
     """The items of one (words per shingle, shingles) size."""
@@ -86,6 +91,7 @@ class _Length:
     ids: list = field(default_factory=list)
     prints: list = field(default_factory=list)
     shingles: list = field(default_factory=list)
+    pool: np.ndarray | None = None  # all shingles of these items, sorted
     blocks: list = field(default_factory=lambda: [defaultdict(list) for _ in range(BLOCKS)])
 
 
@@ -112,30 +118,32 @@ class ItemIndex:
             size.shingles.append(np.unique(shingles, return_counts=True))
             pool[width].append(shingles)
         self.sizes = {w: dict(v) for w, v in self.sizes.items()}
+        for sizes in self.sizes.values():
+            for size in sizes.values():
+                size.pool = np.unique(np.concatenate([own for own, _ in size.shingles]))
         self.pool = {w: np.unique(np.concatenate(v)) for w, v in pool.items()}
         # A bitmap on the top hash bits answers most membership tests.
         self.bitmap = {}
         for w, v in self.pool.items():
             self.bitmap[w] = np.zeros(1 << 20, bool)
             self.bitmap[w][(v >> np.uint64(44)).astype(np.int64)] = True
-        self.flips = [_flips(r) for r in _block_radii(radius)]
+        self.radii = _block_radii(radius)
+        self.flips = [_flips(r) for r in self.radii]
 
     def _known(self, width: int, shingles: np.ndarray) -> np.ndarray:
         out = self.bitmap[width][(shingles >> np.uint64(44)).astype(np.int64)]
         maybe = np.flatnonzero(out)
-        pool = self.pool[width]
-        at = np.minimum(np.searchsorted(pool, shingles[maybe]), len(pool) - 1)
-        out[maybe] = pool[at] == shingles[maybe]
+        out[maybe] = _member(self.pool[width], shingles[maybe])
         return out
 
     def _near(self, size: _Length, window_print: np.uint64) -> list[tuple[int, int]]:
         """(item position, bits) of the items within the radius."""
         seen = {}
-        for b, flips in enumerate(self.flips):
+        for b, (r, flips) in enumerate(zip(self.radii, self.flips)):
             table = size.blocks[b]
             block = (window_print >> np.uint64(b * BLOCK_BITS)) & np.uint64(0xFFFF)
             if len(table) <= len(flips):  # fewer blocks than probes: test the blocks themselves
-                probes = [key for key in table if int(block ^ np.uint64(key)).bit_count() <= len_radius(flips)]
+                probes = [key for key in table if (int(block) ^ key).bit_count() <= r]
             else:
                 probes = [int(v) for v in block ^ flips if int(v) in table]
             for key in probes:
@@ -167,15 +175,21 @@ class ItemIndex:
             known = self._known(width, shingles)
             if prefilter and not known.any():
                 continue
-            upto = np.concatenate([[0], np.cumsum(known)])
+            places = np.flatnonzero(known)
             for m, size in sizes.items():
                 n = min(m, len(shingles))  # a text shorter than the item is one window
                 # shared / (n + m - shared) >= similarity
                 need = ceil(self.similarity * (n + m) / (1 + self.similarity) - 1e-9)
                 if need > n:
                     continue
-                count = upto[n:] - upto[:-n]
-                starts = np.flatnonzero(count >= need) if prefilter else np.arange(len(count))
+                starts = np.arange(len(shingles) - n + 1)
+                if prefilter:
+                    if len(places) < need:
+                        continue
+                    own = places[_member(size.pool, shingles[places])]
+                    if len(own) < need:
+                        continue
+                    starts = starts[np.searchsorted(own, starts + n) - np.searchsorted(own, starts) >= need]
                 for start, window_print in self._windows(shingles, starts, n):
                     for j, bits in self._near(size, window_print):
                         score = self._similarity(size.shingles[j], shingles[start : start + n], m)
@@ -193,11 +207,6 @@ class ItemIndex:
         return shared / (m + len(window) - shared)
 
 
-def len_radius(flips: np.ndarray) -> int:
-    """The radius that a mask table covers (-1: none)."""
-    return int(flips[-1]).bit_count() if len(flips) else -1
-
-
 def _slices(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Iterator[list[tuple[int, bytes]]]:
     """The items in id order, in runs of at most ``limit`` characters (one item
     at least); rows stream to the driver one partition at a time."""
