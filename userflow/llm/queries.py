@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import decontam, simhash
+from userflow.llm import decontam, quality, secret_ledger, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +18,39 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and risk-controlled verdict of every document."""
+    found = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", "stratum", "rejected_by")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.expr("lpad(lower(hex(fp)), 16, '0')").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op8_simhash_near_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+def _span_list(spans: str) -> str:
+    """Comma-joined kind:start:end of a span array."""
+    names = ", ".join(f"'{r.name}'" for r in secret_ledger.RULES)
+    return f"array_join(transform({spans}, s -> concat_ws(':', array({names})[s.kind], s.start, s.end)), ',')"
+
+
+def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, through a ledger of its blobs."""
+    found = secret_ledger.scan(_table(spark, sf_dir, "documents"))
+    base = "filter(spans, s -> s.kind < 3)"  # assign, access, hex
+    return found.select(
+        "doc_id",
+        *[F.expr(f"cast(size(filter(spans, s -> s.kind = {k})) as bigint)").alias(f"n_{r.name}")
+          for k, r in enumerate(secret_ledger.RULES[:3])],
+        F.expr(f"sha2({_span_list(base)}, 256)").alias("base_sha256"),
+        F.expr(_span_list("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": quality.oracle_sql(),
+    "op10_secret_ledger": secret_ledger.oracle_sql(),
+}
