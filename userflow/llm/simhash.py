@@ -25,13 +25,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, pack, text_bytes, unpack
+from userflow.llm.common import arrow_batches, mix, pack, text_bytes, unpack
 from userflow.llm.components import connected_components
 from userflow.session import materialize
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 BITS = 64
+#: Rows (longs) of a written table up to which it is broadcast.
+BROADCAST_ROWS = 1_000_000
 _SEED = 42
 
 
@@ -67,24 +69,24 @@ def simhash_column(text: str | Column, k: int = SHINGLE_WORDS) -> Column:
     return _fingerprint_udf(k)(F.col(text) if isinstance(text, str) else text)
 
 
-def _masks(bits: int, max_bits: int) -> tuple[int, list[int]]:
-    """Segments, and for each (segment, bit) the mask kept of the fingerprint."""
+def _masks(bits: int, max_bits: int) -> list[int]:
+    """For each segment and each bit in it, what is kept of the fingerprint."""
     segments = max_bits // 2 + 1
     cuts = [bits * i // segments for i in range(segments + 1)]
     out = []
     for lo, hi in zip(cuts, cuts[1:]):
         whole = ((1 << hi) - 1) ^ ((1 << lo) - 1)
         out += [whole ^ (1 << b) for b in range(lo, hi)]
-    return segments, out
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+    return out
 
 
 def _signatures(fps: DataFrame, masks: list[int]) -> DataFrame:
-    """(fp, no, sig): the fingerprint under every mask; exploded in a task."""
-    table = np.array(masks, np.uint64).view(np.int64)
+    """(fp, sig): the fingerprint under every mask, hashed together with the
+    mask's number into one long.  Two signatures that collide only add
+    candidates, which are verified.  Every row becomes many, so the rows are
+    dealt out first."""
+    table = np.array(masks, np.uint64)
+    salt = mix(np.arange(1, len(masks) + 1, dtype=np.uint64))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,13 +94,17 @@ def _signatures(fps: DataFrame, masks: list[int]) -> DataFrame:
             step = max(1, (1 << 18) // len(table))
             for i in range(0, len(fp), step):
                 some = fp[i : i + step]
-                yield pa.record_batch({
-                    "fp": pa.array(np.repeat(some, len(table))),
-                    "no": pa.array(np.tile(np.arange(len(table), dtype=np.int32), len(some))),
-                    "sig": pa.array((some[:, None] & table[None, :]).ravel()),
-                })
+                sig = mix((some.view(np.uint64)[:, None] & table[None, :]) ^ salt[None, :])
+                yield pa.record_batch({"fp": pa.array(np.repeat(some, len(table))),
+                                       "sig": pa.array(sig.view(np.int64).ravel())})
+
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fps.select("fp").repartition(spread, "fp").mapInArrow(expand, "fp long, sig long")
+
 
-    return fps.mapInArrow(expand, "fp long, no int, sig long")
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` (a written table of one long), broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -107,16 +113,15 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     Pairs of a signature with up to two members come from its minimum and
     maximum; larger ones go through :func:`_crowded_pairs`."""
-    _, masks = _masks(BITS, max_bits)
-    signed = _signatures(fps, masks)
-    groups = materialize(signed.groupBy("no", "sig").agg(
+    signed = _signatures(fps, _masks(BITS, max_bits))
+    groups = materialize(signed.groupBy("sig").agg(
         F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     near = F.expr(f"bit_count(a ^ b) <= {max_bits}")
     pairs = groups.where(near).select("a", "b")
-    crowded = groups.where("n > 2").select("no", "sig")
+    crowded = materialize(groups.where("n > 2").select("sig"))
     if crowded.isEmpty():
         return pairs
-    members = materialize(signed.join(crowded, ["no", "sig"], "left_semi").select("fp").distinct())
+    members = materialize(signed.join(_small(crowded), "sig", "left_semi").select("fp").distinct())
     return pairs.unionByName(_crowded_pairs(members, max_bits))
 
 
@@ -126,7 +131,7 @@ def _crowded_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
     2^max_bits members, so the pairs of its short list are bounded."""
     whole = (1 << BITS) - 1
     masks = [whole ^ sum(1 << b for b in chosen) for chosen in combinations(range(BITS), max_bits)]
-    lists = (_signatures(fps, masks).groupBy("no", "sig")
+    lists = (_signatures(fps, masks).groupBy("sig")
              .agg(F.sort_array(F.collect_list("fp")).alias("m")).where("size(m) > 1"))
     return lists.selectExpr("explode(flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), "
                             "y -> struct(x as a, y as b))))) as p").select("p.a", "p.b").distinct()
