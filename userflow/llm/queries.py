@@ -3,10 +3,11 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import decontam, quality, secret_ledger, simhash
+from userflow.llm import bpe, decontam, quality, secret_ledger, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        bpe.sha256_column(F.col("ids")).alias("ids_sha256"),
+                        F.sha2(bpe.decode_column(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document."""
     found = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -49,7 +59,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_byte_bpe, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
 ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": quality.oracle_sql(),
     "op10_secret_ledger": secret_ledger.oracle_sql(),
