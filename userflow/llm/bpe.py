@@ -59,20 +59,18 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        #: (last emitted token, longest start, ((length of start, pending tokens), ...)) to its number
+        #: (last emitted token, longest start, ((length of start, pending tokens), ...)) to its number;
+        #: the empty start comes last, and its pending tokens end a piece there.
         self._number: dict = {}
         self._state: list = []
-        self._next: list[dict[int, tuple[int, tuple]]] = []
-        self._final: list[tuple] = []
+        #: state * 256 + byte to (state, emitted tokens)
+        self._next: dict[int, tuple[int, tuple]] = {}
         self._add((-1, b"", ((0, ()),)))
 
     def _add(self, state: tuple) -> int:
-        n = self._number.get(state)
-        if n is None:
-            n = self._number[state] = len(self._state)
+        n = self._number.setdefault(state, len(self._state))
+        if n == len(self._state):
             self._state.append(state)
-            self._next.append({})
-            self._final.append(next(pending for length, pending in state[2] if not length))
         return n
 
     def merge(self, piece: bytes) -> list[int]:
@@ -106,10 +104,10 @@ class Transducer:
     def _step(self, number: int, byte: int) -> tuple[int, tuple]:
         last, longest, starts = self._state[number]
         seen = longest + bytes((byte,))
-        end = len(seen)
+        end = len(seen) - 1
         reached, live = None, []
         for length, pending in starts:
-            own = seen[end - length - 1 :]
+            own = seen[end - length :]
             if reached is None:
                 rank = self.ranks.get(own)
                 if rank is not None and self._fits(pending[-1] if pending else last, rank):
@@ -117,17 +115,21 @@ class Transducer:
             if own in self.continued:
                 live.append((length + 1, pending))
         live.append((0, reached))
-        agreed = 0
-        shortest = min(len(p) for _, p in live)
-        while agreed < shortest and all(p[agreed] == live[0][1][agreed] for _, p in live):
-            agreed += 1
-        out = reached[:agreed]
-        if agreed:
-            last = out[-1]
-            live = [(length, p[agreed:]) for length, p in live]
-        longest_now = max(length for length, _ in live)
-        state = (last, seen[end - longest_now :] if longest_now else b"", tuple(live))
-        step = self._next[number][byte] = (self._add(state), out)
+        out: tuple = ()
+        if len(live) == 1:
+            out, live[0] = reached, (0, ())
+        else:
+            agreed = 0
+            for tokens in zip(*(p for _, p in live)):
+                if tokens.count(tokens[0]) != len(tokens):
+                    break
+                agreed += 1
+            if agreed:
+                out = reached[:agreed]
+                live = [(length, p[agreed:]) for length, p in live]
+        # Starts come longest first.
+        state = (out[-1] if out else last, seen[end + 1 - live[0][0] :], tuple(live))
+        step = self._next[number << 8 | byte] = (self._add(state), out)
         return step
 
     def encode(self, piece: bytes) -> list[int]:
@@ -135,15 +137,13 @@ class Transducer:
         if len(self._state) > self.max_states:
             self._reset()
         out: list[int] = []
-        at, table = 0, self._next
+        at, find = 0, self._next.get
         for byte in piece:
-            step = table[at].get(byte)
-            if step is None:
-                step = self._step(at, byte)
-            at, emitted = step
-            if emitted:
-                out += emitted
-        out += self._final[at]
+            step = find(at << 8 | byte) or self._step(at, byte)
+            at = step[0]
+            if step[1]:
+                out += step[1]
+        out += self._state[at][2][-1][1]
         return out
 
 
@@ -254,8 +254,11 @@ def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: st
             machine, split = Transducer(parse_ranks(content.value)), regex.compile(pattern)
 
             def encode_units(units: list[str]) -> list[bytes]:
-                return [np.array([i for piece in split.findall(u or "") for i in machine.encode(piece.encode())],
-                                 np.uint32).tobytes() for u in units]
+                pieces = [split.findall(u or "") for u in units]
+                ids = {}
+                for piece in set().union(*pieces):
+                    ids[piece] = np.array(machine.encode(piece.encode()), np.uint32).tobytes()
+                return [b"".join([ids[piece] for piece in own]) for own in pieces]
 
             coder = _CODERS[content.id, pattern] = UnitEncoder(encode_units)
         for batch in texts:
