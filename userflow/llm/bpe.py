@@ -240,27 +240,36 @@ def _lists(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return batch.flatten().to_numpy(zero_copy_only=False), ends - lengths, ends
 
 
-_CODERS: dict = {}
+_CODERS: dict[tuple[str, str], UnitEncoder] = {}
+
+
+def worker_coder(name: str, content, pattern: str) -> UnitEncoder:
+    """The encoder of this Python worker, kept for its later tasks.  ``name``
+    stands for the broadcast ``content``."""
+    coder = _CODERS.get((name, pattern))
+    if coder is None:
+        machine, split = Transducer(parse_ranks(content.value)), regex.compile(pattern)
+
+        def encode_units(units: list[str]) -> list[bytes]:
+            pieces = [split.findall(u or "") for u in units]
+            ids = {}
+            for piece in set().union(*pieces):
+                ids[piece] = np.array(machine.encode(piece.encode()), np.uint32).tobytes()
+            return [b"".join([ids[piece] for piece in own]) for own in pieces]
+
+        _CODERS.clear()
+        coder = _CODERS[name, pattern] = UnitEncoder(encode_units)
+    return coder
 
 
 def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: str) -> Column:
     """array<int>: the ids of a text column (null: no id)."""
-    content = spark.sparkContext.broadcast(read_ranks(rank_path))
+    ranks = read_ranks(rank_path)
+    name, content = hashlib.sha256(ranks).hexdigest(), spark.sparkContext.broadcast(ranks)
 
     @F.arrow_udf("array<int>")
     def bpe_ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder = _CODERS.get((content.id, pattern))
-        if coder is None:  # kept by the worker for later tasks
-            machine, split = Transducer(parse_ranks(content.value)), regex.compile(pattern)
-
-            def encode_units(units: list[str]) -> list[bytes]:
-                pieces = [split.findall(u or "") for u in units]
-                ids = {}
-                for piece in set().union(*pieces):
-                    ids[piece] = np.array(machine.encode(piece.encode()), np.uint32).tobytes()
-                return [b"".join([ids[piece] for piece in own]) for own in pieces]
-
-            coder = _CODERS[content.id, pattern] = UnitEncoder(encode_units)
+        coder = worker_coder(name, content, pattern)
         for batch in texts:
             yield id_list(coder.encode(batch.to_pylist()))
 
