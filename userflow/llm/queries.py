@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import bpe, decontam, quality, secret_ledger, simhash
+from userflow.llm import bpe, decontam, quality, secret_ledger, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as records of a chunked archive table, read back."""
+    found = warc.archive_pages(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -59,8 +65,16 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_byte_bpe, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_warc, op4_byte_bpe, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": f"""
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                      sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p),
+    r AS (SELECT *, payload_bytes >= {warc.MIN_REVISIT} AND page_id > first_id AS again FROM f)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+           CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN again THEN first_id END AS refers_to FROM r""",
     "op6_quality_rules": quality.oracle_sql(),
     "op10_secret_ledger": secret_ledger.oracle_sql(),
 }
