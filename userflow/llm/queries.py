@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import bpe, decontam, quality, secret_ledger, simhash, warc
+from userflow.llm import bpe, decontam, quality, secret_ledger, simhash, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of every document's ids, read back from grammar-compressed files."""
+    found = token_files.tokenize_to_files(_table(spark, sf_dir, "documents"),
+                                          public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as records of a chunked archive table, read back."""
     found = warc.archive_pages(_table(spark, sf_dir, "pages"))
@@ -65,7 +72,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_warc, op4_byte_bpe, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": f"""
     WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
