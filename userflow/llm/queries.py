@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import bpe, decontam, quality, secret_ledger, simhash, token_files, warc
+from userflow.llm import bpe, decontam, lm, quality, secret_ledger, simhash, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(bpe.decode_column(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"))
 
 
+def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact unigram and filter-based bigram log probability of every document."""
+    return lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document."""
     found = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -72,7 +77,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": f"""
     WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
