@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import bpe, decontam, lm, quality, secret_ledger, simhash, token_files, warc
+from userflow.llm import bpe, decontam, lm, quality, secret_ledger, simhash, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "stratum", "rejected_by")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document's restored text."""
+    return toxicity.score_texts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -77,7 +82,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op8_simhash_near_dedup, op10_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op7_toxicity, op8_simhash_near_dedup, op10_secret_ledger)}
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": f"""
     WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
