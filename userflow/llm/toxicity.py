@@ -38,7 +38,10 @@ HOLDOUT_OF, HOLDOUT_AT = 3, 1
 GRAM_SIZES = tuple(range(3, 13))
 #: A pick must cover this share of the toxic texts anew, a clean text weighs as
 #: so many toxic ones.
-MIN_COVER, CLEAN_COST = 0.004, 4.0
+MIN_COVER, CLEAN_COST = 0.002, 4.0
+#: Beginnings in this share of the toxic texts and in hardly any clean one are
+#: evidence too, whatever else covers those texts.
+COMMON_SHARE, COMMON_CLEAN = 0.05, 0.0005
 MAX_PICKS = 2000
 #: An n-gram must be in this share of the toxic texts to be considered.
 MIN_SHARE = 0.004
@@ -300,6 +303,12 @@ def _cover(found: list[np.ndarray], toxic: np.ndarray, n_keys: int) -> list[tupl
         picks.append((best, int((toxic[own] == 1).sum()), int((toxic[own] == 0).sum())))
         open_[own] = False
         gain[best] = -1.0
+    picked = {k for k, _, _ in picks}
+    n_toxic, n_clean = int((toxic == 1).sum()), int((toxic == 0).sum())
+    for k, own in enumerate(texts):
+        p = int((toxic[own] == 1).sum())
+        if k not in picked and p >= COMMON_SHARE * n_toxic and len(own) - p <= COMMON_CLEAN * n_clean:
+            picks.append((k, p, len(own) - p))
     return picks
 
 
