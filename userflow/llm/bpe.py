@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from userflow.llm.common import arrow_batches, pack
 
 #: States, and units with their ids, that a task keeps.
-MAX_STATES = 150_000
-MAX_UNITS = 400_000
+MAX_STATES = 100_000
+MAX_UNITS = 120_000
 MAX_UNIT_CHARS = 64
+_TEXTS_AT_ONCE = 200
 #: Ids decoded at a time.
 DECODE_IDS = 1 << 16
 
@@ -55,7 +56,9 @@ class Transducer:
         self.token = {r: t for t, r in ranks.items()}
         self.continued = {t[:i] for t in ranks for i in range(1, len(t))}
         self.max_states = max_states
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self._made_of: dict[int, tuple[int, int]] = {}
+        self._self: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -73,11 +76,12 @@ class Transducer:
             self._state.append(state)
         return n
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Encoding by repeated merges of the lowest rank (leftmost first)."""
+    def merge(self, piece: bytes, stop: int = 1) -> list[int]:
+        """Encoding by repeated merges of the lowest rank (leftmost first), until
+        ``stop`` tokens are left."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
         ranks = self.ranks
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 r = ranks.get(parts[i] + parts[i + 1])
@@ -88,17 +92,50 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [ranks[p] for p in parts]
 
+    def _halves(self, rank: int) -> tuple[int, int]:
+        """The two tokens whose merge makes a token (of a single byte: itself)."""
+        known = self._made_of.get(rank)
+        if known is None:
+            parts = self.merge(self.token[rank], 2)
+            known = self._made_of[rank] = (parts[0], parts[-1]) if len(parts) == 2 else (rank, rank)
+        return known
+
     def _fits(self, last: int, new: int) -> bool:
-        """Whether ``new`` may follow ``last`` (-1: the start of the piece)."""
-        known = self._pairs.get((last, new))
+        """Whether ``new`` may follow ``last`` (-1: the start of the piece).
+
+        Undo the merges of both, latest first: at each point the two tokens that
+        meet at the border must not make one that would have been merged before
+        the merge undone last."""
+        if last < 0:
+            return self._whole(new)
+        key = last << 20 | new
+        known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 8 * self.max_states:
+            if len(self._pairs) > 2 * self.max_states:
                 self._pairs.clear()
-            if last < 0:
-                known = self.merge(self.token[new]) == [new]
-            else:
-                known = self.merge(self.token[last] + self.token[new]) == [last, new]
-            self._pairs[last, new] = known
+            token, ranks = self.token, self.ranks
+            left, right, before, known = last, new, len(ranks), True
+            while True:
+                merged = ranks.get(token[left] + token[right])
+                if merged is not None and merged < before:
+                    known = False
+                    break
+                inner_left, inner_right = self._halves(left)[1], self._halves(right)[0]
+                left_open, right_open = inner_left != left, inner_right != right
+                if left_open and (left > right or not right_open):
+                    before, left = left, inner_left
+                elif right_open:  # of equals the left border wins: it comes first
+                    before, right = right + 1, inner_right
+                else:
+                    break
+            self._pairs[key] = known
+        return known
+
+    def _whole(self, rank: int) -> bool:
+        """Whether a token is the encoding of its own bytes."""
+        known = self._self.get(rank)
+        if known is None:
+            known = self._self[rank] = self.merge(self.token[rank]) == [rank]
         return known
 
     def _step(self, number: int, byte: int) -> tuple[int, tuple]:
@@ -151,41 +188,45 @@ class UnitEncoder:
     """Ids of whole texts from the ids of their units.
 
     ``encode_units(list of str) -> list of bytes`` gives the ids (little-endian
-    32-bit) of strings that start a piece; the results are kept, up to a bound.
+    32-bit) of strings that start a piece.  Results are kept in two generations:
+    when the young one is full the old one is dropped and replaced by it, and
+    units still in use come back from there.
     """
 
     def __init__(self, encode_units: Callable[[list[str]], list[bytes]], max_units: int = MAX_UNITS):
         self.encode_units, self.max_units = encode_units, max_units
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of " " + unit for all ``units``."""
-        new = [u for u in units if u not in self.known]
-        ids = dict(zip(new, self.encode_units([" " + u for u in new])))
-        if len(self.known) + len(new) > self.max_units:
-            old = self.known
-            self.known = {}
-            ids.update((u, old[u]) for u in units if u in old)
-        self.known.update((u, v) for u, v in ids.items() if len(u) <= MAX_UNIT_CHARS and len(self.known) < self.max_units)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids_of(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of " " + unit for the units that are not in the young generation."""
+        missing = units.difference(self.young)
+        ids = {u: self.old[u] for u in missing if u in self.old}
+        new = [u for u in missing if u not in ids]
+        ids.update(zip(new, self.encode_units([" " + u for u in new])))
         return ids
 
+    def _keep(self, ids: dict[str, bytes]) -> None:
+        if len(self.young) + len(ids) > self.max_units:
+            self.old, self.young = self.young, {}
+        self.young.update((u, v) for u, v in ids.items() if len(u) <= MAX_UNIT_CHARS)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").split(" ") for t in texts]
         rest = [units[1:] for units in cut]
-        fresh = self._learn(set().union(*rest)) if rest else {}
-        known = self.known
         # Runs of blanks are pieces of their own: such a text is encoded whole.
         plain = [not any(not u or u[0].isspace() for u in units) for units in rest]
         heads = self.encode_units([units[0] if p else t for t, units, p in zip(texts, cut, plain)])
         out = []
-        for head, units, p in zip(heads, rest, plain):
-            if not p:
+        for first in range(0, len(texts), _TEXTS_AT_ONCE):
+            some = slice(first, first + _TEXTS_AT_ONCE)
+            fresh = self._ids_of(set().union(*(u for u, p in zip(rest[some], plain[some]) if p)))
+            young = self.young
+            for head, units, p in zip(heads[some], rest[some], plain[some]):
+                if p:
+                    head += b"".join([young[u] if u in young else fresh[u] for u in units])
                 out.append(head)
-                continue
-            try:
-                out.append(head + b"".join([known[u] for u in units]))
-            except KeyError:
-                out.append(head + b"".join([known[u] if u in known else fresh[u] for u in units]))
+            self._keep(fresh)
         return out
 
 
@@ -232,12 +273,11 @@ def decode_ids(ids: np.ndarray, table: list[bytes]) -> Iterator[str]:
     yield stream.finish()
 
 
-def _lists(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All values of a list array, and the start and end of each list (a null
-    list is empty)."""
+def _lists(batch: pa.Array) -> Iterator[np.ndarray]:
+    """The values of each list of a list array (a null list is empty)."""
     lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(lengths)
-    return batch.flatten().to_numpy(zero_copy_only=False), ends - lengths, ends
+    flat, ends = batch.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+    return (flat[end - n : end] for n, end in zip(lengths, ends))
 
 
 _CODERS: dict[tuple[str, str], UnitEncoder] = {}
@@ -262,22 +302,24 @@ def worker_coder(name: str, content, pattern: str) -> UnitEncoder:
     return coder
 
 
-def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: str) -> Column:
-    """array<int>: the ids of a text column (null: no id)."""
+def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: str, packed: bool = False) -> Column:
+    """array<int>, or packed as little-endian unsigned 32-bit integers in a
+    binary: the ids of a text column (null: no id)."""
     ranks = read_ranks(rank_path)
     name, content = hashlib.sha256(ranks).hexdigest(), spark.sparkContext.broadcast(ranks)
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("binary" if packed else "array<int>")
     def bpe_ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = worker_coder(name, content, pattern)
         for batch in texts:
-            yield id_list(coder.encode(batch.to_pylist()))
+            ids = coder.encode(batch.to_pylist())
+            yield pa.array(ids, pa.binary()) if packed else id_list(ids)
 
     return bpe_ids.asNondeterministic()(text)
 
 
-def decode_column(spark: SparkSession, ids: Column, rank_path: str) -> Column:
-    """string: the text of an array of ids (null: empty)."""
+def decode_column(spark: SparkSession, ids: Column, rank_path: str, packed: bool = False) -> Column:
+    """string: the text of ids as :func:`encode_column` gives them (null: empty)."""
     content = spark.sparkContext.broadcast(read_ranks(rank_path))
 
     @F.arrow_udf("string")
@@ -287,47 +329,35 @@ def decode_column(spark: SparkSession, ids: Column, rank_path: str) -> Column:
         for token, r in ranks.items():
             table[r] = token
         for batch in batches:
-            flat, starts, ends = _lists(batch)
-            yield pa.array(["".join(decode_ids(flat[a:b], table)) for a, b in zip(starts, ends)], pa.string())
+            lists = (np.frombuffer(x, "<u4") for x in batch.fill_null(b"").to_pylist()) if packed else _lists(batch)
+            yield pa.array(["".join(decode_ids(x, table)) for x in lists], pa.string())
 
     return bpe_text(ids)
 
 
-def sha256_column(ids: Column) -> Column:
-    """Hex SHA-256 of ids as little-endian unsigned 32-bit integers."""
-
-    @F.arrow_udf("string")
-    def ids_sha256(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            flat, starts, ends = _lists(batch)
-            flat = flat.astype("<u4")
-            yield pa.array([hashlib.sha256(flat[a:b]).hexdigest() for a, b in zip(starts, ends)], pa.string())
-
-    return ids_sha256(ids)
-
-
-def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of every row, as tiktoken encodes ordinary text
+def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           packed: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row, as tiktoken encodes ordinary text
     with these ranks and this split pattern.
 
     Null and empty texts have no ids; repeated rows each give a row; an empty
     table gives an empty result; other columns are not read.  Nothing is
     shuffled and a text is never cut.
     """
-    arrow_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession, 400)
     return docs.select(F.col(id_col).alias("doc_id"),
-                       encode_column(docs.sparkSession, F.col(text_col), rank_path, pattern).alias("ids"))
+                       encode_column(docs.sparkSession, F.col(text_col), rank_path, pattern, packed).alias("ids"))
 
 
-def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", packed: bool = False) -> DataFrame:
     """``encoded`` with column ``text`` decoded from its ids."""
-    return encoded.withColumn("text", decode_column(encoded.sparkSession, F.col(ids_col), rank_path))
+    return encoded.withColumn("text", decode_column(encoded.sparkSession, F.col(ids_col), rank_path, packed))
 
 
 def add_ids(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_name: str = "token_ids",
             count_name: str = "n_tokens") -> DataFrame:
     """``docs`` with its ids and their number; columns of these names are replaced."""
-    arrow_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession, 400)
     rows = pack(docs).withColumn("_ids", encode_column(docs.sparkSession, F.col(f"_row.{text_col}"), rank_path, pattern))
     kept = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in (ids_name, count_name)]
     return rows.select(*kept, F.size("_ids").cast("long").alias(count_name), F.col("_ids").alias(ids_name))

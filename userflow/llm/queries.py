@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import bpe, decontam, lm, quality, secret_ledger, simhash, token_files, toxicity, warc
+from userflow.llm import bpe, decontam, licenses, lm, quality, secret_ledger, simhash, token_files, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +35,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                        bpe.sha256_column(F.col("ids")).alias("ids_sha256"),
-                        F.sha2(bpe.decode_column(spark, F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, packed=True)
+    return bpe.decode(coded, ranks, packed=True).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op5_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.expr("lpad(lower(hex(fp)), 16, '0')").alias("fingerprint"), "component_id")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices found in documents, with their best window."""
+    return licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+
 def _span_list(spans: str) -> str:
     """Comma-joined kind:start:end of a span array."""
     names = ", ".join(f"'{r.name}'" for r in secret_ledger.RULES)
@@ -82,7 +87,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op7_toxicity, op8_simhash_near_dedup, op10_secret_ledger)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op7_toxicity, op8_simhash_near_dedup, op9_license_scan, op10_secret_ledger)}
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": f"""
     WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -93,5 +98,6 @@ ORACLE_SQL: dict[str, str] = {
            CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
            CASE WHEN again THEN first_id END AS refers_to FROM r""",
     "op6_quality_rules": quality.oracle_sql(),
+    "op9_license_scan": licenses.oracle_sql(),
     "op10_secret_ledger": secret_ledger.oracle_sql(),
 }
