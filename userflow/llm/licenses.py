@@ -85,17 +85,19 @@ def find_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     every = sorted({h for t in known for h in t["shingles"]})
     any_of = "h IN (" + ", ".join(f"{h}L" if h > -(2**63) else "-9223372036854775807L - 1" for h in every) + ")"
     sizes = sorted({t["n_words"] for t in known})
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.expr(_words_sql(f"`{text_col}`")).alias("w"))
-    rows = rows.select("doc_id", F.expr(_shingles_sql("w", k)).alias("g"))
+    # stack(1, x) names a result that is computed once: a plain column would be
+    # put in place of its name in the filter below, inside the functions over it.
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.expr(f"stack(1, {_words_sql(f'`{text_col}`')})").alias("w"))
+    rows = rows.select("doc_id", F.expr(f"stack(1, {_shingles_sql('w', k)})").alias("g"))
     # Places of template shingles: none, no license.
-    rows = rows.select("doc_id", "g", F.expr(
-        f"filter(transform(g, (h, i) -> CASE WHEN {any_of} THEN i END), i -> i IS NOT NULL)").alias("hits")).where("size(hits) > 0")
+    places = f"filter(transform(g, (h, i) -> CASE WHEN {any_of} THEN i END), i -> i IS NOT NULL)"
+    rows = rows.select("doc_id", "g", F.expr(f"stack(1, {places})").alias("hits")).where("size(hits) > 0")
     starts = ", ".join(
         f"transform(array_distinct(flatten(transform(hits, p -> array(p div {m}, greatest(p div {m} - 1, 0))))), "
         f"b -> struct({m} as m, cast(b * {m} as int) as start))" for m in sizes)
     windows = rows.select("doc_id", "g", F.expr(f"explode(flatten(array({starts})))").alias("x"))
     windows = windows.select("doc_id", "x.m", "x.start", F.expr(
-        f"array_distinct(slice(g, x.start + 1, 2 * x.m - {k - 1}))").alias("s"))
+        f"stack(1, array_distinct(slice(g, x.start + 1, 2 * x.m - {k - 1})))").alias("s"))
     # A window keeps its shingles beside its bands: few windows are left by now.
     banded = windows.select("doc_id", "m", "start", "s", F.expr(f"explode({_bands_sql('s', bands)})").alias("b"))
     shapes = template_table(spark, templates, k)
