@@ -12,10 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from userflow.functions.columns import day_bucket, e, floor_div, yes_no
+from userflow.functions.columns import day_bucket, e, floor_div, page_flag
 from userflow.sources.schema import label_pages
 
 
+FLAG_NAMES = ("churn", "upgrade", "downgrade")
+
+
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]):
     cond = None
     for lc, rc in pairs:
@@ -45,10 +48,19 @@ def daily_lifecycle(df: DataFrame, pages: dict[str, str], ts: str = "ts", page:
     )
 
 
+def _flags(pages: dict[str, str], page: str = "page") -> list:
+    """0 / 1 aggregates: numbers keep the aggregation hash-based."""
+    lp = label_pages(pages)
+    return [F.max(page_flag(page, lp[n])).alias(n) for n in FLAG_NAMES]
+
+
+def _yes_no_names() -> list:
+    return [F.when(F.col(n) == 1, F.lit("Yes")).otherwise(F.lit("No")).alias(n) for n in FLAG_NAMES]
+
+
 def user_flags(df: DataFrame, pages: dict[str, str], user: str = "userId", page: str = "page") -> DataFrame:
     """Per user: ``Yes`` / ``No`` for ever having churned, upgraded, downgraded."""
-    lp = label_pages(pages)
-    return df.groupBy(user).agg(*[F.max(yes_no(page, lp[n])).alias(n) for n in ("churn", "upgrade", "downgrade")])
+    return df.groupBy(user).agg(*_flags(pages, page)).select(user, *_yes_no_names())
 
 
 def with_lifecycle_flags(df: DataFrame, pages: dict[str, str], user: str = "userId") -> DataFrame:
@@ -60,14 +72,24 @@ def with_lifecycle_flags(df: DataFrame, pages: dict[str, str], user: str = "user
 
 def user_profile(df: DataFrame, pages: dict[str, str], user: str = "userId", ts: str = "ts") -> DataFrame:
     """One row per user: lifecycle flags and the latest gender, level and
-    registration (the state at the user's last event)."""
-    lp = label_pages(pages)
-    return df.groupBy(user).agg(
-        *[F.max(yes_no("page", lp[n])).alias(n) for n in ("churn", "upgrade", "downgrade")],
-        F.max_by("gender", ts).alias("gender"),
-        F.max_by("level", ts).alias("level"),
-        F.max_by("registration", ts).alias("registration"),
-    )
+    registration (the state at the user's last event).
+
+    The two values of ``gender`` (F, M) and ``level`` (paid, free) are carried as
+    numbers behind the time; of tied last events F and paid win; any other value
+    is null.  The latest registration is the largest of tied ones."""
+
+    def latest(column: str, values: tuple[str, str]):
+        code = F.when(F.col(column) == values[0], 2).when(F.col(column) == values[1], 1).otherwise(0)
+        return F.max(F.col(ts) * 4 + code).alias(f"_{column}")
+
+    def value(column: str, values: tuple[str, str]):
+        code = F.pmod(F.col(f"_{column}"), F.lit(4))
+        return F.when(code == 2, F.lit(values[0])).when(code == 1, F.lit(values[1])).alias(column)
+
+    gender, level = ("F", "M"), ("paid", "free")
+    per_user = df.groupBy(user).agg(*_flags(pages), latest("gender", gender), latest("level", level),
+                                    F.max_by("registration", ts).alias("registration"))
+    return per_user.select(user, *_yes_no_names(), value("gender", gender), value("level", level), "registration")
 
 
 def count_users_by(users: DataFrame, *cols: str) -> DataFrame:
@@ -97,9 +119,17 @@ def entry_level(df: DataFrame, user: str = "userId", ts: str = "ts") -> DataFram
 
 def last_level_by(df: DataFrame, pages: dict[str, str], flag: str = "churn", user: str = "userId",
                   ts: str = "ts") -> DataFrame:
-    """Last-event rows per (level, lifecycle flag)."""
-    flagged = with_lifecycle_flags(df.select(user, ts, "page", "level"), pages, user)
-    return last_events(flagged, user, ts).groupBy("level", flag).agg(F.count(F.lit(1)).alias("n"))
+    """Last-event rows per (level, lifecycle flag).
+
+    The log is counted once by (user, time, level) with its flags; the user rows
+    (last time, flags) and the counts at the last time both come from there."""
+    counted = df.groupBy(user, ts, "level").agg(F.count(F.lit(1)).alias("_n"), *_flags(pages))
+    users = counted.groupBy(F.col(user).alias("_u")).agg(
+        F.max(ts).alias("_t"), F.max(flag).alias("_flag"))
+    last = counted.select(user, ts, "level", "_n").join(
+        users, F.col(user).eqNullSafe(F.col("_u")) & (F.col(ts) == F.col("_t")))
+    named = F.when(F.col("_flag") == 1, F.lit("Yes")).otherwise(F.lit("No")).alias(flag)
+    return last.select("level", named, "_n").groupBy("level", flag).agg(F.sum("_n").alias("n"))
 
 
 def page_frequency(df: DataFrame, limit: int | None = None, page: str = "page") -> DataFrame:

@@ -62,8 +62,8 @@ def rebalance(df: DataFrame, label: str, seed: int, key: str = "userId") -> Data
 
     Every minority row is kept; a majority row is kept when
     ``bucket * n_major < n_minor * 2^32`` (exact integer test).  With one
-    class the input is returned unchanged.  The class counts are one row per
-    label value and are the only thing brought to the driver.
+    class the input is returned unchanged.  Rows with a null label belong to
+    neither class and are kept.
     """
     keep = rebalance_condition(df, label, seed, key)
     return df if keep is None else df.where(keep)
@@ -71,16 +71,20 @@ def rebalance(df: DataFrame, label: str, seed: int, key: str = "userId") -> Data
 
 def rebalance_condition(df: DataFrame, label: str, seed: int, key: str = "userId") -> Column | None:
     """The row test of :func:`rebalance` (``None``: every row is kept), for
-    queries that tag the rebalanced rows inside a larger pass."""
-    counts = df.groupBy(label).count().collect()
-    if len(counts) > 2:
-        raise ValueError(f"{label} is not binary")
-    if len(counts) < 2:
+    queries that tag the rebalanced rows inside a larger pass.
+
+    The driver sees two aggregate rows: the least and largest label, then how
+    many rows have them; any other label makes it not binary."""
+    low, high = df.agg(F.min(label), F.max(label)).head()
+    if low is None or low == high:
         return None
-    (v0, n0), (v1, n1) = sorted(((r[0], r[1]) for r in counts), key=lambda t: t[1])
-    minor_val, n_minor, major_val, n_major = v0, n0, v1, n1
-    if n_minor == n_major:
+    n_low, n_high, n = df.agg(F.count_if(F.col(label) == F.lit(low)), F.count_if(F.col(label) == F.lit(high)),
+                              F.count(label)).head()
+    if n_low + n_high != n:
+        raise ValueError(f"{label} is not binary")
+    if n_low == n_high:
         return None
+    minor_val, n_minor, n_major = (low, n_low, n_high) if n_low < n_high else (high, n_high, n_low)
     bucket = hash_unit(key, seed).cast("decimal(38,0)")
     keep_major = bucket * F.lit(n_major).cast("decimal(38,0)") < F.lit(n_minor * TWO_32).cast("decimal(38,0)")
-    return (F.col(label) == F.lit(minor_val)) | keep_major
+    return F.col(label).isNull() | (F.col(label) == F.lit(minor_val)) | keep_major

@@ -58,8 +58,12 @@ class CutoffPlan:
 
 def time_slice(df: DataFrame, start_ms: int, end_ms: int, ts: str = "ts") -> DataFrame:
     """Rows with ``start_ms <= ts < end_ms``; on the raw column so parquet
-    readers receive the predicate."""
-    return df.where((F.col(ts) >= F.lit(int(start_ms))) & (F.col(ts) < F.lit(int(end_ms))))
+    readers receive the predicate.  Where the log is stored by ``day``, the days
+    are bounded too, so other days' files are not opened."""
+    out = df.where((F.col(ts) >= F.lit(int(start_ms))) & (F.col(ts) < F.lit(int(end_ms))))
+    if "day" in df.columns:
+        out = out.where(F.col("day").between(int(start_ms) // DAY_MS, (int(end_ms) - 1) // DAY_MS))
+    return out
 
 
 def cutoff_table(spark: SparkSession, plan: CutoffPlan) -> DataFrame:

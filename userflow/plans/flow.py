@@ -13,7 +13,6 @@ import argparse
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.storagelevel import StorageLevel
 
 from userflow.operators.evaluate import metrics
 from userflow.operators.sampling import rebalance, split_by_key
@@ -55,7 +54,7 @@ def train(spark: SparkSession, log: DataFrame, s: RunSettings, model_path: str |
     stage = s.feature_stage()
     table = materialize(stage.transform(log))
     train_set, test_set = split_by_key(table, s.split_ratio, s.split_seed, key="user")
-    balanced = rebalance(train_set, s.label, s.rebalance_seed, key="userId").persist(StorageLevel.MEMORY_AND_DISK)
+    balanced = materialize(rebalance(train_set, s.label, s.rebalance_seed, key="userId"))
     fitted = modeling.build_pipeline(s.label, s.kind, **s.params).fit(balanced)
     path = modeling.save_model(spark, modeling.scoring_model(stage, fitted), model_path)
     report = modeling.evaluate_sets(fitted, {"test": test_set, "train": train_set, "rebalanced": balanced}, s.label)

@@ -12,8 +12,6 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.storagelevel import StorageLevel
-
 from userflow.operators import sampling
 from userflow.operators.evaluate import metrics
 from userflow.plans import modeling
@@ -40,12 +38,12 @@ def _sets(spark: SparkSession, sf: str):
     """(train, test, rebalanced) from a feature table written once to the
     shared checkpoint folder: model fitting makes many passes, and none of
     them recomputes the feature plan or depends on a lost executor's blocks."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _SETS:
         ft = materialize(_ft(spark, sf))
         train, test = sampling.split_by_key(ft, SPLIT_RATIO, SPLIT_SEED, key="user")
         rebalanced = sampling.rebalance(train, LABEL, REBALANCE_SEED, key="userId")
-        _SETS[key] = (train, test, rebalanced.persist(StorageLevel.MEMORY_AND_DISK))
+        _SETS[key] = (train, test, materialize(rebalanced))
     return _SETS[key]
 
 
@@ -54,7 +52,7 @@ def _fit_timed(spark: SparkSession, sf: str, kind: str = "gbt", **params):
     if kind == "gbt":
         params.setdefault("maxIter", modeling.GBT_ROUNDS)
         params.setdefault("maxDepth", modeling.GBT_DEPTH)
-    key = (id(spark), sf, kind, tuple(sorted(params.items())))
+    key = (spark.sparkContext.applicationId, sf, kind, tuple(sorted(params.items())))
     if key not in _FITTED:
         _, _, rebalanced = _sets(spark, sf)
         start = time.time()

@@ -19,9 +19,17 @@ from pyspark.sql import functions as F
 from userflow.functions.columns import length_filled, page_flag, round_doubles, tenure_days
 from userflow.operators import clean, explore, features, sampling, windows
 from userflow.operators.evaluate import metrics
-from userflow.sources.schema import DAY_MS, FEATURE_ORDER, LABELS, PAGE_CODES, TABLE_PAGES, count_column
+from userflow.sources.schema import DAY_MS, FEATURE_ORDER, LABELS, PAGE_CODES, TABLE_PAGES, count_column, label_pages
 from userflow.session import materialize
-from userflow.sources.tables import activity_from_tables, read_table, with_anonymous_users
+from userflow.sources.tables import (
+    RARE_EVERY,
+    RARE_PAGE,
+    activity_from_tables,
+    read_table,
+    with_anonymous_users,
+    with_rare_labels,
+    with_tied_times,
+)
 
 PAGES = TABLE_PAGES
 PLAN = windows.CutoffPlan(cutoff_ms=1_706_400_000_000, look_back_days=14, look_ahead_days=1, n_extra=6,
@@ -42,8 +50,13 @@ def act(spark, sf, cols=None, between=None, known_users=False) -> DataFrame:
     return activity_from_tables(spark, sf, cols, between, known_users)
 
 
-def anon(spark, sf) -> DataFrame:
-    return with_anonymous_users(act(spark, sf))
+def anon(spark, sf, cols=None) -> DataFrame:
+    return with_anonymous_users(act(spark, sf, cols))
+
+
+def rare(spark, sf, cols) -> DataFrame:
+    """The log in which lifecycle events are rare enough to tell users apart."""
+    return with_rare_labels(act(spark, sf, cols), PAGES)
 
 
 def plan_days(plan: windows.CutoffPlan):
@@ -83,7 +96,7 @@ def _with_rule(df):
 
 
 def _users_slice(spark, sf):
-    return explore.user_profile(act(spark, sf, ["userId", "ts", "page", "gender", "level", "registration"]), PAGES)
+    return explore.user_profile(rare(spark, sf, ["userId", "ts", "page", "gender", "level", "registration"]), PAGES)
 
 
 def q_activity_scan(spark, sf):
@@ -106,7 +119,7 @@ def q_users_missing_registration(spark, sf):
     # Dropping anonymous rows filters on the id only, so "after" is "before"
     # without the anonymous ids: one distinct pass over the log, each user row
     # tagged with the stages it is in.
-    users = clean.missing_registration(anon(spark, sf))
+    users = clean.missing_registration(anon(spark, sf, ["userId", "registration"]))
     known = F.col("userId").isNotNull() & (F.col("userId") != F.lit(""))
     stages = F.when(known, F.array(F.lit("before"), F.lit("after"))).otherwise(F.array(F.lit("before")))
     return users.select(F.explode(stages).alias("stage"), "userId")
@@ -142,7 +155,7 @@ def q_page_flags(spark, sf):
 
 
 def q_tenure_days(spark, sf):
-    a = anon(spark, sf)
+    a = anon(spark, sf, ["userId", "ts", "registration"])
     return round_doubles(a.select("userId", "ts", tenure_days("registration", PLAN.cutoff_ms).alias("tenure_days")))
 
 
@@ -164,18 +177,18 @@ def q_daily_lifecycle_counts(spark, sf):
 
 
 def q_user_lifecycle_flags(spark, sf):
-    return explore.with_lifecycle_flags(act(spark, sf, ["userId", "ts", "page"]), PAGES)
+    return explore.with_lifecycle_flags(rare(spark, sf, ["userId", "ts", "page"]), PAGES)
 
 
 def _by_flag(flag):
     def q(spark, sf):
-        flags = explore.user_flags(act(spark, sf, ["userId", "page"]), PAGES)
+        flags = explore.user_flags(rare(spark, sf, ["userId", "ts", "page"]), PAGES)
         return explore.count_users_by(flags, flag).orderBy(F.desc(flag))
     return q
 
 
 def q_users_by_flag_combo(spark, sf):
-    flags = explore.user_flags(act(spark, sf, ["userId", "page"]), PAGES)
+    flags = explore.user_flags(rare(spark, sf, ["userId", "ts", "page"]), PAGES)
     return explore.count_users_by(flags, "churn", "upgrade", "downgrade").orderBy(F.desc("n_users"))
 
 
@@ -188,11 +201,11 @@ def q_gender_by_churn(spark, sf):
 
 
 def q_last_level_by_churn(spark, sf):
-    return explore.last_level_by(act(spark, sf, ["userId", "ts", "page", "level"]), PAGES)
+    return explore.last_level_by(rare(spark, sf, ["userId", "ts", "page", "level"]), PAGES)
 
 
 def q_entry_level_counts(spark, sf):
-    return explore.entry_level(act(spark, sf, ["userId", "ts", "level"]))
+    return explore.entry_level(with_tied_times(act(spark, sf, ["userId", "ts", "level"])))
 
 
 def q_registration_by_churn(spark, sf):
@@ -212,11 +225,11 @@ def q_user_profile(spark, sf):
 
 
 def q_first_events(spark, sf):
-    return explore.first_events(act(spark, sf, ["userId", "ts", "level"]))
+    return explore.first_events(with_tied_times(act(spark, sf, ["userId", "ts", "level"])))
 
 
 def q_last_events(spark, sf):
-    return explore.last_events(act(spark, sf, ["userId", "ts", "level"]))
+    return explore.last_events(with_tied_times(act(spark, sf, ["userId", "ts", "level"])))
 
 
 def q_session_last_items(spark, sf):
@@ -446,7 +459,9 @@ _FLAGS = ",\n       ".join(
     f"max(case when page = {_lit(PAGES[code])} then 'Yes' else 'No' end) as {name}"
     for name, code in (("churn", "CC"), ("upgrade", "SU"), ("downgrade", "SD"))
 )
-SLICE_SQL = f"""sl as (select * from act),
+_RARE = ", ".join(_lit(p) for p in label_pages(PAGES).values())
+SLICE_SQL = f"""sl as (select * replace (case when page in ({_RARE}) and (ts // 1000) % {RARE_EVERY} <> 0
+                                  then {_lit(RARE_PAGE)} else page end as page) from act),
 uf as (select userId,
        {_FLAGS}
 from sl group by userId)"""
@@ -475,6 +490,7 @@ _RATIOS = ["recall", "precision", "accuracy", "f1"]
 def _sql() -> dict[str, str]:
     a = _with(ACT_SQL)
     an = _with(ACT_SQL, ANON_SQL)
+    tied = _with(ACT_SQL, "tied as (select * replace (ts - ts % 43200000 as ts) from act)")
     w = _with(ACT_SQL, WIN_SQL)
     sl = _with(ACT_SQL, SLICE_SQL)
     pr = _with(ACT_SQL, SLICE_SQL, PROFILE_SQL)
@@ -525,9 +541,9 @@ def _sql() -> dict[str, str]:
             "select s.level, f.churn, count(*) as n from sl s "
             "join (select userId, max(ts) as mt from sl group by 1) m on m.userId = s.userId and s.ts = m.mt "
             "join uf f on f.userId = s.userId group by 1, 2"),
-        "entry_level_counts": a + (
-            "select a.level, count(a.level) as n from act a "
-            "join (select userId, min(ts) as mt from act group by 1) m on m.userId = a.userId and a.ts = m.mt "
+        "entry_level_counts": tied + (
+            "select a.level, count(a.level) as n from tied a "
+            "join (select userId, min(ts) as mt from tied group by 1) m on m.userId = a.userId and a.ts = m.mt "
             "group by 1"),
         "registration_by_churn": pr + _round(
             f"select churn, count(registration) as n_users, {_SPREAD}, min(registration / {D}) as min_day, "
@@ -535,12 +551,12 @@ def _sql() -> dict[str, str]:
             [f"p{int(q * 100):02d}_day" for q in explore.QUANTILES] + ["min_day", "max_day", "avg_day"]),
         "distinct_users": a + "select distinct userId from act",
         "user_profile": pr + "select * from up",
-        "first_events": a + (
-            "select a.userId, a.ts, a.level from act a "
-            "join (select userId, min(ts) as mt from act group by 1) m on m.userId = a.userId and a.ts = m.mt"),
-        "last_events": a + (
-            "select a.userId, a.ts, a.level from act a "
-            "join (select userId, max(ts) as mt from act group by 1) m on m.userId = a.userId and a.ts = m.mt"),
+        "first_events": tied + (
+            "select a.userId, a.ts, a.level from tied a "
+            "join (select userId, min(ts) as mt from tied group by 1) m on m.userId = a.userId and a.ts = m.mt"),
+        "last_events": tied + (
+            "select a.userId, a.ts, a.level from tied a "
+            "join (select userId, max(ts) as mt from tied group by 1) m on m.userId = a.userId and a.ts = m.mt"),
         "session_last_items": a + (
             "select a.userId, a.sessionId, a.itemInSession, a.ts from act a "
             "join (select userId, sessionId, max(itemInSession) as m from act group by 1, 2) s "

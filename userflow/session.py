@@ -43,17 +43,23 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, local runs) a fresh
-    folder is created and registered as the checkpoint folder.
+    Read from the session; only a local master may go without it (tests, local
+    runs): a fresh folder is then created and registered as the checkpoint
+    folder.  Elsewhere each executor would write to a disk of its own, so a
+    missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the setting
-        return configured or ""
-    d = sc.getCheckpointDir()
-    if d:
-        return d
+    except Exception:  # Spark Connect: only the server's setting counts
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    local = sc is not None and sc.master.split("[")[0] == "local"
+    if not configured and not local:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="userflow-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -72,4 +78,18 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "tables")
     df.write.mode("error").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the copies that :func:`materialize` wrote in this process, once
+    nothing reads them any more; returns how many there were."""
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from userflow.functions.columns import e, epoch_ms, floor_div, q
 from userflow.operators.ordering import position_in_group
-from userflow.sources.schema import DAY_MS, EVENT_COLUMNS
+from userflow.sources.schema import DAY_MS, EVENT_COLUMNS, label_pages
 
 VIEW_PAGE = "view"
 
@@ -37,26 +37,10 @@ def _ntz_literal(ms: int):
     return F.expr(f"TIMESTAMP_NTZ'{t.isoformat(sep=' ')}'")
 
 
-_HANDLES: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A session-wide handle on one parquet table: files are listed and the
-    footer schema is read once per session, not once per query."""
-    key = (_owner(spark), sf_dir, name)
-    if key not in _HANDLES:
-        _HANDLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _HANDLES[key]
-
-
-_VIEWS: dict = {}
-
-
-def _owner(spark: SparkSession):
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext (Spark Connect)
-        return id(spark)
+    """One parquet table; its files are listed at every call, so rows added
+    since the last one are read."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def activity_from_tables(
@@ -73,22 +57,10 @@ def activity_from_tables(
     are whole days, so in-session positions are unchanged by it.
 
     ``known_users`` keeps only rows with a user id, at the source (callers
-    that drop anonymous users anyway); both sides of the in-session position
-    then read the same input and share one shuffle.
-
-    The view definition is built once per session and arguments (a
-    DataFrame is an immutable plan; every action still reads the tables).
+    that drop anonymous users anyway).
     """
-    cols = tuple(columns) if columns else tuple(EVENT_COLUMNS)
+    cols = list(columns) if columns else list(EVENT_COLUMNS)
     tz = spark.conf.get("spark.sql.session.timeZone")
-    key = (_owner(spark), sf_dir, cols, between, tz, known_users)
-    if key not in _VIEWS:
-        _VIEWS[key] = _build_activity(spark, sf_dir, list(cols), between, tz, known_users)
-    return _VIEWS[key]
-
-
-def _build_activity(spark: SparkSession, sf_dir: str, cols: list[str], between, tz: str,
-                    known_users: bool) -> DataFrame:
     unknown = set(cols) - set(EVENT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown columns {sorted(unknown)}")
@@ -163,3 +135,22 @@ def with_anonymous_users(df: DataFrame, empty_every: int = 50, null_every: int =
             F.when(k % no_registration_every == 0, F.lit(None).cast("long")).otherwise(F.col("registration")),
         )
     return out.drop("_k")
+
+
+#: Of label-page events only those in every 17th second stay label events.
+RARE_EVERY = 17
+RARE_PAGE = "minor"
+
+
+def with_rare_labels(df: DataFrame, pages: dict[str, str]) -> DataFrame:
+    """Fixture over the test tables, where every user has every event type: a
+    label page stays only where the second of ``ts`` is divisible by
+    :data:`RARE_EVERY`, elsewhere it becomes :data:`RARE_PAGE`, so that each
+    lifecycle flag holds for some users and not for others.  Every row is kept."""
+    rare = F.col("page").isin(list(label_pages(pages).values())) & (F.expr(f"pmod(ts div 1000, {RARE_EVERY})") != 0)
+    return df.withColumn("page", F.when(rare, F.lit(RARE_PAGE)).otherwise(F.col("page")))
+
+
+def with_tied_times(df: DataFrame, grain_ms: int = 12 * 3_600_000) -> DataFrame:
+    """Fixture: times cut down to half days, so first and last events tie."""
+    return df.withColumn("ts", F.expr(f"ts - pmod(ts, {int(grain_ms)})"))
