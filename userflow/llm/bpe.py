@@ -10,14 +10,14 @@ emitted; a start dies once no vocabulary entry continues it, so the lookahead
 is bounded by the longest entry.  States and transitions are made when first
 met and dropped together when there are too many.
 
-Text is cut into units at single blanks before a non-blank, where the split
-pattern always starts a new piece; a bounded table keeps the ids of units.
+Text is cut into pieces by the split pattern; a bounded table keeps their ids.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from userflow.llm.common import arrow_batches, pack
 
-#: States, and units with their ids, that a task keeps.
-MAX_STATES = 100_000
-MAX_UNITS = 120_000
+#: States, and strings with their ids in one generation, that a worker keeps.
+MAX_STATES = 150_000
+MAX_UNITS = 300_000
 MAX_UNIT_CHARS = 64
 _TEXTS_AT_ONCE = 200
 #: Ids decoded at a time.
@@ -184,50 +184,74 @@ class Transducer:
         return out
 
 
-class UnitEncoder:
-    """Ids of whole texts from the ids of their units.
-
-    ``encode_units(list of str) -> list of bytes`` gives the ids (little-endian
-    32-bit) of strings that start a piece.  Results are kept in two generations:
-    when the young one is full the old one is dropped and replaced by it, and
-    units still in use come back from there.
-    """
+class IdTable:
+    """Ids (little-endian 32-bit) of strings, kept in two generations: when the
+    young one is full the old one is dropped and replaced by it, and strings
+    still in use come back from there."""
 
-    def __init__(self, encode_units: Callable[[list[str]], list[bytes]], max_units: int = MAX_UNITS):
-        self.encode_units, self.max_units = encode_units, max_units
+    def __init__(self, encode_new: Callable[[list[str]], list[bytes]], size: int = MAX_UNITS):
+        self.encode_new, self.size = encode_new, size
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _ids_of(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of " " + unit for the units that are not in the young generation."""
-        missing = units.difference(self.young)
-        ids = {u: self.old[u] for u in missing if u in self.old}
-        new = [u for u in missing if u not in ids]
-        ids.update(zip(new, self.encode_units([" " + u for u in new])))
-        return ids
+    def joined(self, lists: list[list[str]]) -> Iterator[bytes]:
+        """For each list the ids of its strings, one after the other."""
+        for first in range(0, len(lists), _TEXTS_AT_ONCE):
+            some = lists[first : first + _TEXTS_AT_ONCE]
+            missing = set().union(*some).difference(self.young)
+            fresh = {u: self.old[u] for u in missing if u in self.old}
+            new = [u for u in missing if u not in fresh]
+            fresh.update(zip(new, self.encode_new(new)))
+            short = {u: v for u, v in fresh.items() if len(u) <= MAX_UNIT_CHARS}
+            if len(self.young) + len(short) > self.size:
+                self.old, self.young = self.young, {}
+                # What these texts need beside the fresh strings is in the old generation now.
+                fresh.update((u, self.old[u]) for strings in some for u in strings if u in self.old)
+            self.young.update(short)
+            fresh = {u: v for u, v in fresh.items() if u not in self.young}
+            ids = self.young if not fresh else _Either(self.young, fresh)
+            for strings in some:
+                yield b"".join([ids[u] for u in strings])
+
+
+class _Either(dict):
+    """A table beside which a few strings are looked up."""
+
+    def __init__(self, table: dict, rest: dict):
+        super().__init__(rest)
+        self.table = table
+
+    def __getitem__(self, u: str) -> bytes:
+        return self.table[u] if u in self.table else super().__getitem__(u)
+
+
+class PieceEncoder:
+    """Ids of whole texts, cut into pieces by the split pattern."""
 
-    def _keep(self, ids: dict[str, bytes]) -> None:
-        if len(self.young) + len(ids) > self.max_units:
-            self.old, self.young = self.young, {}
-        self.young.update((u, v) for u, v in ids.items() if len(u) <= MAX_UNIT_CHARS)
+    def __init__(self, machine: Transducer, pattern: str, size: int = MAX_UNITS):
+        self.split = regex.compile(pattern).findall
+        self.table = IdTable(lambda new: [array("I", machine.encode(p.encode())).tobytes() for p in new], size)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return list(self.table.joined([self.split(t) if t else [] for t in texts]))
+
+
+class UnitEncoder:
+    """Ids of whole texts for a library that encodes strings whole, from the ids
+    of units: text between single blanks, where the usual split pattern always
+    starts a new piece.  ``encode_strings(list of str) -> list of bytes``."""
+
+    def __init__(self, encode_strings: Callable[[list[str]], list[bytes]], size: int = MAX_UNITS):
+        self.encode_strings = encode_strings
+        self.table = IdTable(lambda new: encode_strings([" " + u for u in new]), size)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").split(" ") for t in texts]
-        rest = [units[1:] for units in cut]
         # Runs of blanks are pieces of their own: such a text is encoded whole.
-        plain = [not any(not u or u[0].isspace() for u in units) for units in rest]
-        heads = self.encode_units([units[0] if p else t for t, units, p in zip(texts, cut, plain)])
-        out = []
-        for first in range(0, len(texts), _TEXTS_AT_ONCE):
-            some = slice(first, first + _TEXTS_AT_ONCE)
-            fresh = self._ids_of(set().union(*(u for u, p in zip(rest[some], plain[some]) if p)))
-            young = self.young
-            for head, units, p in zip(heads[some], rest[some], plain[some]):
-                if p:
-                    head += b"".join([young[u] if u in young else fresh[u] for u in units])
-                out.append(head)
-            self._keep(fresh)
-        return out
+        plain = [not any(not u or u[0].isspace() for u in units[1:]) for units in cut]
+        heads = self.encode_strings([units[0] if p else t for t, units, p in zip(texts, cut, plain)])
+        rest = self.table.joined([units[1:] if p else [] for units, p in zip(cut, plain)])
+        return [head + tail for head, tail in zip(heads, rest)]
 
 
 def id_list(ids: list[bytes]) -> pa.Array:
@@ -280,25 +304,16 @@ def _lists(batch: pa.Array) -> Iterator[np.ndarray]:
     return (flat[end - n : end] for n, end in zip(lengths, ends))
 
 
-_CODERS: dict[tuple[str, str], UnitEncoder] = {}
+_CODERS: dict[tuple[str, str], PieceEncoder] = {}
 
 
-def worker_coder(name: str, content, pattern: str) -> UnitEncoder:
+def worker_coder(name: str, content, pattern: str) -> PieceEncoder:
     """The encoder of this Python worker, kept for its later tasks.  ``name``
     stands for the broadcast ``content``."""
     coder = _CODERS.get((name, pattern))
     if coder is None:
-        machine, split = Transducer(parse_ranks(content.value)), regex.compile(pattern)
-
-        def encode_units(units: list[str]) -> list[bytes]:
-            pieces = [split.findall(u or "") for u in units]
-            ids = {}
-            for piece in set().union(*pieces):
-                ids[piece] = np.array(machine.encode(piece.encode()), np.uint32).tobytes()
-            return [b"".join([ids[piece] for piece in own]) for own in pieces]
-
         _CODERS.clear()
-        coder = _CODERS[name, pattern] = UnitEncoder(encode_units)
+        coder = _CODERS[name, pattern] = PieceEncoder(Transducer(parse_ranks(content.value)), pattern)
     return coder
 
 
