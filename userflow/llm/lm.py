@@ -39,6 +39,8 @@ from userflow.llm.common import arrow_batches, mix, pieces, text_bytes, word_has
 from userflow.session import materialize
 
 RUN_TOKENS = 1 << 20
+#: Tokens scored at once, beside the filter.
+SCORE_TOKENS = 1 << 18
 #: Text bytes that one bucket stands for.
 BUCKET_BYTES = 32 << 20
 MAX_FILTER_BYTES = 128 << 20
@@ -334,7 +336,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, number = shared.value, 0
-        for texts, (ids, held) in _runs(batches, ["doc_id", "held"], RUN_TOKENS):
+        for texts, (ids, held) in _runs(batches, ["doc_id", "held"], SCORE_TOKENS):
             words, ends = _tokens_of(texts)
             run = TaskContext.get().partitionId() << 32 | number
             number += 1
