@@ -105,3 +105,30 @@ def feature_count(spark, log, s):
     from userflow.operators.features import feature_table
 
     return feature_table(log, s.plan, s.pages).count()
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf", "lr", "dt", "nb"])
+def test_every_classifier_can_be_swept(spark, separable, kind):
+    from userflow.plans.modeling import sweep
+
+    report = sweep(separable, {"train": separable}, "churn", [(2, 2)], kind=kind).collect()
+    assert [(r.rounds, r.depth, r.total) for r in report] == [(2, 2, 120)]
+
+
+def test_plan_from_history_and_written_scores(spark, tmp_path):
+    from conftest import random_log
+    from userflow.plans.flow import RunSettings, planned, score_rows, train
+    from userflow.sources.schema import DAY_MS
+
+    log = random_log(spark, n=2500)
+    plan = planned(log, 7, 2, 4)
+    assert plan.n_extra >= 1 and plan.end_ms % DAY_MS == 0
+    assert planned(log, 7, 2, 4, cutoff_ms=plan.cutoff_ms - DAY_MS, extra=0).n_extra == 0
+    s = RunSettings(plan=planned(log, 7, 2, 4, extra=1), kind="dt", params={"maxDepth": 3}, split_seed=27, rebalance_seed=271)
+    path, report = train(spark, log, s, str(tmp_path / "m"))
+    row = report.first()
+    assert row.classifier == "dt" and row.cutoff_ms == plan.cutoff_ms and row.fit_seconds >= 0
+    score_rows(path, log, str(tmp_path / "scores"))
+    back = spark.read.parquet(str(tmp_path / "scores"))
+    assert back.columns == ["userId", "base_user", "offset_idx", "cutoff_ms", "prediction"]
+    assert back.count() == feature_count(spark, log, s)

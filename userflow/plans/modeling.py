@@ -122,14 +122,25 @@ def evaluate_sets(model: PipelineModel, sets: dict[str, DataFrame], label: str)
     return metrics(model.transform(tag_sets(sets)), label, by=["dataset"])
 
 
+#: What (rounds, depth) of a sweep means for each classifier.
+SWEEP_PARAMS = {
+    "gbt": lambda rounds, depth: {"maxIter": rounds, "maxDepth": depth},
+    "rf": lambda rounds, depth: {"numTrees": rounds, "maxDepth": depth},
+    "lr": lambda rounds, depth: {"maxIter": rounds},
+    "dt": lambda rounds, depth: {"maxDepth": depth},
+    "nb": lambda rounds, depth: {},
+}
+
+
 def sweep(train: DataFrame, sets: dict[str, DataFrame], label: str, grid: list[tuple[int, int]],
           kind: str = "gbt", fit=None) -> DataFrame:
     """Fit one pipeline per (rounds, depth) and report metrics on every set,
-    with the fit time in seconds.  ``fit(rounds, depth) -> (model, seconds)``
-    may supply already fitted models."""
+    with the fit time in seconds.  A classifier uses what it has of the two
+    (:data:`SWEEP_PARAMS`).  ``fit(rounds, depth) -> (model, seconds)`` may supply
+    already fitted models."""
     def fresh(rounds: int, depth: int):
         start = time.time()
-        model = build_pipeline(label, kind, maxIter=rounds, maxDepth=depth).fit(train)
+        model = build_pipeline(label, kind, **SWEEP_PARAMS[kind](rounds, depth)).fit(train)
         return model, time.time() - start
 
     out = None
