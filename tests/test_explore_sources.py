@@ -113,7 +113,7 @@ def test_exact_percentiles_match_percentile(spark):
 
     rng = random.Random(5)
     rows = [(g, rng.choice([None] + list(range(0, 10_000, 7)))) for g in ("a", "b", "c") for _ in range(300)]
-    rows += [("d", 42)]
+    rows += [("d", 42)] + [("e", 5)] * 200 + [("e", 9_000)] * 199 + [(None, 7), (None, 8)]  # half of e holds one value
     df = spark.createDataFrame(rows, "g string, v long")
     got = {r.g: r for r in explore.exact_percentiles(df, "g", "v", split_width=500).collect()}
     want = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(x) for x in explore.QUANTILES])).alias("p")).collect()

@@ -9,10 +9,11 @@ of the log over many tasks; the per-user join is split by AQE when skewed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from userflow.functions.columns import day_bucket, e, floor_div, page_flag
+from userflow.session import materialize
 from userflow.sources.schema import label_pages
 
 
@@ -148,40 +149,58 @@ def occurrences(df: DataFrame, page_name: str, limit: int | None = None, user: s
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
+def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, _n): how often each value occurs, pre-aggregated in every
+    task, written once: ranks, totals and other statistics all come from it."""
+    return materialize(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
+
+
 def exact_percentiles(df: DataFrame, group: str, value: str, qs=QUANTILES, split_width: int = 86_400_000) -> DataFrame:
     """Per ``group``: exact percentiles of ``value`` with linear interpolation
     (the semantics of Spark's ``percentile``), one column ``p<q*100>`` each.
 
-    ``percentile`` keeps every distinct value of a group in one task's map;
-    here values are numbered inside their group (the numbering is split into
-    ranges of ``split_width`` of the value, see :func:`position_in_group`) and
-    only the rows at the needed positions are joined back, so no task holds
-    more than one value range.
-    """
-    from userflow.operators.ordering import position_in_group
-
-    base = df.where(F.col(value).isNotNull()).select(group, value)
-    ranked = position_in_group(base, [group], [value], "_r", split=floor_div(value, split_width))
+    ``percentile`` keeps every distinct value of a group in one task's map; here
+    see :func:`percentiles_of_counts`."""
+    return percentiles_of_counts(value_counts(df.select(group, value), group, value), group, value, qs, split_width)
+
+
+def percentiles_of_counts(counts: DataFrame, group: str, value: str, qs=QUANTILES,
+                          split_width: int = 86_400_000) -> DataFrame:
+    """:func:`exact_percentiles` from the value counts.
+
+    Equal values are one row.  Running sums are taken inside ranges of
+    ``split_width`` of the value, and over the sums of those ranges, so no task
+    holds all values of a group; the two values around each percentile are then
+    found in one join by their rank ranges."""
+    rows = counts.where(F.col(value).isNotNull()).select(
+        group, F.col(value).alias("_value"), "_n", floor_div(value, split_width).alias("_split"))
+    ranges = rows.groupBy(group, "_split").agg(F.sum("_n").alias("_rn"))
+    before = F.sum("_rn").over(Window.partitionBy(group).orderBy("_split")) - F.col("_rn")
+    ranges = ranges.select(F.col(group).alias("_g"), F.col("_split").alias("_s"), before.alias("_before"))
+    inside = F.sum("_n").over(Window.partitionBy(group, "_split").orderBy("_value")) - F.col("_n")
+    ranked = (rows.withColumn("_inside", inside)
+              .join(ranges, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_split") == F.col("_s")))
+              .select(group, "_value", (F.col("_before") + F.col("_inside")).alias("_from"), "_n"))
     structs = ", ".join(f"named_struct('q', {float(x)}D, 'p', {float(x)}D * (_cnt - 1))" for x in qs)
     targets = (
-        base.groupBy(group).agg(e("count(1)", "_cnt"))
+        rows.groupBy(group).agg(F.sum("_n").alias("_cnt"))
         .select(F.col(group).alias("_g"), e(f"explode(array({structs}))", "_t"))
         .select("_g", e("_t.q", "_q"), e("_t.p", "_p"), e("cast(floor(_t.p) as bigint)", "_lo"),
                 e("cast(ceil(_t.p) as bigint)", "_hi"))
     )
 
-    def values(name: str) -> DataFrame:
-        return ranked.select(F.col(group).alias(f"_g{name}"), F.col("_r").alias(f"_r{name}"),
-                             F.col(value).cast("double").alias(name))
+    def holds(at: str):
+        return (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_from") + F.col("_n"))
 
-    lo, hi = values("_lv"), values("_hv")
-    picked = (
-        targets.join(lo, targets["_g"].eqNullSafe(lo["_g_lv"]) & (targets["_lo"] == lo["_r_lv"]))
-        .join(hi, targets["_g"].eqNullSafe(hi["_g_hv"]) & (targets["_hi"] == hi["_r_hv"]))
+    number = F.col("_value").cast("double")
+    found = (
+        ranked.join(targets, F.col(group).eqNullSafe(F.col("_g")) & (holds("_lo") | holds("_hi")))
+        .groupBy("_g", "_q", "_p", "_lo", "_hi")
+        .agg(F.max(F.when(holds("_lo"), number)).alias("_lv"), F.max(F.when(holds("_hi"), number)).alias("_hv"))
         .select("_g", "_q", e("CASE WHEN _hi = _lo OR _hv = _lv THEN _lv "
                               "ELSE (_hi - _p) * _lv + (_p - _lo) * _hv END", "_v"))
     )
-    return picked.groupBy(F.col("_g").alias(group)).agg(
+    return found.groupBy(F.col("_g").alias(group)).agg(
         *[e(f"max(CASE WHEN _q = {float(x)}D THEN _v END)", f"p{int(round(x * 100)):02d}") for x in qs]
     )
 
@@ -190,13 +209,15 @@ def registration_spread(users: DataFrame, flag: str = "churn", registration: str
     """Distribution of registration (in days since epoch) per flag value:
     exact percentiles (linear interpolation), min, max, mean."""
     day = F.col(registration) / F.lit(86_400_000.0)
-    stats = users.groupBy(flag).agg(
-        F.count(registration).alias("n_users"),
+    counts = value_counts(users.select(flag, registration), flag, registration)
+    known = F.when(F.col(registration).isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    stats = counts.groupBy(flag).agg(
+        F.sum(known).alias("n_users"),
         F.min(day).alias("min_day"),
         F.max(day).alias("max_day"),
-        F.avg(day).alias("avg_day"),
+        (F.sum(day * F.col("_n")) / F.when(F.sum(known) > 0, F.sum(known))).alias("avg_day"),
     )
-    pct = exact_percentiles(users, flag, registration).withColumnRenamed(flag, "_f")
+    pct = percentiles_of_counts(counts, flag, registration).withColumnRenamed(flag, "_f")
     pcols = [f"p{int(round(x * 100)):02d}" for x in QUANTILES]
     out = stats.join(pct, stats[flag].eqNullSafe(pct["_f"]), "left")
     return out.select(
