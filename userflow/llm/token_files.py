@@ -49,6 +49,8 @@ MIN_GAIN = 0.01
 MAX_ROUNDS = 24
 PAIRS_PER_ROUND = 2048
 _BUCKETS = 18
+#: Units of text with their ids in one generation of a worker's table.
+MAX_UNITS = 800_000
 
 _MAGIC = b"RPTF\x01\x00\x00\x00"
 SHARDS = "part int, shard int, n_docs long, n_tokens long, data binary"
@@ -63,13 +65,13 @@ def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.
 
     Counts over hashed buckets (upper bounds) narrow the places to few; their
     pairs are counted exactly."""
-    code = seq[:-1].astype(np.uint64) << np.uint64(16) | seq[1:].astype(np.uint64)
-    bucket = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
-    bucket[~inner] = -1
-    counts = np.bincount(bucket + 1, minlength=(1 << _BUCKETS) + 1)
+    code = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
+    bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)).astype(np.intp) + 1
+    bucket *= inner  # 0: no pair
+    counts = np.bincount(bucket, minlength=(1 << _BUCKETS) + 1)
     counts[0] = 0
     enough = max(MIN_COUNT, int(np.partition(counts, -limit)[-limit]))
-    places = np.flatnonzero((counts >= enough)[bucket + 1])
+    places = np.flatnonzero((counts >= enough)[bucket])
     pairs, n = np.unique(code[places], return_counts=True)
     order = np.argsort(-n, kind="stable")
     order = order[n[order] >= MIN_COUNT][:limit]
@@ -80,7 +82,7 @@ def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.
             left.add(a)
             right.add(b)
             chosen.append(c)
-    picked = np.sort(np.array(chosen, np.uint64))
+    picked = np.sort(np.array(chosen, np.uint32))
     if len(picked):
         at = np.minimum(np.searchsorted(picked, code[places]), len(picked) - 1)
         places = places[picked[at] == code[places]]
@@ -104,11 +106,11 @@ def compress(ids: np.ndarray, doc_end: np.ndarray, first: int) -> tuple[np.ndarr
         picked, places = _frequent_pairs(seq, ~last[:-1], limit)
         if not len(picked) or len(places) < MIN_GAIN * len(seq):
             break
-        parts = np.stack([picked >> np.uint64(16), picked & np.uint64(0xFFFF)], axis=1).astype(np.int64)
+        parts = np.stack([picked >> np.uint32(16), picked & np.uint32(0xFFFF)], axis=1).astype(np.int64)
         known = np.concatenate([np.ones(first, np.uint32), lengths])
         rules.append(parts.astype(np.uint16))
         lengths = np.concatenate([lengths, known[parts].sum(1, dtype=np.uint32)])
-        code = seq[places].astype(np.uint64) << np.uint64(16) | seq[places + 1].astype(np.uint64)
+        code = seq[places].astype(np.uint32) << np.uint32(16) | seq[places + 1]
         seq[places] = (used + np.searchsorted(picked, code)).astype(np.uint16)
         last[places] = last[places + 1]
         keep = np.ones(len(seq), bool)
@@ -223,7 +225,7 @@ def worker_tokenizer(name: str, content) -> UnitEncoder:
             return [np.array(c.ids, np.uint32).tobytes() for c in coded]
 
         _CODERS.clear()
-        coder = _CODERS[name] = UnitEncoder(encode_units)
+        coder = _CODERS[name] = UnitEncoder(encode_units, MAX_UNITS)
     return coder
 
 
