@@ -22,7 +22,7 @@ from userflow.operators.sampling import rebalance, split_by_key
 from userflow.operators.windows import CutoffPlan, plan_offsets
 from userflow.plans import modeling
 from userflow.plans.transformer import WindowedFeatures
-from userflow.session import SESSION_CONF, materialize
+from userflow.session import SESSION_CONF, materialize, release
 from userflow.sources.schema import LOG_PAGES, PAGE_CODES
 
 
@@ -134,6 +134,7 @@ def _main(argv=None) -> None:
         report.show(truncate=False)
         if a.classifier in ("gbt", "rf", "dt"):
             modeling.importances(spark, PipelineModel.load(path)).show(30, truncate=False)
+        release(spark)
         return
     if a.out:  # at a fresh cutoff there are no labels yet: the rows are the result
         score_rows(a.model, log, a.out, a.cutoff_ms)
