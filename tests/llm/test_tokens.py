@@ -49,6 +49,9 @@ def test_bpe_equals_tiktoken_and_round_trips(frame, reference):
             ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist() if packed else r["ids"]
             assert ids == reference.encode_ordinary(texts[r["doc_id"]] or "")
             assert r["text"] == (texts[r["doc_id"]] or "")
+    for r in bpe.round_trip(df, RANKS, P.PATTERN).collect():
+        t = texts[r["doc_id"]] or ""
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == reference.encode_ordinary(t) and r["text"] == t
     assert bpe.encode(frame([]), RANKS, P.PATTERN).count() == 0
 
 

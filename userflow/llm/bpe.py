@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from userflow.llm.common import arrow_batches, pack
 
 #: States, and strings with their ids in one generation, that a worker keeps.
-MAX_STATES = 150_000
+MAX_STATES = 300_000
 MAX_UNITS = 300_000
 MAX_UNIT_CHARS = 64
 _TEXTS_AT_ONCE = 200
@@ -111,7 +111,7 @@ class Transducer:
         key = last << 20 | new
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 2 * self.max_states:
+            if len(self._pairs) > self.max_states:
                 self._pairs.clear()
             token, ranks = self.token, self.ranks
             left, right, before, known = last, new, len(ranks), True
@@ -229,7 +229,7 @@ class PieceEncoder:
     """Ids of whole texts, cut into pieces by the split pattern."""
 
     def __init__(self, machine: Transducer, pattern: str, size: int = MAX_UNITS):
-        self.split = regex.compile(pattern).findall
+        self.machine, self.split = machine, regex.compile(pattern).findall
         self.table = IdTable(lambda new: [array("I", machine.encode(p.encode())).tobytes() for p in new], size)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -333,16 +333,20 @@ def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: st
     return bpe_ids.asNondeterministic()(text)
 
 
+def _token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, r in ranks.items():
+        table[r] = token
+    return table
+
+
 def decode_column(spark: SparkSession, ids: Column, rank_path: str, packed: bool = False) -> Column:
     """string: the text of ids as :func:`encode_column` gives them (null: empty)."""
     content = spark.sparkContext.broadcast(read_ranks(rank_path))
 
     @F.arrow_udf("string")
     def bpe_text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ranks = parse_ranks(content.value)
-        table = [b""] * (max(ranks.values()) + 1)
-        for token, r in ranks.items():
-            table[r] = token
+        table = _token_table(parse_ranks(content.value))
         for batch in batches:
             lists = (np.frombuffer(x, "<u4") for x in batch.fill_null(b"").to_pylist()) if packed else _lists(batch)
             yield pa.array(["".join(decode_ids(x, table)) for x in lists], pa.string())
@@ -350,6 +354,24 @@ def decode_column(spark: SparkSession, ids: Column, rank_path: str, packed: bool
     return bpe_text(ids)
 
 
+def round_trip_column(spark: SparkSession, text: Column, rank_path: str, pattern: str) -> Column:
+    """struct<ids: binary, text: string>: the packed ids of a text column, and the
+    text decoded from them, by one Python worker with one set of tables."""
+    ranks = read_ranks(rank_path)
+    name, content = hashlib.sha256(ranks).hexdigest(), spark.sparkContext.broadcast(ranks)
+
+    @F.arrow_udf("struct<ids: binary, text: string>")
+    def bpe_both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = worker_coder(name, content, pattern)
+        table = _token_table(coder.machine.ranks)
+        for batch in texts:
+            ids = coder.encode(batch.to_pylist())
+            back = ["".join(decode_ids(np.frombuffer(x, "<u4"), table)) for x in ids]
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(back, pa.string())], ["ids", "text"])
+
+    return bpe_both.asNondeterministic()(text)
+
+
 def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            packed: bool = False) -> DataFrame:
     """(doc_id, ids) of every row, as tiktoken encodes ordinary text
@@ -369,6 +391,14 @@ def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", packed: boo
     return encoded.withColumn("text", decode_column(encoded.sparkSession, F.col(ids_col), rank_path, packed))
 
 
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text): packed ids as :func:`encode` and, in the same pass, the
+    text that :func:`decode` makes of them."""
+    arrow_batches(docs.sparkSession, 400)
+    both = round_trip_column(docs.sparkSession, F.col(text_col), rank_path, pattern)
+    return docs.select(F.col(id_col).alias("doc_id"), both.alias("both")).select("doc_id", "both.ids", "both.text")
+
+
 def add_ids(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_name: str = "token_ids",
             count_name: str = "n_tokens") -> DataFrame:
     """``docs`` with its ids and their number; columns of these names are replaced."""

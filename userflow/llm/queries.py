@@ -35,8 +35,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, packed=True)
-    return bpe.decode(coded, ranks, packed=True).select(
+    coded = bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
