@@ -59,14 +59,6 @@ def page_flag(page: str, name: str) -> Column:
     return e(page_flag_sql(page, name))
 
 
-def yes_no_sql(page: str, name: str) -> str:
-    return f"CASE WHEN {page} = {q(name)} THEN 'Yes' ELSE 'No' END"
-
-
-def yes_no(page: str, name: str) -> Column:
-    return e(yes_no_sql(page, name))
-
-
 def tenure_days_sql(registration: str, cutoff_ms: str | int) -> str:
     """Days from registration to the cutoff; null registration -> 0.0."""
     return f"coalesce(({cutoff_ms} - {registration}) / {float(DAY_MS)}D, 0.0D)"
@@ -93,14 +85,6 @@ def female_flag_sql(gender: str) -> str:
     return f"CASE WHEN {gender} = 'F' THEN 1 ELSE 0 END"
 
 
-def paid_flag(level: str) -> Column:
-    return e(paid_flag_sql(level))
-
-
-def female_flag(gender: str) -> Column:
-    return e(female_flag_sql(gender))
-
-
 def day_bucket(ts_ms: str) -> Column:
     """Epoch seconds of the UTC midnight starting the day of ``ts_ms``."""
     return e(f"{floor_div_sql(ts_ms, DAY_MS)} * 86400")
@@ -111,10 +95,6 @@ def offset_id_sql(user: str, offset: str) -> str:
     return f"concat({user}, '_x', cast({offset} as string))"
 
 
-def offset_id(user: str, offset: str) -> Column:
-    return e(offset_id_sql(user, offset))
-
-
 def hash_unit_sql(key: str, seed: int) -> str:
     return f"cast(conv(substring(md5(concat(cast({key} as string), '|{int(seed)}')), 1, 8), 16, 10) as bigint)"
 

@@ -149,17 +149,6 @@ def feature_table_literal(df: DataFrame, plan: CutoffPlan, pages: dict[str, str]
 
 # --- production form ---------------------------------------------------------
 
-def _slot_sql(plan: CutoffPlan) -> str:
-    return slot_sql(plan)
-
-
-def _cutoff_sql(plan: CutoffPlan) -> str:
-    return cutoff_sql(plan)
-
-
-def _fan_out(df: DataFrame, plan: CutoffPlan, with_labels: bool) -> DataFrame:
-    return fan_out_days(df, plan, with_labels)
-
 
 def _day_partials(log: DataFrame, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
     """Branch A, step 1: one row per (user, day) with every mergeable partial.
@@ -169,7 +158,7 @@ def _day_partials(log: DataFrame, plan: CutoffPlan, pages: dict[str, str]) -> Da
     ``pmod(max, 2)`` returns.  A plain long keeps the aggregation hash-based
     (a struct max would force a sort-based one).
     """
-    return log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+    return log.groupBy("userId", e(slot_sql(plan), "slot")).agg(
         *[e(f"count_if(page = {q(pages[code])})", count_column(code)) for code, _ in PAGE_CODES],
         e(f"sum({exact_length_sql('length')})", "_len"),
         e("min(registration)", "_reg_min"),
@@ -191,13 +180,13 @@ def _session_parts(log: DataFrame, plan: CutoffPlan) -> DataFrame:
     """
     items = (
         log.where("itemInSession IS NOT NULL")
-        .groupBy("userId", e(_slot_sql(plan), "slot"), "sessionId", "itemInSession")
+        .groupBy("userId", e(slot_sql(plan), "slot"), "sessionId", "itemInSession")
         .agg(e("count(1)", "_n"))
     )
     session_day = items.groupBy("userId", "slot", "sessionId").agg(
         e("max(itemInSession)", "_m"), e("max_by(_n, itemInSession)", "_k")
     )
-    per_session = _fan_out(session_day, plan, with_labels=False).groupBy(*KEY, "sessionId").agg(
+    per_session = fan_out_days(session_day, plan, with_labels=False).groupBy(*KEY, "sessionId").agg(
         e("collect_list(named_struct('m', _m, 'k', _k))", "_parts")
     )
     at_top = "aggregate(filter(_parts, x -> x.m = _top), 0L, (acc, x) -> acc + x.k)"
@@ -212,7 +201,7 @@ def _offset_rows(days_fanned: DataFrame, sessions: DataFrame, plan: CutoffPlan)
     aggregate; offsets without a look-back row are dropped."""
     both = days_fanned.unionByName(sessions, allowMissingColumns=True)
     tr = "in_train"
-    tenure = (f"greatest(({_cutoff_sql(plan)} - _reg_min) / {float(DAY_MS)}D, "
+    tenure = (f"greatest(({cutoff_sql(plan)} - _reg_min) / {float(DAY_MS)}D, "
               "CASE WHEN _reg_null = 1 THEN 0.0D END)")
     agg = both.groupBy(*KEY).agg(
         e(f"max(cast({tr} as int))", "_has_train"),
@@ -225,7 +214,7 @@ def _offset_rows(days_fanned: DataFrame, sessions: DataFrame, plan: CutoffPlan)
         e("cast(sum(_dnum) as double) / sum(_dden)", "avg_session_depth"),
     )
     return agg.where("_has_train = 1").select(
-        *[c for c in agg.columns if c != "_has_train"], e(_cutoff_sql(plan), "cutoff_ms")
+        *[c for c in agg.columns if c != "_has_train"], e(cutoff_sql(plan), "cutoff_ms")
     )
 
 
@@ -235,16 +224,16 @@ def behaviour_features(source, plan: CutoffPlan, pages: dict[str, str]) -> DataF
     offsets).  Same rows as :func:`behaviour` over :func:`windowed_rows`."""
     log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "page", "registration", "length"])),
                      plan.start_ms, plan.cutoff_ms)
-    days = log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+    days = log.groupBy("userId", e(slot_sql(plan), "slot")).agg(
         *[e(f"count_if(page = {q(pages[code])})", count_column(code)) for code, _ in PAGE_CODES],
         e(f"sum({exact_length_sql('length')})", "_len"),
         e("min(registration)", "_reg_min"),
         e("max(CASE WHEN registration IS NULL THEN 1 ELSE 0 END)", "_reg_null"),
     )
-    tenure = (f"greatest(({_cutoff_sql(plan)} - _reg_min) / {float(DAY_MS)}D, "
+    tenure = (f"greatest(({cutoff_sql(plan)} - _reg_min) / {float(DAY_MS)}D, "
               "CASE WHEN _reg_null = 1 THEN 0.0D END)")
-    return _fan_out(days, plan, with_labels=False).groupBy(*KEY).agg(
-        e(f"max({_cutoff_sql(plan)})", "cutoff_ms"),
+    return fan_out_days(days, plan, with_labels=False).groupBy(*KEY).agg(
+        e(f"max({cutoff_sql(plan)})", "cutoff_ms"),
         *[e(f"sum({count_column(c)})", count_column(c)) for c, _ in PAGE_CODES],
         e("cast(sum(_len) as double)", "total_length"),
         e(f"max({tenure})", "tenure_days"),
@@ -265,11 +254,11 @@ def last_state_table(source, plan: CutoffPlan) -> DataFrame:
     (``ties='one'``), from per-day ``max(2 * ts + flag)`` partials."""
     log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "level", "gender"])),
                      plan.start_ms, plan.cutoff_ms)
-    days = log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+    days = log.groupBy("userId", e(slot_sql(plan), "slot")).agg(
         e(f"max(ts * 2L + {paid_flag_sql('level')})", "_paid"),
         e(f"max(ts * 2L + {female_flag_sql('gender')})", "_fem"),
     )
-    return _fan_out(days, plan, with_labels=False).groupBy(*KEY).agg(
+    return fan_out_days(days, plan, with_labels=False).groupBy(*KEY).agg(
         e("cast(pmod(max(_paid), 2) as int)", "last_paid"),
         e("cast(pmod(max(_fem), 2) as int)", "last_female"),
     )
@@ -288,12 +277,12 @@ def last_state_all_table(source, plan: CutoffPlan) -> DataFrame:
                      plan.start_ms, plan.cutoff_ms)
     paid, fem = paid_flag_sql("level"), female_flag_sql("gender")
     combos = [(p_, f_) for p_ in (0, 1) for f_ in (0, 1)]
-    at_ts = log.groupBy("userId", e(_slot_sql(plan), "slot"), "ts").agg(
+    at_ts = log.groupBy("userId", e(slot_sql(plan), "slot"), "ts").agg(
         *[e(f"count_if({paid} = {p_} AND {fem} = {f_})", f"n{p_}{f_}") for p_, f_ in combos]
     )
     counts = "named_struct(" + ", ".join(f"'n{p_}{f_}', n{p_}{f_}" for p_, f_ in combos) + ")"
     days = at_ts.groupBy("userId", "slot").agg(e("max(ts)", "_t"), e(f"max_by({counts}, ts)", "_c"))
-    per = _fan_out(days, plan, with_labels=False).groupBy(*KEY).agg(e("max_by(_c, _t)", "_c"))
+    per = fan_out_days(days, plan, with_labels=False).groupBy(*KEY).agg(e("max_by(_c, _t)", "_c"))
     parts = ", ".join(
         f"array_repeat(named_struct('p', {p_}, 'f', {f_}), cast(_c.n{p_}{f_} AS int))" for p_, f_ in combos
     )
@@ -307,10 +296,10 @@ def labels_table(source, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
     from per-day flags fanned out to the look-ahead windows."""
     log = time_slice(drop_anonymous(_read(source, ["userId", "ts", "page"])), plan.cutoff(plan.n_extra),
                      plan.end_ms)
-    days = log.groupBy("userId", e(_slot_sql(plan), "slot")).agg(
+    days = log.groupBy("userId", e(slot_sql(plan), "slot")).agg(
         *[e(f"max({page_flag_sql('page', pages[code])})", f"_lab_{name}") for name, code in LABEL_CODES]
     )
-    ahead = _fan_out(days, plan, with_labels=True).where("NOT in_train")
+    ahead = fan_out_days(days, plan, with_labels=True).where("NOT in_train")
     return ahead.groupBy(*KEY).agg(*[e(f"max(_lab_{name})", name) for name in LABELS])
 
 
@@ -382,6 +371,6 @@ def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties:
     if ties != "one":
         raise ValueError("ties must be 'one' or 'all'")
     log = time_slice(drop_anonymous(_read(source, BEHAVIOUR_INPUT)), plan.start_ms, plan.end_ms)
-    days = _fan_out(_day_partials(log, plan, pages), plan, with_labels=True)
+    days = fan_out_days(_day_partials(log, plan, pages), plan, with_labels=True)
     rows = time_slice(drop_anonymous(_read(source, DEPTH_INPUT)), plan.start_ms, plan.cutoff_ms)
     return _finish(_offset_rows(days, _session_parts(rows, plan), plan))
