@@ -160,10 +160,11 @@ class Shard:
         self.left, self.right = take("<u2", n_rules), take("<u2", n_rules)
         self.lengths = take("<u4", n_rules)
         self.symbols = take("<u2", n_symbols)
+        self._opened: tuple[np.ndarray, np.ndarray] | None = None
         self._length_of = np.concatenate([np.ones(self.first, np.int64), self.lengths.astype(np.int64)])
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids that ``symbols`` stand for."""
+    def _open(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that ``symbols`` stand for, one level of the grammar at a time."""
         out = symbols.astype(np.uint32)
         while True:
             compound = out >= self.first
@@ -178,6 +179,21 @@ class Shard:
             wide[at[compound] + 1] = self.right[rule]
             out = wide
 
+    def expand(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that ``symbols`` stand for.  Few are opened level by level; for
+        many, every rule is opened once and copied from."""
+        if len(symbols) < len(self.left):
+            return self._open(symbols)
+        if self._opened is None:
+            rules = self._open(np.arange(self.first, self.first + len(self.left), dtype=np.uint32))
+            ends = self.first + np.cumsum(self.lengths.astype(np.int64))
+            self._opened = (np.concatenate([np.arange(self.first, dtype=np.uint32), rules]),
+                            np.concatenate([np.arange(self.first), ends - self.lengths]))
+        ids, start = self._opened
+        n = self._length_of[symbols]
+        ends = np.cumsum(n)
+        return ids[np.repeat(start[symbols] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
     def document(self, i: int) -> np.ndarray:
         """Ids of the i-th document, its end id included."""
         return self.expand(self.symbols[self.symbol_at[i] : self.symbol_at[i + 1]])
