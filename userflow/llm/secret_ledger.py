@@ -49,6 +49,8 @@ RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1),
 )
 MASK = "[SECRET]"
+#: Blobs and spans together up to which findings are broadcast (some 25 MB).
+BROADCAST_ITEMS = 300_000
 
 _SPANS = "array<struct<start: int, kind: int, end: int>>"
 LEDGER_SCHEMA = f"blob string, rule string, version int, spans {_SPANS}"
@@ -185,6 +187,9 @@ def mask_secrets(docs: DataFrame, ledger_path: str | None = None, id_col: str =
     ledger = update_ledger(rows.select("blob", F.col(f"_row.{text_col}").alias("text"),
                                        F.col(f"_row.{id_col}").alias("place")), path, rules)
     found = materialize(blob_spans(ledger, rules))
+    n = found.agg(F.count("*").alias("blobs"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).head()
+    if n["blobs"] + n["spans"] <= BROADCAST_ITEMS:  # else the texts move to their findings
+        found = F.broadcast(found)
     joined = rows.join(found, "blob", "left").withColumn("_text", F.expr(
         f"CASE WHEN spans IS NULL THEN _row.`{text_col}` ELSE {mask_sql(f'_row.`{text_col}`', 'spans')} END"))
     out = F.col("_row").withField(f"`{text_col}`", F.col("_text"))

@@ -181,6 +181,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      F.col("_no").alias("no"))
     firsts = materialize(rows.groupBy("fp").agg(F.min(order).alias("first")))
     linked = link_fingerprints(firsts, max_bits)
-    kept = (firsts.join(linked, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
-            .agg(F.min("first").alias("first")).select(F.col("first.no").alias("_no")))
-    return unpack(rows.join(materialize(kept), "_no", "left_semi"))
+    grouped = materialize(firsts.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"))
+    chosen = grouped.groupBy("root").agg(F.min("first").alias("first"))
+    of_print = materialize(grouped.select("fp", "root").join(chosen, "root").select("fp", F.col("first.no").alias("chosen")))
+    # Few rows go, compared with those that stay: the texts are only matched with these.
+    gone = materialize(rows.select("fp", "_no").join(of_print, "fp").where("_no <> chosen").select("_no"))
+    return unpack(rows.join(_small(gone), "_no", "left_anti"))
