@@ -42,7 +42,7 @@ RUN_TOKENS = 1 << 20
 #: Tokens scored at once, beside the filter.
 SCORE_TOKENS = 1 << 18
 #: Text bytes that one bucket stands for.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 MAX_FILTER_BYTES = 128 << 20
 BITS_PER_ENTRY = 10
 PROBES = 6
@@ -279,7 +279,9 @@ class Model:
 
 def train(docs: DataFrame, buckets: int) -> Model:
     """Fit on column ``text`` of ``docs``."""
+    spark = docs.sparkSession
     counts = materialize(count_ngrams(docs, buckets))
+    arrow_batches(spark, 1)  # a row is a whole bucket
     n, v, least = _statistics(counts)
     heavy_count = max(1, int(np.ceil(HEAVY_SHARE * n)))
 
@@ -306,6 +308,7 @@ def train(docs: DataFrame, buckets: int) -> Model:
     table = (np.array([r["key"] for r in words], np.int64).view(np.uint64), np.array([r["n"] for r in words], np.int64))
     bits = counts.select("kind", "bucket", "keys", "counts").mapInArrow(segments, "kind int, bucket int, bits binary")
     filled = {(r["kind"], r["bucket"]): bytes(r["bits"]) for r in bits.toLocalIterator() if r["bits"]}
+    arrow_batches(spark)
     return Model(n, v, table, CountFilter(buckets, filled))
 
 
