@@ -40,7 +40,7 @@ from userflow.session import materialize
 
 RUN_TOKENS = 1 << 20
 #: Tokens scored at once, beside the filter.
-SCORE_TOKENS = 1 << 18
+SCORE_TOKENS = 1 << 17
 #: Text bytes that one bucket stands for.
 BUCKET_BYTES = 8 << 20
 MAX_FILTER_BYTES = 128 << 20
@@ -418,6 +418,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "base_score": pa.array(docs_["base"] - docs_["n"] * denominator), "score": pa.array(docs_["score"])})
 
     written = materialize(rows.mapInArrow(runs, _RUN_ROWS))
+    shared.destroy()  # what needs the model is written; Python workers let it go
     sums = written.where("bucket >= 0").groupBy("bucket").applyInArrow(look_up, "run long, docs binary, parts binary")
     whole = written.where("bucket < 0").select("run", "docs", F.lit(None).cast("binary").alias("parts")).unionByName(sums)
     return whole.groupBy("run").applyInArrow(
