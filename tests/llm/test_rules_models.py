@@ -181,6 +181,32 @@ def test_language_model(frame):  # noqa: F811
     assert lm.score_texts(frame([])).count() == 0
 
 
+def test_no_bigram_is_left_out_of_the_model(frame, monkeypatch):  # noqa: F811
+    out_of = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = next(i for i in range(100) if not out_of(i))
+    held = [i for i in range(100) if out_of(i)][:2]
+    order = random.Random(4).sample([(a, b) for a in range(40) for b in range(40)], 1600)  # every pair of 40 words once
+    text = " ".join(f"w{a} w{b}" for a, b in order)
+    rows = [(train, text), (held[0], text), (held[1], "w1 w2 w3")]
+    monkeypatch.setattr(lm, "MAX_FILTER_BYTES", 512, raising=False)  # a bound on the model must not drop its counts
+    got = {r["doc_id"]: r for r in lm.score_texts(frame(rows)).collect()}
+    words = [*text.split(), None]
+    pairs = list(zip(["<s>", *words], words))
+    level = lambda c: 0 if c == 0 else 1 if c == 1 else 0.75 * 2 ** c.bit_length()
+    one, two = Counter(words), Counter(pairs)
+    one["<s>"] = 1
+    n, v = len(words), len(set(words))
+    want = sum(math.log10((min(level(two[h, w]), level(one[h])) + 2 * (level(one[w]) + 1) / (n + v + 1)) / (level(one[h]) + 2))
+               for h, w in pairs)
+    assert math.isclose(got[held[0]]["score"], want, rel_tol=0.03)  # a false positive of the filter may raise a count
+    for of, size in (("SCORE_TOKENS", 1), ("BUCKET_BYTES", 64), ("RUN_TOKENS", 1)):
+        monkeypatch.setattr(lm, of, size)
+    again = {r["doc_id"]: r for r in lm.score_texts(frame(rows)).collect()}
+    for i, r in got.items():
+        assert again[i][:5] == r[:5] and math.isclose(again[i]["base_score"], r["base_score"], rel_tol=1e-9)
+        assert math.isclose(again[i]["score"], r["score"], rel_tol=0.1)
+
+
 def test_filter_reads_counts_back():
     rng = np.random.default_rng(3)
     keys = np.unique(rng.integers(0, 2**63, 5000, dtype=np.uint64))

@@ -8,25 +8,26 @@ entry per run, so buckets are even; their number follows the size of the text.
 Filter.  A count c is quantised to level ``1 + floor(log2 c)`` and the n-gram is
 inserted once for every level up to its own, so its level is read back by
 probing level after level until one is missing.  Each bucket fills its own
-segment of bits.  The filter is broadcast; its size is bounded by
-``MAX_FILTER_BYTES``: the smallest bigram count kept is the least with which all
-entries fit at ``BITS_PER_ENTRY`` (1 as long as everything fits), found from the
-count of counts over all n-grams.
+segment of bits, ``BITS_PER_ENTRY`` for every entry, and every count is kept:
+the segments are a table that grows with the text, a task holds one of them.
+
+Probes.  A run of ``SCORE_TOKENS`` tokens is written as its distinct words and
+the place of each token among them.  From these its distinct words and bigrams
+go packed to their buckets, which answer with a level for each key (and the
+exact count of a word); the answers meet the run again in one task.
 
 Score.  p(w | h) = (c(h w) + MU p(w)) / (c(h) + MU), p(w) = (c(w) + 1) / (N + V + 1),
 all counts from probes (the middle of their level); the first word follows a
 start mark, the end of the text is a token.
 
-Base score.  Exact: words above ``HEAVY_SHARE`` of all training tokens (at most
-1 / HEAVY_SHARE of them) are broadcast with their counts; for all others a task
-sends (word, text) postings packed by hash bucket, a bucket adds up the counts
-of its words and returns the sums for each text.
+Base score.  The same with p(w) alone, from the exact counts.
 
 Words are known by a 64-bit hash.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,14 +40,12 @@ from userflow.llm.common import arrow_batches, mix, pieces, text_bytes, word_has
 from userflow.session import materialize
 
 RUN_TOKENS = 1 << 20
-#: Tokens scored at once, beside the filter.
-SCORE_TOKENS = 1 << 17
+#: Tokens scored at once.
+SCORE_TOKENS = 3 << 18
 #: Text bytes that one bucket stands for.
 BUCKET_BYTES = 8 << 20
-MAX_FILTER_BYTES = 128 << 20
 BITS_PER_ENTRY = 10
 PROBES = 6
-HEAVY_SHARE = 1e-5
 MU = 2.0
 HOLDOUT_OF, HOLDOUT_AT = 7, 2
 
@@ -103,8 +102,37 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
-_PACKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-PACKED = "kind int, bucket int, keys binary, counts binary"
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Small numbers, byte plane by byte plane, deflated."""
+    width = numbers.dtype.itemsize
+    return zlib.compress(np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, width).T.tobytes(), 1)
+
+
+def unpack_numbers(data: bytes, dtype: str) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+#: Rows of one bucket or run that go to Spark together.
+PACKED_ROWS = 64
+
+
+def _packed(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(rows), PACKED_ROWS):
+        columns = zip(*rows[i : i + PACKED_ROWS])
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets that sorted keys have, with their range of keys."""
+    cut = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cut)).tolist():
+        yield b, slice(cut[b], cut[b + 1])
+
+
+_COUNTED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+COUNTED = "kind int, bucket int, keys binary, counts binary"
+SEGMENT = "kind int, bucket int, bits binary, keys binary, counts binary, grams long, total long"
 
 
 def _runs(batches: Iterator[pa.RecordBatch], columns: list[str], limit: int) -> Iterator[tuple[list[bytes], list]]:
@@ -136,9 +164,10 @@ def _tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words), np.concatenate(ends)
 
 
-def count_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
-    """(kind, bucket, keys, counts) with one row per kind and bucket: all n-gram
-    counts of column ``text``, packed."""
+def train(docs: DataFrame, buckets: int) -> DataFrame:
+    """The model of column ``text`` as a table of one row per kind and bucket: the
+    bucket's segment of the filter, the exact counts of its words (unigrams
+    only), its number of distinct n-grams and their total."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, _ in _runs(batches, [], RUN_TOKENS):
@@ -147,25 +176,26 @@ def count_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
             starts = np.full(len(texts), START, np.uint64)  # their count is that of the start history
             for kind, grams in ((UNIGRAM, np.concatenate([words, starts])), (BIGRAM, bigrams(history, words))):
                 keys, n = np.unique(grams, return_counts=True)
-                cut = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(cut)).tolist():
-                    own = slice(cut[b], cut[b + 1])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([kind], pa.int32()), pa.array([b], pa.int32()),
-                        pa.array([pack_keys(keys[own])], pa.binary()),
-                        pa.array([n[own].astype(np.int64).tobytes()], pa.binary())], schema=_PACKED)
+                yield from _packed([(kind, b, pack_keys(keys[own]), n[own].astype(np.int64).tobytes())
+                                    for b, own in by_bucket(keys, buckets)], _COUNTED)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
+        kind = key[0].as_py()
         keys = np.concatenate([unpack_keys(x) for x in table.column("keys").to_pylist()])
         n = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()])
         order = np.argsort(keys, kind="stable")  # runs are sorted already
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()),
-                         pa.array([pack_keys(keys[first])], pa.binary()),
-                         pa.array([np.add.reduceat(n, first).tobytes()], pa.binary())], schema=_PACKED)
+        keys, n = keys[first], np.add.reduceat(n, first)
+        word = keys != START
+        return pa.table({
+            "kind": pa.array([kind], pa.int32()), "bucket": pa.array([key[1].as_py()], pa.int32()),
+            "bits": pa.array([_segment(keys, n)], pa.binary()),
+            "keys": pa.array([pack_keys(keys) if kind == UNIGRAM else None], pa.binary()),
+            "counts": pa.array([pack_numbers(n) if kind == UNIGRAM else None], pa.binary()),
+            "grams": pa.array([int(word.sum())], pa.int64()), "total": pa.array([int(n[word].sum())], pa.int64())})
 
-    return docs.select("text").mapInArrow(count, PACKED).groupBy("kind", "bucket").applyInArrow(merge, PACKED)
+    return materialize(docs.select("text").mapInArrow(count, COUNTED).groupBy("kind", "bucket").applyInArrow(merge, SEGMENT))
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -232,91 +262,39 @@ def _segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
     return np.packbits(out, bitorder="little").tobytes()
 
 
-def _statistics(counts: DataFrame) -> tuple[int, int, int]:
-    """(training tokens, distinct training tokens, least bigram count kept)."""
+_DOC = np.dtype([("id", "<i8"), ("null", "?"), ("held", "?"), ("n", "<i8")])
+_RUN = pa.schema([("run", pa.int64()), ("docs", pa.binary()), ("keys", pa.binary()), ("often", pa.binary()), ("places", pa.binary())])
+RUN = "run long, docs binary, keys binary, often binary, places binary"
+_PROBE = pa.schema([("run", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
+PROBE = "run long, kind int, bucket int, keys binary"
+ANSWER = "run long, kind int, bucket int, levels binary, counts binary"
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for kind, keys, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
-                n = np.frombuffer(data, np.int64)
-                if kind == UNIGRAM:
-                    n = n[unpack_keys(keys) != START]
-                level = levels(n)
-                by, of = np.unique(level, return_counts=True)
-                yield pa.record_batch({
-                    "kind": pa.array(np.full(len(by), kind, np.int32)), "level": pa.array(by.astype(np.int32)),
-                    "grams": pa.array(of.astype(np.int64)),
-                    "total": pa.array(np.array([n[level == x].sum() for x in by], np.int64))})
-
-    by = (counts.mapInArrow(rows, "kind int, level int, grams long, total long").groupBy("kind", "level")
-          .agg(F.sum("grams").alias("grams"), F.sum("total").alias("total")).collect())  # at most 2 x 64 rows
-    ones = [r for r in by if r["kind"] == UNIGRAM]
-    pairs = {r["level"]: r["grams"] for r in by if r["kind"] == BIGRAM}
-    room = 8 * MAX_FILTER_BYTES // BITS_PER_ENTRY - sum(r["level"] * r["grams"] for r in ones)
-    least = 1
-    while least < 64 and sum(x * n for x, n in pairs.items() if x >= least) > room:
-        least += 1
-    return sum(r["total"] for r in ones), sum(r["grams"] for r in ones), 1 << (least - 1)
-
-
-class Model:
-    """What is broadcast: the filter, the heavy words with exact counts, N, V."""
-
-    def __init__(self, n: int, v: int, heavy: tuple[np.ndarray, np.ndarray], filter_: CountFilter):
-        self.n, self.v, self.heavy_keys, self.heavy_counts, self.filter = n, v, *heavy, filter_
-
-    def scores(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
-        history = histories(words, at)
-        both, back = np.unique(np.concatenate([words, history]), return_inverse=True)
-        known = level_count(self.filter.levels(both, UNIGRAM))
-        one = (known[back[: len(words)]] + 1) / (self.n + self.v + 1)
-        before = known[back[len(words) :]]
-        pairs, back = np.unique(bigrams(history, words), return_inverse=True)
-        two = np.minimum(level_count(self.filter.levels(pairs, BIGRAM))[back], before)
-        return np.add.reduceat(np.log10((two + MU * one) / (before + MU)), at[:-1])
-
-
-def train(docs: DataFrame, buckets: int) -> Model:
-    """Fit on column ``text`` of ``docs``."""
-    spark = docs.sparkSession
-    counts = materialize(count_ngrams(docs, buckets))
-    arrow_batches(spark, 1)  # a row is a whole bucket
-    n, v, least = _statistics(counts)
-    heavy_count = max(1, int(np.ceil(HEAVY_SHARE * n)))
 
-    def heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, data in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                c = np.frombuffer(data, np.int64)
-                at = np.flatnonzero(c >= heavy_count)
-                own = unpack_keys(keys)[at]
-                word = own != START
-                yield pa.record_batch({"key": pa.array(own[word].view(np.int64)), "n": pa.array(c[at][word])})
-
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for kind, bucket, keys, data in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
-                c = np.frombuffer(data, np.int64)
-                kept = c >= (least if kind == BIGRAM else 1)
-                yield pa.record_batch({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-                                       "bits": pa.array([_segment(unpack_keys(keys)[kept], c[kept])], pa.binary())})
-
-    # Bounded: at most 1 / HEAVY_SHARE words, and MAX_FILTER_BYTES of bits.
-    words = counts.where(f"kind = {UNIGRAM}").mapInArrow(heavy, "key long, n long").collect()
-    words.sort(key=lambda r: r["key"] % (1 << 64))
-    table = (np.array([r["key"] for r in words], np.int64).view(np.uint64), np.array([r["n"] for r in words], np.int64))
-    bits = counts.select("kind", "bucket", "keys", "counts").mapInArrow(segments, "kind int, bucket int, bits binary")
-    filled = {(r["kind"], r["bucket"]): bytes(r["bits"]) for r in bits.toLocalIterator() if r["bits"]}
-    arrow_batches(spark)
-    return Model(n, v, table, CountFilter(buckets, filled))
+def pack_places(places: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Level of each word in the run, and the places as ranks by level: frequent
+    words have small numbers."""
+    often = levels(counts).astype(np.uint8)
+    order = np.argsort(np.uint8(64) - often, kind="stable")
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    return pack_numbers(often), pack_numbers(rank[places])
+
+
+def unpack_places(often: bytes, ranks: bytes) -> np.ndarray:
+    order = np.argsort(np.uint8(64) - unpack_numbers(often, "u1"), kind="stable")
+    return order[unpack_numbers(ranks, "<u4")]
 
 
-_RUN_ROWS = "run long, bucket int, keys binary, links binary, texts binary, counts binary, trains binary, docs binary"
-_RUN_ARROW = pa.schema([("run", pa.int64()), ("bucket", pa.int32()), *((c, pa.binary()) for c in (
-    "keys", "links", "texts", "counts", "trains", "docs"))])
-_DOC = np.dtype([("id", "<i8"), ("null", "?"), ("held", "?"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
-_PART = np.dtype([("text", "<u4"), ("known", "<i8"), ("base", "<f8")])
+def _histories_of(places: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The place of the token before each token."""
+    out = np.empty_like(places)
+    out[1:] = places[:-1]
+    out[at[:-1]] = np.searchsorted(words, START)
+    return out
+
+
+def _ends(docs_: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(docs_["n"])])
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: int = HOLDOUT_OF,
@@ -334,98 +312,87 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        held_out(F.col(id_col), of, at).alias("held"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("s")).head()["s"] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    model = train(rows.where("NOT held"), buckets)
-    shared = spark.sparkContext.broadcast(model)
+    segments = train(rows.where("NOT held"), buckets)
+    found = segments.where(f"kind = {UNIGRAM}").agg(F.sum("total").alias("n"), F.sum("grams").alias("v")).head()
+    n_train, n_distinct = found["n"] or 0, found["v"] or 0
+    denominator = float(np.log10(n_train + n_distinct + 1.0))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, number = shared.value, 0
+        number = 0
         for texts, (ids, held) in _runs(batches, ["doc_id", "held"], SCORE_TOKENS):
-            words, ends = _tokens_of(texts)
+            tokens_, ends = _tokens_of(texts)
             run = TaskContext.get().partitionId() << 32 | number
             number += 1
-            text_of = np.repeat(np.arange(len(texts)), np.diff(ends))
             docs_ = np.zeros(len(texts), _DOC)
             docs_["id"], docs_["null"] = [i or 0 for i in ids], [i is None for i in ids]
-            docs_["held"], docs_["n"], docs_["score"] = held, np.diff(ends), own.scores(words, ends)
-            # Heavy words: counts are at hand.
-            place = np.minimum(np.searchsorted(own.heavy_keys, words), max(len(own.heavy_keys) - 1, 0))
-            heavy = own.heavy_keys[place] == words if len(own.heavy_keys) else np.zeros(len(words), bool)
-            c = own.heavy_counts[place[heavy]]
-            docs_["known"] = np.bincount(text_of[heavy], minlength=len(texts))
-            docs_["base"] = np.bincount(text_of[heavy], np.log10(c + 1.0), minlength=len(texts))
-            yield _run_row(run, -1, docs=docs_.tobytes())
-            # All others: one posting for each word and text.
-            light, texts_of = words[~heavy], text_of[~heavy]
-            order = np.lexsort((texts_of, light))
-            light, texts_of = light[order], texts_of[order]
-            new = (np.diff(light, prepend=~light[:1]) != 0) | (np.diff(texts_of, prepend=-1) != 0)
-            first = np.flatnonzero(new)
-            if not len(first):
-                continue
-            n = np.diff(first, append=len(light))
-            keys, texts_of = light[first], texts_of[first]
-            key_first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
-            trains = np.add.reduceat(np.where(docs_["held"][texts_of], 0, n), key_first)
-            links = np.diff(key_first, append=len(keys))
-            cut = np.searchsorted(bucket_of(keys[key_first], buckets), np.arange(buckets + 1))
-            edge = np.append(key_first, len(keys))
-            for b in np.flatnonzero(np.diff(cut)).tolist():
-                k, p = slice(cut[b], cut[b + 1]), slice(edge[cut[b]], edge[cut[b + 1]])
-                yield _run_row(run, b, keys=pack_keys(keys[key_first[k]]), links=links[k].astype(np.uint32).tobytes(),
-                               texts=texts_of[p].astype(np.uint32).tobytes(), counts=n[p].astype(np.uint32).tobytes(),
-                               trains=trains[k].astype(np.uint32).tobytes())
+            docs_["held"], docs_["n"] = held, np.diff(ends)
+            words, places, n = np.unique(np.append(tokens_, START), return_inverse=True, return_counts=True)
+            yield from _packed([(run, docs_.tobytes(), pack_keys(words), *pack_places(places[:-1], n))], _RUN)
+
+    def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run, data, keys, often, places in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                words, places = unpack_keys(keys), unpack_places(often, places)
+                before = _histories_of(places, _ends(np.frombuffer(data, _DOC)), words)
+                for kind, grams in ((UNIGRAM, words), (BIGRAM, np.unique(bigrams(words[before], words[places])))):
+                    yield from _packed([(run, kind, b, pack_keys(grams[own])) for b, own in by_bucket(grams, buckets)], _PROBE)
 
     def look_up(key: tuple, table: pa.Table) -> pa.Table:
-        """Counts of a bucket's words from all runs, then sums for each text."""
-        keys = [unpack_keys(x) for x in table.column("keys").to_pylist()]
-        trains = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("trains").to_pylist()])
-        words, back = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(back, trains, minlength=len(words))
-        out_runs, out_parts, done = [], [], 0
-        for run, own, links, texts, counts in zip(table.column("run").to_pylist(), keys, *(
-                table.column(c).to_pylist() for c in ("links", "texts", "counts"))):
-            c = np.repeat(total[back[done : done + len(own)]], np.frombuffer(links, np.uint32))
-            done += len(own)
-            texts, n = np.frombuffer(texts, np.uint32), np.frombuffer(counts, np.uint32)
-            seen = c > 0
-            at_text, place = np.unique(texts[seen], return_inverse=True)
-            parts = np.zeros(len(at_text), _PART)
-            parts["text"] = at_text
-            parts["known"] = np.bincount(place, n[seen], minlength=len(at_text))
-            parts["base"] = np.bincount(place, n[seen] * np.log10(c[seen] + 1.0), minlength=len(at_text))
-            out_runs.append(run)
-            out_parts.append(parts.tobytes())
-        return pa.table({"run": pa.array(out_runs, pa.int64()), "docs": pa.array([None] * len(out_runs), pa.binary()),
-                         "parts": pa.array(out_parts, pa.binary())})
-
-    n_train, denominator = model.n, float(np.log10(model.n + model.v + 1.0))
+        """The level of each key that a run sent, and the exact count of each word."""
+        kind, bucket = key[0].as_py(), key[1].as_py()
+        own, words, n = CountFilter(1, {}), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        runs_, sent = [], []
+        for run, keys, bits, counts in zip(*(table.column(c).to_pylist() for c in ("run", "keys", "bits", "counts"))):
+            if run is not None:
+                runs_.append(run)
+                sent.append(unpack_keys(keys))
+                continue
+            own = CountFilter(1, {(kind, 0): bits})
+            if kind == UNIGRAM:
+                words, n = unpack_keys(keys), unpack_numbers(counts, "<i8")
+        asked, back = np.unique(np.concatenate([*sent, words[:0]]), return_inverse=True)
+        level, exact = own.levels(asked, kind).astype(np.uint8), np.zeros(len(asked), np.int64)
+        if len(words):
+            place = np.minimum(np.searchsorted(words, asked), len(words) - 1)
+            exact = np.where(words[place] == asked, n[place], 0)
+        own_keys = np.split(back, np.cumsum([len(x) for x in sent]))[:-1] if sent else []
+        return pa.table({
+            "run": pa.array(runs_, pa.int64()), "kind": pa.array([kind] * len(sent), pa.int32()),
+            "bucket": pa.array([bucket] * len(sent), pa.int32()),
+            "levels": pa.array([pack_numbers(level[x]) for x in own_keys], pa.binary()),
+            "counts": pa.array([pack_numbers(exact[x]) if kind == UNIGRAM else None for x in own_keys], pa.binary())})
 
     def finish(key: tuple, table: pa.Table) -> pa.Table:
-        """The rows of one run: its own sums and those of all buckets."""
-        docs_ = None
-        for data in table.column("docs").to_pylist():
-            if data is not None:
-                docs_ = np.frombuffer(data, _DOC).copy()
-        for data in table.column("parts").to_pylist():
-            if data is not None:
-                parts = np.frombuffer(data, _PART)
-                docs_["known"][parts["text"]] += parts["known"]
-                docs_["base"][parts["text"]] += parts["base"]
+        """The rows of one run, from the answers of all buckets in key order."""
+        answers = {UNIGRAM: [], BIGRAM: []}
+        for kind, bucket, level, counts, data, keys, often, places in zip(*(table.column(c).to_pylist() for c in (
+                "kind", "bucket", "levels", "counts", "docs", "keys", "often", "places"))):
+            if kind is None:
+                docs_, words, at_word = np.frombuffer(data, _DOC), unpack_keys(keys), unpack_places(often, places)
+            else:
+                answers[kind].append((bucket, level, counts))
+        for own in answers.values():
+            own.sort(key=lambda x: x[0])
+        at = _ends(docs_)
+        before_at = _histories_of(at_word, at, words)
+        exact = np.concatenate([unpack_numbers(x[2], "<i8") for x in answers[UNIGRAM]])[at_word]
+        level = {kind: np.concatenate([unpack_numbers(x[1], "u1") for x in own]) for kind, own in answers.items()}
+        known = level_count(level[UNIGRAM])
+        one = (known[at_word] + 1) / (n_train + n_distinct + 1)
+        before = known[before_at]
+        _, back = np.unique(bigrams(words[before_at], words[at_word]), return_inverse=True)
+        two = np.minimum(level_count(level[BIGRAM])[back], before)
         return pa.table({
             "doc_id": pa.array(docs_["id"], mask=docs_["null"]), "held_out": pa.array(docs_["held"]),
-            "n_tokens": pa.array(docs_["n"]), "n_known": pa.array(docs_["known"]),
+            "n_tokens": pa.array(docs_["n"]), "n_known": pa.array(np.add.reduceat((exact > 0).astype(np.int64), at[:-1])),
             "train_tokens": pa.array(np.full(len(docs_), n_train, np.int64)),
-            "base_score": pa.array(docs_["base"] - docs_["n"] * denominator), "score": pa.array(docs_["score"])})
-
-    written = materialize(rows.mapInArrow(runs, _RUN_ROWS))
-    shared.destroy()  # what needs the model is written; Python workers let it go
-    sums = written.where("bucket >= 0").groupBy("bucket").applyInArrow(look_up, "run long, docs binary, parts binary")
-    whole = written.where("bucket < 0").select("run", "docs", F.lit(None).cast("binary").alias("parts")).unionByName(sums)
-    return whole.groupBy("run").applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
-
-def _run_row(run: int, bucket: int, **data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([run], pa.int64()), pa.array([bucket], pa.int32()),
-         *(pa.array([data.get(f.name)], pa.binary()) for f in list(_RUN_ARROW)[2:])], schema=_RUN_ARROW)
+            "base_score": pa.array(np.add.reduceat(np.log10(exact + 1.0), at[:-1]) - docs_["n"] * denominator),
+            "score": pa.array(np.add.reduceat(np.log10((two + MU * one) / (before + MU)), at[:-1]))})
+
+    written = materialize(rows.mapInArrow(runs, RUN))  # a run keeps its number and texts when a task is repeated
+    arrow_batches(spark, 1)  # a row is a whole run
+    asked = written.mapInArrow(probes, PROBE)
+    found = (asked.unionByName(segments.select("kind", "bucket", "bits", "keys", "counts"), allowMissingColumns=True)
+             .groupBy("kind", "bucket").applyInArrow(look_up, ANSWER))
+    return (found.unionByName(written, allowMissingColumns=True).groupBy("run").applyInArrow(
+        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
