@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm import bpe, decontam, licenses, lm, quality, secret_ledger, simhash, token_files, toxicity, warc
+from userflow.llm import (bpe, decontam, fim, hard_negatives, licenses, lm, ngram_join, quality, secret_ledger, simhash,
+                          token_files, toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +88,29 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(_span_list("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op7_toxicity, op8_simhash_near_dedup, op9_license_scan, op10_secret_ledger)}
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and similarity component of every document."""
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive of the embeddings."""
+    rows = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return hard_negatives.mine(rows)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, as digests."""
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return made.select("_row.doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                       F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"), "fim.restored_sha256")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_token_files, op3_warc, op4_byte_bpe, op5_bloom_lm, op6_quality_rules, op7_toxicity,
+    op8_simhash_near_dedup, op9_license_scan, op10_secret_ledger, op11_ngram_join, op12_hard_negatives,
+    op13_fill_in_middle)}
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": f"""
     WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
@@ -100,4 +123,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": quality.oracle_sql(),
     "op9_license_scan": licenses.oracle_sql(),
     "op10_secret_ledger": secret_ledger.oracle_sql(),
+    "op12_hard_negatives": hard_negatives.oracle_sql(),
+    "op13_fill_in_middle": fim.oracle_sql(),
 }
