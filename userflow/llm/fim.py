@@ -27,6 +27,8 @@ MARKS = {"prefix": b"<P>", "suffix": b"<S>", "middle": b"<M>"}
 CUT_OF_100, SUFFIX_FIRST_OF_100 = 90, 20
 #: Bytes of one block of a text.
 BLOCK_BYTES = 1024
+#: Rows of an Arrow batch (each text goes in and comes out).
+BATCH_ROWS = 250
 SALT = "1"
 
 _LETTER = np.zeros(256, bool)
@@ -169,7 +171,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text alone: repeated rows get equal results, and lost tasks redo the same.  An
     empty table gives an empty result; clashing column names stay in ``_row``.
     """
-    arrow_batches(docs.sparkSession)
+    arrow_batches(docs.sparkSession, BATCH_ROWS)
     packed = pack(docs)
     return packed.select("_row", _transform_udf(salt)(F.col(f"_row.`{id_col}`").cast("string"), F.col(f"_row.`{text_col}`")).alias("fim"))
 
