@@ -43,16 +43,22 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 @contextmanager
-def limited_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of at most ``rows`` rows for what is written inside the
-    block; the setting is as before afterwards."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is planned and written inside the block; they
+    are as before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def limited_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows inside the block."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})
 
 
 def pack(df: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, mix, pieces, shingle_hashes, text_bytes, word_hashes
+from userflow.llm.common import limited_batches, mix, pieces, settings, shingle_hashes, text_bytes, word_hashes
 from userflow.llm.components import connected_components
 from userflow.session import materialize
 
@@ -49,6 +49,10 @@ THIN, SPARE_EVERY = 2, 16
 SMALL_TILE = 16
 #: Members of a block of a crowd.
 BLOCK = 256
+#: Measured size up to which a side of the many small joins is broadcast.
+BROADCAST = "4MB"
+#: Rows of an Arrow batch of texts, and of pairs of whole arrays.
+BATCH_ROWS, ARRAY_ROWS = 250, 64
 
 _TOPS = [1]  # largest difference of each band, a quarter wider each time
 while _TOPS[-1] < 1 << 40:
@@ -196,7 +200,8 @@ def _verified(pairs: DataFrame, bits: DataFrame, arrays: DataFrame, similarity)
     """The linked ones of distinct candidate pairs: bit counts, then arrays."""
     close = _both(pairs, bits, ["n", "bits"]).where(_may_link_udf(similarity)("n_a", "bits_a", "n_b", "bits_b"))
     close = materialize(close.select("a", "b"))
-    return materialize(_both(close, arrays, ["hashes"]).where(_linked_udf(similarity)("hashes_a", "hashes_b")).select("a", "b"))
+    with limited_batches(pairs.sparkSession, ARRAY_ROWS):  # two whole arrays a row
+        return materialize(_both(close, arrays, ["hashes"]).where(_linked_udf(similarity)("hashes_a", "hashes_b")).select("a", "b"))
 
 
 def _block_links(similarity):
@@ -237,11 +242,13 @@ def _block_links(similarity):
 
 
 def _crowd_links(tiles: DataFrame, bits: DataFrame, arrays: DataFrame, similarity, block: int = BLOCK) -> DataFrame:
-    """Links that finish the tiles (sig, cid, root): a pair of blocks at a time."""
-    first = tiles.groupBy("sig").agg(F.min("cid").alias("first"))
-    crowds = connected_components(tiles.join(first, "sig").select("cid", "first"), "cid", "first")
-    members = materialize(crowds.select(F.col("node").alias("cid"), F.col("root").alias("crowd"))
-                          .join(tiles.select("cid", "root").distinct(), "cid"))
+    """Links that finish the tiles (sig, cid, root): a pair of blocks at a time.
+    Components that share a tile are of one crowd."""
+    held = tiles.select("sig", "root").distinct()
+    first = held.groupBy("sig").agg(F.min("root").alias("first"))
+    crowds = connected_components(held.join(first, "sig").select("root", "first"), "root", "first")
+    members = materialize(tiles.select("cid", "root").distinct().join(
+        crowds.select(F.col("node").alias("root"), F.col("root").alias("crowd")), "root"))
     sizes = members.groupBy("crowd", "root").agg(F.count("*").alias("n"))
     plan = sizes.groupBy("crowd").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("all")).selectExpr(
         "crowd", "main.root as main_root", f"ceil((all - main.n) / {block}) as rest_blocks",
@@ -261,13 +268,29 @@ def _pairs_of_lists(lists: DataFrame) -> DataFrame:
     return lists.selectExpr(f"explode({each}) as p").select("p.a", "p.b").distinct()
 
 
-def _with_roots(tiles: DataFrame, links: DataFrame) -> DataFrame:
-    roots = connected_components(links).withColumnRenamed("node", "cid")
-    return tiles.join(materialize(roots), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (cid, root; a class without a row is its own root) after more
+    links: only the components that they join are looked at again."""
+    ends = links.withColumn("no", F.struct("a", "b"))
+    for side in ("a", "b"):
+        ends = ends.join(roots.select(F.col("cid").alias(side), F.col("root").alias(f"root_{side}")), side, "left").withColumn(
+            f"root_{side}", F.coalesce(f"root_{side}", side))
+    moved = materialize(connected_components(ends.select("root_a", "root_b").distinct(), "root_a", "root_b")
+                        .select(F.col("node").alias("root"), F.col("root").alias("to")))
+    old = roots.join(moved, "root", "left").select("cid", F.coalesce("to", "root").alias("root"))
+    new = moved.join(roots, moved["root"] == roots["cid"], "left_anti").select(F.col("root").alias("cid"), F.col("to").alias("root"))
+    return materialize(old.unionByName(new))
+
+
+def _open(tiles: DataFrame, roots: DataFrame) -> DataFrame:
+    """The tiles (sig, cid, size, root) that span several components."""
+    state = materialize(tiles.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+    several = state.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
+    return materialize(state.join(several, "sig", "left_semi"))
 
 
-def class_links(reps: DataFrame, arrays_of, similarity=SIMILARITY, small: int = SMALL_TILE, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between classes that connect all that are connected.
+def class_roots(reps: DataFrame, arrays_of, similarity=SIMILARITY, small: int = SMALL_TILE, block: int = BLOCK) -> DataFrame:
+    """(cid, root): for every class with a link the smallest class it reaches.
 
     ``reps``: cid, n, bits, sigs; ``arrays_of(cids)`` gives (cid, hashes)."""
     bits = reps.select("cid", "n", "bits")
@@ -284,20 +307,18 @@ def class_links(reps: DataFrame, arrays_of, similarity=SIMILARITY, small: int =
     met = pairs.selectExpr("explode(array(a, b)) as cid").unionByName(tiles.select("cid")).distinct()
     arrays = materialize(arrays_of(met))
     links = _verified(pairs, bits, arrays, similarity)
+    roots = materialize(connected_components(links).withColumnRenamed("node", "cid"))
 
-    state = materialize(_with_roots(tiles, links))
-    open_tiles = state.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    state = materialize(state.join(open_tiles, "sig", "left_semi"))
-    if state.isEmpty():
-        return links
-    lists = state.where(F.col("size") <= small).groupBy("sig").agg(F.collect_list(F.struct("cid", "root")).alias("m"))
+    left = _open(tiles, roots)
+    lists = left.where(F.col("size") <= small).groupBy("sig").agg(F.collect_list(F.struct("cid", "root")).alias("m"))
     more = materialize(_pairs_of_lists(lists).join(pairs, ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(more, bits, arrays, similarity))
-    large = state.where(F.col("size") > small)
+    if not more.isEmpty():
+        roots = _joined_roots(roots, _verified(more, bits, arrays, similarity))
+    large = left.where(F.col("size") > small)
     if not large.isEmpty():
-        now = _with_roots(large.drop("root"), links)
-        links = links.unionByName(_crowd_links(materialize(now.select("sig", "cid", "root")), bits, arrays, similarity, block))
-    return links
+        large = _open(large.drop("root"), roots)
+        roots = _joined_roots(roots, _crowd_links(large.select("sig", "cid", "root"), bits, arrays, similarity, block))
+    return roots
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
@@ -312,9 +333,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     no other.  An empty table gives an empty result; columns beside the two are
     not read.
     """
-    arrow_batches(docs.sparkSession)
-    text = F.col(f"`{text_col}`")
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *_text_key(text), text.alias("text"))
+    with settings(docs.sparkSession, {
+            "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+            "spark.sql.autoBroadcastJoinThreshold": BROADCAST, "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST}):
+        return _similar(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")),
+                        k, similarity, small, block)
+
+
+def _similar(docs: DataFrame, k: int, similarity, small: int, block: int) -> DataFrame:
+    source = docs.select("doc_id", *_text_key(F.col("text")), "text")
     id_type = source.schema["doc_id"].dataType.simpleString()
     rows = materialize(source.mapInArrow(
         _describe(k, similarity),
@@ -325,13 +352,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     reps = materialize(rows.join(classes.select("cid"), "cid", "left_semi"))
 
     def arrays_of(cids: DataFrame) -> DataFrame:
-        wanted = reps.join(cids, "cid", "left_semi").select("cid", "t1", "t2", F.col("doc_id").alias("_id"))
+        wanted = materialize(reps.join(cids, "cid", "left_semi").select("cid", "t1", "t2", F.col("doc_id").alias("_id")))
         found = source.join(wanted, ["t1", "t2"]).where(F.col("doc_id").eqNullSafe(F.col("_id")))
         return found.select("cid", "text").mapInArrow(_arrays(k), "cid long, hashes binary").dropDuplicates(["cid"])
 
-    links = class_links(reps, arrays_of, similarity, small, block)
-    rooted = materialize(_with_roots(classes, links))
+    roots = class_roots(reps, arrays_of, similarity, small, block)
+    rooted = materialize(classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = materialize(rooted.join(least, "root").select("h1", "h2", "n", "component_id"))
-    return rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return materialize(rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
