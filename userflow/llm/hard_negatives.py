@@ -80,11 +80,6 @@ class Residues:
         self.primes = primes
         self.of = [residues(matrix, p) for p in primes]
 
-    def take(self, rows) -> "Residues":
-        out = object.__new__(Residues)
-        out.primes, out.of = self.primes, [m[rows] for m in self.of]
-        return out
-
 
 def scores(a: Residues, b: Residues) -> np.ndarray:
     """Exact inner products of the rows of ``a`` with those of ``b`` (longs)."""
@@ -149,7 +144,8 @@ _FOUND = "found array<array<struct<id: long, score: long>>>"
 
 
 def _blocks(rows: DataFrame, n: int, length: int, scale: float, limit: int) -> DataFrame:
-    dealt = rows.withColumn("block", F.expr(f"pmod(xxhash64(id), {n}L)"))
+    # The input partition spreads rows that repeat one id.
+    dealt = rows.withColumn("block", F.expr(f"pmod(xxhash64(id, spark_partition_id()), {n}L)"))
     return materialize(dealt.groupBy("block").applyInArrow(
         _pack(length, scale, limit), _CELLS + (f", {_FOUND}" if "found" in rows.columns else "")))
 
