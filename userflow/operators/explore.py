@@ -20,10 +20,12 @@ from userflow.sources.schema import label_pages
 FLAG_NAMES = ("churn", "upgrade", "downgrade")
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]):
+def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], known: str | None = None):
+    """Equal pairs, nulls equal too; column ``known`` has no nulls, so a layout by
+    it serves the join."""
     cond = None
     for lc, rc in pairs:
-        c = left[lc].eqNullSafe(right[rc])
+        c = left[lc] == right[rc] if lc == known else left[lc].eqNullSafe(right[rc])
         cond = c if cond is None else cond & c
     return cond
 
@@ -64,10 +66,11 @@ def user_flags(df: DataFrame, pages: dict[str, str], user: str = "userId", page:
     return df.groupBy(user).agg(*_flags(pages, page)).select(user, *_yes_no_names())
 
 
-def with_lifecycle_flags(df: DataFrame, pages: dict[str, str], user: str = "userId") -> DataFrame:
-    """Every row with its user's three Yes / No lifecycle flags."""
+def with_lifecycle_flags(df: DataFrame, pages: dict[str, str], user: str = "userId", known_users: bool = False) -> DataFrame:
+    """Every row with its user's three Yes / No lifecycle flags (``known_users``: no
+    user is null)."""
     flags = user_flags(df, pages, user).withColumnRenamed(user, "_u")
-    out = df.join(flags, _null_safe_on(df, flags, [(user, "_u")]), "inner")
+    out = df.join(flags, _null_safe_on(df, flags, [(user, "_u")], user if known_users else None), "inner")
     return out.drop("_u")
 
 
@@ -98,19 +101,20 @@ def count_users_by(users: DataFrame, *cols: str) -> DataFrame:
     return users.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_users"))
 
 
-def _rows_at(df: DataFrame, agg, user: str, ts: str) -> DataFrame:
+def _rows_at(df: DataFrame, agg, user: str, ts: str, known_users: bool) -> DataFrame:
     edge = df.groupBy(user).agg(agg(ts).alias("_t")).withColumnRenamed(user, "_u")
-    return df.join(edge, _null_safe_on(df, edge, [(user, "_u"), (ts, "_t")]), "left_semi")
+    on = _null_safe_on(df, edge, [(user, "_u"), (ts, "_t")], user if known_users else None)
+    return df.join(edge, on, "left_semi")
 
 
-def first_events(df: DataFrame, user: str = "userId", ts: str = "ts") -> DataFrame:
-    """Rows at each user's first timestamp (ties kept)."""
-    return _rows_at(df, F.min, user, ts)
+def first_events(df: DataFrame, user: str = "userId", ts: str = "ts", known_users: bool = False) -> DataFrame:
+    """Rows at each user's first timestamp (ties kept; ``known_users``: no user is null)."""
+    return _rows_at(df, F.min, user, ts, known_users)
 
 
-def last_events(df: DataFrame, user: str = "userId", ts: str = "ts") -> DataFrame:
-    """Rows at each user's last timestamp (ties kept)."""
-    return _rows_at(df, F.max, user, ts)
+def last_events(df: DataFrame, user: str = "userId", ts: str = "ts", known_users: bool = False) -> DataFrame:
+    """Rows at each user's last timestamp (ties kept; ``known_users``: no user is null)."""
+    return _rows_at(df, F.max, user, ts, known_users)
 
 
 def entry_level(df: DataFrame, user: str = "userId", ts: str = "ts") -> DataFrame:

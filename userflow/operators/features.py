@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from userflow.functions.columns import (
@@ -150,15 +150,16 @@ def feature_table_literal(df: DataFrame, plan: CutoffPlan, pages: dict[str, str]
 # --- production form ---------------------------------------------------------
 
 
-def _day_partials(log: DataFrame, plan: CutoffPlan, pages: dict[str, str]) -> DataFrame:
-    """Branch A, step 1: one row per (user, day) with every mergeable partial.
+def day_partials(log: DataFrame, day: Column, pages: dict[str, str]) -> DataFrame:
+    """Branch A, step 1: one row per (user, day) with every mergeable partial;
+    ``day`` is the named day column (relative to a cutoff, or of the calendar).
 
     Last level / gender are kept as ``max(2 * ts + flag)``: the max is reached
     at the latest ts and, among rows tied there, by the largest flag, which
     ``pmod(max, 2)`` returns.  A plain long keeps the aggregation hash-based
     (a struct max would force a sort-based one).
     """
-    return log.groupBy("userId", e(slot_sql(plan), "slot")).agg(
+    return log.groupBy("userId", day).agg(
         *[e(f"count_if(page = {q(pages[code])})", count_column(code)) for code, _ in PAGE_CODES],
         e(f"sum({exact_length_sql('length')})", "_len"),
         e("min(registration)", "_reg_min"),
@@ -169,23 +170,25 @@ def _day_partials(log: DataFrame, plan: CutoffPlan, pages: dict[str, str]) -> Da
     )
 
 
-def _session_parts(log: DataFrame, plan: CutoffPlan) -> DataFrame:
-    """Branch B: per (user, offset, session) the depth contribution
-    ``_dnum = top item * rows at it`` and ``_dden = rows at it``, from aggregates only.
-
-    item level   -> rows per (user, day, session, item)
-    session-day  -> top item m and its row count k
-    session      -> over the days of a window (at most look-back days of
-                    them): top m and the summed k of the days reaching it
-    """
+def session_days(log: DataFrame, day: Column, name: str) -> DataFrame:
+    """Branch B, step 1: per (user, day, session) its top item ``_m`` and the
+    number ``_k`` of rows at it, through rows per (user, day, session, item).
+    ``name`` is the name of the ``day`` column."""
     items = (
         log.where("itemInSession IS NOT NULL")
-        .groupBy("userId", e(slot_sql(plan), "slot"), "sessionId", "itemInSession")
+        .groupBy("userId", day, "sessionId", "itemInSession")
         .agg(e("count(1)", "_n"))
     )
-    session_day = items.groupBy("userId", "slot", "sessionId").agg(
+    return items.groupBy("userId", name, "sessionId").agg(
         e("max(itemInSession)", "_m"), e("max_by(_n, itemInSession)", "_k")
     )
+
+
+def session_windows(session_day: DataFrame, plan: CutoffPlan) -> DataFrame:
+    """Branch B, step 2: per (user, offset, session) the depth contribution
+    ``_dnum = top item * rows at it`` and ``_dden = rows at it``: over the days of a
+    window (at most look-back days of them) the top item and the summed rows of
+    the days that reach it.  A day may come in several partial rows."""
     per_session = fan_out_days(session_day, plan, with_labels=False).groupBy(*KEY, "sessionId").agg(
         e("collect_list(named_struct('m', _m, 'k', _k))", "_parts")
     )
@@ -196,6 +199,10 @@ def _session_parts(log: DataFrame, plan: CutoffPlan) -> DataFrame:
     )
 
 
+def _session_parts(log: DataFrame, plan: CutoffPlan) -> DataFrame:
+    return session_windows(session_days(log, e(slot_sql(plan), "slot"), "slot"), plan)
+
+
 def _offset_rows(days_fanned: DataFrame, sessions: DataFrame, plan: CutoffPlan) -> DataFrame:
     """Day partials and session contributions summed per (user, offset) in one
     aggregate; offsets without a look-back row are dropped."""
@@ -371,6 +378,14 @@ def feature_table(source: Source, plan: CutoffPlan, pages: dict[str, str], ties:
     if ties != "one":
         raise ValueError("ties must be 'one' or 'all'")
     log = time_slice(drop_anonymous(_read(source, BEHAVIOUR_INPUT)), plan.start_ms, plan.end_ms)
-    days = fan_out_days(_day_partials(log, plan, pages), plan, with_labels=True)
     rows = time_slice(drop_anonymous(_read(source, DEPTH_INPUT)), plan.start_ms, plan.cutoff_ms)
-    return _finish(_offset_rows(days, _session_parts(rows, plan), plan))
+    slot = e(slot_sql(plan), "slot")
+    return from_partials(day_partials(log, slot, pages), session_days(rows, slot, "slot"), plan)
+
+
+def from_partials(days: DataFrame, sessions: DataFrame, plan: CutoffPlan) -> DataFrame:
+    """The feature table from :func:`day_partials` and :func:`session_days` with
+    the day as ``slot`` (relative to the first cutoff).  Days outside the windows
+    are ignored; a day may come in several partial rows."""
+    fanned = fan_out_days(days, plan, with_labels=True)
+    return _finish(_offset_rows(fanned, session_windows(sessions, plan), plan))

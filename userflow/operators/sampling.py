@@ -46,13 +46,29 @@ def split_by_ids(df: DataFrame, ids: DataFrame, key: str = "userId") -> tuple[Da
     """(rows whose key is in ``ids``, the other rows), as semi / anti joins.
 
     Nothing is collected; the join strategy (broadcast or shuffle) is chosen
-    by the optimizer from the measured size of ``ids``.
+    by the optimizer from the measured size of ``ids``.  Where the id set is too
+    big to broadcast and the log large, the semi join is shuffled and the
+    optimizer sends a Bloom filter of the ids to the log's scan, so rows of other
+    keys are dropped before the shuffle (limits in ``session.SESSION_CONF``).  It
+    does so only for a side with a selective filter; :func:`_known` gives it one.
+    Null ids match nothing.
     """
-    ids = ids.select(F.col(ids.columns[0]).alias("_id")).distinct()
+    ids = _known(ids.select(F.col(ids.columns[0]).alias("_id"))).distinct()
     cond = df[key] == ids["_id"]
     return df.join(ids, cond, "left_semi"), df.join(ids, cond, "left_anti")
 
 
+def _known(ids: DataFrame) -> DataFrame:
+    """``ids`` without nulls, as a comparison (true for every value): the kind of
+    predicate that makes a join side a source of a runtime filter."""
+    kind = ids.schema["_id"].dataType.simpleString()
+    if kind == "string":
+        return ids.where(F.col("_id") >= F.lit(""))
+    if kind in ("int", "bigint"):
+        return ids.where(F.col("_id") >= F.lit(-(1 << (31 if kind == "int" else 63))).cast(kind))
+    return ids.where(F.col("_id").isNotNull())
+
+
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label)
 

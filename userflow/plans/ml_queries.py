@@ -1,7 +1,7 @@
 """Registered model queries (fit, score, compare, sweep).
 
-Not expressible in SQL; checked by row counts here and by unit tests.  They
-train on the rebalanced training split of the feature table with the settings
+Those with a closed form have SQL (:func:`ml_oracle_sql`); the others are checked
+by row counts here and by unit tests.  They train on the rebalanced training split of the feature table with the settings
 of the fitted lifecycle models (50 rounds, depth 10) unless stated.
 """
 
@@ -9,20 +9,26 @@ from __future__ import annotations
 
 import time
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from userflow.functions.columns import round_doubles
 from userflow.operators import sampling
 from userflow.operators.evaluate import metrics
-from userflow.plans import modeling
+from userflow.plans import modeling, score_sql
 from userflow.plans.registry import (
+    FEATURES,
     LABEL,
     PAGES,
     PLAN,
     REBALANCE_SEED,
+    SPLIT_ALL,
     SPLIT_RATIO,
     SPLIT_SEED,
     _ft,
+    _round as round_sql,
     act,
     plan_days,
 )
@@ -87,26 +93,21 @@ def q_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 def q_score_saved_model(spark: SparkSession, sf: str) -> DataFrame:
     """Save the fitted pipeline behind its feature stage, load it back and
     score the raw activity log of the tables."""
-    stage = WindowedFeatures(
-        cutoffMs=PLAN.cutoff_ms, lookBackDays=PLAN.look_back_days, lookAheadDays=PLAN.look_ahead_days,
-        extraOffsets=PLAN.n_extra, intervalDays=PLAN.interval_days,
-        pageNames=[PAGES[code] for code, _ in PAGE_CODES],
-    )
-    path = modeling.save_model(spark, modeling.scoring_model(stage, _fitted(spark, sf)),
+    path = modeling.save_model(spark, modeling.scoring_model(_stage(), _fitted(spark, sf)),
                                shared_path(spark, "models"))
     scored = modeling.score_log(path, act(spark, sf, between=plan_days(PLAN)))
     return scored.select("userId", "offset_idx", LABEL, "prediction")
 
 
+#: (rounds, depth) of the registered sweep: the shipped point and two smaller ones.
+GRID = [(modeling.GBT_ROUNDS, modeling.GBT_DEPTH), (20, 5), (10, 3)]
+
+
 def q_grid_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Sweep of (rounds, depth) over the shipped grid, metrics on the
-    rebalanced, train and test sets, with the run parameters and fit time."""
+    """Sweep of (rounds, depth), metrics on the rebalanced, train and test sets,
+    with the run parameters and fit time."""
     train, test, rebalanced = _sets(spark, sf)
-    grid = [(modeling.GBT_ROUNDS, modeling.GBT_DEPTH)]
-    report = modeling.sweep(
-        rebalanced, {"rebalanced": rebalanced, "train": train, "test": test}, LABEL, grid,
-        fit=lambda rounds, depth: _fit_timed(spark, sf, "gbt", maxIter=rounds, maxDepth=depth),
-    )
+    report = modeling.sweep(rebalanced, {"rebalanced": rebalanced, "train": train, "test": test}, LABEL, GRID, parallelism=3)
     run = {
         "label": LABEL,
         "cutoff_ms": PLAN.cutoff_ms,
@@ -118,10 +119,87 @@ def q_grid_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.select(*[F.lit(v).alias(k) for k, v in run.items()], "*")
 
 
+def q_gbt_expression_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows, and how many of them the boosted trees compiled into one
+    expression predict as the fitted pipeline does."""
+    _, test, _ = _sets(spark, sf)
+    model = _fitted(spark, sf)
+    both = score_sql.score_with_sql(model, model.transform(test), "by_expression")
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(F.expr("by_expression = prediction")).alias("n_equal"))
+
+
+def q_naive_bayes_parameters(spark: SparkSession, sf: str) -> DataFrame:
+    """Priors and likelihoods of naive Bayes, one row per class and feature."""
+    return round_doubles(score_sql.naive_bayes_parameters(spark, _fitted(spark, sf, "nb")))
+
+
+def q_naive_bayes_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Naive Bayes on the test rows, as one linear expression."""
+    _, test, _ = _sets(spark, sf)
+    return score_sql.score_with_sql(_fitted(spark, sf, "nb"), test).select("userId", LABEL, "prediction")
+
+
+def _stage() -> WindowedFeatures:
+    return WindowedFeatures(
+        cutoffMs=PLAN.cutoff_ms, lookBackDays=PLAN.look_back_days, lookAheadDays=PLAN.look_ahead_days,
+        extraOffsets=PLAN.n_extra, intervalDays=PLAN.interval_days,
+        pageNames=[PAGES[code] for code, _ in PAGE_CODES],
+    )
+
+
+def save_scaler_pipeline(spark: SparkSession, sf: str, path: str) -> str:
+    """Feature stage, assembler and the scaler fitted on the train users, saved."""
+    train, _, _ = _sets(spark, sf)
+    fitted = Pipeline(stages=modeling.build_pipeline(LABEL).getStages()[:2]).fit(train)
+    return modeling.save_model(spark, modeling.scoring_model(_stage(), fitted), path)
+
+
+def q_saved_scaler_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The saved pipeline, loaded and applied to the raw log: every feature row
+    centred and scaled by the train users' means and deviations."""
+    path = save_scaler_pipeline(spark, sf, shared_path(spark, "models"))
+    scaled = modeling.score_log(path, act(spark, sf, between=plan_days(PLAN)))
+    arr = vector_to_array(modeling.SCALED)
+    return round_doubles(scaled.select("userId", *[arr[i].alias(f) for i, f in enumerate(FEATURES)]))
+
+
+_NB_COLUMNS = [f"sum({f}) as {f}" for f in FEATURES]
+_NB_SQL = f"""nb_sums as (select {LABEL} as class, count(*) as n, {", ".join(_NB_COLUMNS)} from rb_set group by 1),
+nb_long as (unpivot nb_sums on {", ".join(FEATURES)} into name feature value total),
+nb as (select class, feature,
+       ln(n + 1.0) - ln((select count(*) from rb_set) + (select count(*) from nb_sums)) as log_prior,
+       ln(total + 1.0) - ln(sum(total) over (partition by class) + {len(FEATURES)}.0) as log_likelihood from nb_long)"""
+_NB_SCORES = f"""te_long as (unpivot (select userId, {LABEL}, {", ".join(f"{f}::double as {f}" for f in FEATURES)} from te_set)
+       on {", ".join(FEATURES)} into name feature value v),
+nb_raw as (select t.userId, t.{LABEL}, p.class, max(p.log_prior) + sum(t.v * p.log_likelihood) as raw
+       from te_long t join nb p on p.feature = t.feature group by 1, 2, 3)"""
+_TRAIN_SCALED = ", ".join(
+    f"coalesce(round(({f} - (select avg({f}) from tr_set)) / nullif((select stddev_samp({f}) from tr_set), 0), 6), 0.0) + 0.0 as {f}"
+    for f in FEATURES)
+
+
+def ml_oracle_sql() -> dict[str, str]:
+    """SQL of the model queries that have a closed form."""
+    doubles = _NB_SQL.replace("rb_set group by 1", f"(select * replace ({', '.join(f'{f}::double as {f}' for f in FEATURES)}) from rb_set) r group by 1")
+    return {
+        "gbt_expression_agreement": SPLIT_ALL + "select count(*) as n_rows, count(*) as n_equal from te_set",
+        "naive_bayes_parameters": SPLIT_ALL.rstrip() + ",\n" + doubles + "\n" + round_sql(
+            "select class, feature, log_prior, log_likelihood from nb", ["log_prior", "log_likelihood"]),
+        "naive_bayes_predictions": SPLIT_ALL.rstrip() + ",\n" + doubles + ",\n" + _NB_SCORES + (
+            f"\nselect userId, {LABEL}, case when max(case when class = 1 then raw end) > max(case when class = 0 then raw end) "
+            "then 1.0::double else 0.0::double end as prediction from nb_raw group by 1, 2"),
+        "saved_scaler_pipeline": SPLIT_ALL + f"select userId, {_TRAIN_SCALED} from ft",
+    }
+
+
 ML_QUERIES = {
     "gbt_predictions": q_gbt_predictions,
     "classifier_comparison": q_classifier_comparison,
     "feature_importance": q_feature_importance,
     "score_saved_model": q_score_saved_model,
     "grid_report": q_grid_report,
+    "gbt_expression_agreement": q_gbt_expression_agreement,
+    "naive_bayes_parameters": q_naive_bayes_parameters,
+    "naive_bayes_predictions": q_naive_bayes_predictions,
+    "saved_scaler_pipeline": q_saved_scaler_pipeline,
 }

@@ -4,7 +4,10 @@ parameter sweeps and side-by-side evaluation."""
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -20,7 +23,7 @@ from pyspark.sql import types as T
 
 from userflow.operators.evaluate import metrics, tag_sets
 from userflow.operators.features import FEATURES
-from userflow.session import shared_path
+from userflow.session import materialize, shared_path
 
 RAW = "unscaled_features"
 SCALED = "features"
@@ -132,23 +135,69 @@ SWEEP_PARAMS = {
 }
 
 
+@dataclass
+class GridPoint:
+    rounds: int
+    depth: int
+    model: PipelineModel
+    fit_seconds: float
+
+
+def prepare(train: DataFrame, label: str, kind: str, features: list[str] | None = None) -> tuple[PipelineModel, DataFrame, object]:
+    """Assembler and scaler fitted once, the training rows they give (label and
+    the one vector the classifier reads, written once), and the classifier."""
+    *before, classifier = build_pipeline(label, kind, features).getStages()
+    fitted = Pipeline(stages=before).fit(train)
+    ready = materialize(fitted.transform(train).select(label, classifier.getFeaturesCol()))
+    return fitted, ready, classifier
+
+
+def fit_grid(train: DataFrame, label: str, grid: list[tuple[int, int]], kind: str = "gbt", parallelism: int = 2,
+             features: list[str] | None = None) -> list[GridPoint]:
+    """One fitted pipeline per (rounds, depth), in the grid's order.
+
+    Features are assembled and scaled in one pass over ``train`` and shared by all
+    points; ``parallelism`` fits run at a time, so jobs of one point fill the
+    executors that another leaves idle."""
+    fitted, ready, classifier = prepare(train, label, kind, features)
+    maps = [{classifier.getParam(k): v for k, v in SWEEP_PARAMS[kind](*point).items()} for point in grid]
+    fits = classifier.fitMultiple(ready, maps)
+
+    def one(_):
+        start = time.time()
+        index, model = next(fits)
+        return index, model, time.time() - start
+
+    out: list[GridPoint | None] = [None] * len(grid)
+    with ThreadPool(max(1, min(parallelism, len(grid)))) as pool:
+        run = inheritable_thread_target(train.sparkSession)(one)
+        for index, model, seconds in pool.imap_unordered(run, range(len(grid))):
+            out[index] = GridPoint(*grid[index], PipelineModel(stages=[*fitted.stages, model]), seconds)
+    return out
+
+
+def evaluate_grid(points: list[GridPoint], sets: dict[str, DataFrame], label: str) -> DataFrame:
+    """Metrics of every point on every set, in one pass over the sets: the rows
+    are assembled and scaled once, each model adds its prediction to them."""
+    *before, classifier = points[0].model.stages
+    rows = PipelineModel(stages=before).transform(tag_sets(sets)).select("dataset", label, classifier.getFeaturesCol())
+    for i, p in enumerate(points):
+        model = p.model.stages[-1].copy().setPredictionCol(f"_p{i}")
+        for clear in ("setRawPredictionCol", "setProbabilityCol"):
+            if hasattr(model, clear):
+                getattr(model, clear)("")
+        rows = model.transform(rows)
+    each = F.array(*[F.struct(
+        F.lit(i).alias("point"), F.lit(p.rounds).alias("rounds"), F.lit(p.depth).alias("depth"),
+        F.lit(round(p.fit_seconds, 3)).alias("fit_seconds"), F.col(f"_p{i}").alias("prediction")) for i, p in enumerate(points)])
+    stacked = rows.select("dataset", label, F.explode(each).alias("_e")).select("dataset", label, "_e.*")
+    by = ["point", "rounds", "depth", "fit_seconds", "dataset"]
+    return metrics(stacked, label, by=by).drop("point")
+
+
 def sweep(train: DataFrame, sets: dict[str, DataFrame], label: str, grid: list[tuple[int, int]],
-          kind: str = "gbt", fit=None) -> DataFrame:
+          kind: str = "gbt", parallelism: int = 2) -> DataFrame:
     """Fit one pipeline per (rounds, depth) and report metrics on every set,
     with the fit time in seconds.  A classifier uses what it has of the two
-    (:data:`SWEEP_PARAMS`).  ``fit(rounds, depth) -> (model, seconds)`` may supply
-    already fitted models."""
-    def fresh(rounds: int, depth: int):
-        start = time.time()
-        model = build_pipeline(label, kind, **SWEEP_PARAMS[kind](rounds, depth)).fit(train)
-        return model, time.time() - start
-
-    out = None
-    for rounds, depth in grid:
-        model, fit_s = (fit or fresh)(rounds, depth)
-        m = evaluate_sets(model, sets, label).select(
-            F.lit(rounds).alias("rounds"), F.lit(depth).alias("depth"), F.lit(round(fit_s, 3)).alias("fit_seconds"),
-            "*",
-        )
-        out = m if out is None else out.unionByName(m)
-    return out
+    (:data:`SWEEP_PARAMS`); points that come to the same parameters are all fitted."""
+    return evaluate_grid(fit_grid(train, label, grid, kind, parallelism), sets, label)

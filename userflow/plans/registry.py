@@ -11,16 +11,20 @@ look-ahead 1 day, 6 extra cutoffs 1 day apart.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from userflow.functions.columns import length_filled, page_flag, round_doubles, tenure_days
-from userflow.operators import clean, explore, features, sampling, windows
+from userflow.operators import clean, explore, features, importance, sampling, windows
 from userflow.operators.evaluate import metrics
 from userflow.sources.schema import DAY_MS, FEATURE_ORDER, LABELS, PAGE_CODES, TABLE_PAGES, count_column, label_pages
-from userflow.session import materialize
+from userflow.plans import day_store
+from userflow.session import materialize, shared_path
+from userflow.sources import user_buckets
 from userflow.sources.tables import (
     RARE_EVERY,
     RARE_PAGE,
@@ -335,6 +339,65 @@ def q_evaluation_by_dataset(spark, sf):
     return round_doubles(metrics(_with_rule(sets), LABEL, by=["dataset"]))
 
 
+def _log(spark, sf):
+    """All columns of the known users' activity over the plan's days."""
+    return act(spark, sf, between=plan_days(PLAN), known_users=True)
+
+
+def q_feature_table_from_days(spark, sf):
+    """The feature table from stored day partials: the earlier days arrive at
+    once, one day in two batches, and one day is written wrongly and replaced."""
+    path = shared_path(spark, "day_store")
+    log = materialize(_log(spark, sf))
+    day = F.expr(f"ts div {DAY_MS}")
+    last = PLAN.cutoff_ms // DAY_MS - 1
+    late = F.expr(f"pmod(ts, {DAY_MS}) >= {DAY_MS // 2}")
+    day_store.store_days(log.where(day < last - 1), path, PAGES)
+    day_store.store_days(log.where((day == last - 1) & ~late), path, PAGES)
+    day_store.store_days(log.where((day == last - 1) & late), path, PAGES)
+    day_store.store_days(log.where((day >= last) & late), path, PAGES)
+    day_store.store_days(log.where(day >= last), path, PAGES, mode="replace_days")
+    return round_doubles(day_store.feature_table_from_days(spark, path, PLAN))
+
+
+#: Rows of a user (of the test tables) from which the rows are kept out of the buckets.
+HOT_USER_ROWS = 70
+
+
+def _stored_by_user(spark, log, name):
+    return user_buckets.store_by_user(log, f"{name}_{uuid.uuid4().hex}", 8, HOT_USER_ROWS)
+
+
+def q_join_labels_bucketed(spark, sf):
+    """The chain of joins on a log stored by user."""
+    stored = _stored_by_user(spark, act(spark, sf), "activity")
+    return round_doubles(user_buckets.by_user(
+        spark, stored, lambda log, _: features._finish(features.joined_parts(log, PLAN, PAGES, "labels"))))
+
+
+def q_user_lifecycle_flags_bucketed(spark, sf):
+    """Flags spread to every row of a log stored by user."""
+    stored = _stored_by_user(spark, rare(spark, sf, ["userId", "ts", "page"]), "rare")
+    return user_buckets.by_user(spark, stored, lambda log, known: explore.with_lifecycle_flags(log, PAGES, known_users=known))
+
+
+def q_last_events_bucketed(spark, sf):
+    """Rows at each user's last (tied) time, of a log stored by user."""
+    stored = _stored_by_user(spark, with_tied_times(act(spark, sf, ["userId", "ts", "level"])), "tied")
+    return user_buckets.by_user(spark, stored, lambda log, known: explore.last_events(log, known_users=known))
+
+
+#: Rule-based prediction over several features, for the importance query.
+IMPORTANCE_RULE = ("CASE WHEN 3 * cnt_cc + 2 * cnt_sd - cnt_su + last_paid - 2 * last_female "
+                   "+ total_length / 200 >= 30 THEN 1.0 ELSE 0.0 END")
+IMPORTANCE_SEED, IMPORTANCE_BUCKETS = 31, 8
+
+
+def q_permutation_importance(spark, sf):
+    return round_doubles(importance.permutation_importance(
+        _ft_written(spark, sf), LABEL, IMPORTANCE_RULE, FEATURES, "userId", IMPORTANCE_SEED, IMPORTANCE_BUCKETS))
+
+
 # --- SQL side (DuckDB) ------------------------------------------------------
 
 ACT_SQL = """act as (
@@ -486,6 +549,27 @@ _CONF = """count(*) filter (where {y} = 1 and {p} = 1) as tp,
 _RATIOS = ["recall", "precision", "accuracy", "f1"]
 
 
+def _importance_sql() -> str:
+    """Accuracy of the rule with each feature taken from the next row of its
+    bucket (the first one's for the last row)."""
+    own = ", ".join(f"'{f}': {f}" for f in FEATURES)
+
+    def accuracy(feature: str | None) -> str:
+        rule = IMPORTANCE_RULE if feature is None else re.sub(rf"\b{feature}\b", f"donor.{feature}", IMPORTANCE_RULE)
+        return f"select {_lit(feature or '')} as feature, avg(case when {LABEL} = {rule} then 1.0 else 0.0 end) as acc from d"
+
+    tried = " union all ".join(accuracy(f) for f in [None, *FEATURES])
+    return _with(ACT_SQL, WIN_SQL, FT_SQL,
+                 f"o as (select *, {_hash('userId', IMPORTANCE_SEED)} as h, {{{own}}} as own from ft)",
+                 f"""d as (select *, coalesce(lead(own) over w, first(own) over w) as donor from o
+                     window w as (partition by h % {IMPORTANCE_BUCKETS} order by h, userId))""",
+                 f"t as ({tried})") + _round(
+        "select t.feature, b.acc as baseline_accuracy, t.acc as permuted_accuracy, b.acc - t.acc as importance, "
+        "row_number() over (order by round(b.acc - t.acc, 9) desc, t.feature) as rank "
+        "from t join t b on b.feature = '' where t.feature <> ''",
+        ["baseline_accuracy", "permuted_accuracy", "importance"])
+
+
 def _sql() -> dict[str, str]:
     a = _with(ACT_SQL)
     an = _with(ACT_SQL, ANON_SQL)
@@ -594,6 +678,15 @@ def _sql() -> dict[str, str]:
             ["total_length", "tenure_days", "avg_session_depth"]),
         "join_labels": FT_ALL + _round("select * from ft", DOUBLE_FEATURES),
         "feature_table": FT_ALL + _round("select * from ft", DOUBLE_FEATURES),
+        "feature_table_from_days": FT_ALL + _round("select * from ft", DOUBLE_FEATURES),
+        "join_labels_bucketed": FT_ALL + _round("select * from ft", DOUBLE_FEATURES),
+        "user_lifecycle_flags_bucketed": sl + (
+            "select s.userId, s.ts, s.page, f.churn, f.upgrade, f.downgrade "
+            "from sl s join uf f on f.userId = s.userId"),
+        "last_events_bucketed": tied + (
+            "select a.userId, a.ts, a.level from tied a "
+            "join (select userId, max(ts) as mt from tied group by 1) m on m.userId = a.userId and a.ts = m.mt"),
+        "permutation_importance": _importance_sql(),
         "split_train": SPLIT_ALL + _round("select * from tr_set", DOUBLE_FEATURES),
         "split_test": SPLIT_ALL + _round("select * from te_set", DOUBLE_FEATURES),
         "split_sizes": SPLIT_ALL + (
@@ -661,6 +754,11 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_last_state": q_join_last_state,
     "join_labels": q_join_labels,
     "feature_table": q_feature_table,
+    "feature_table_from_days": q_feature_table_from_days,
+    "join_labels_bucketed": q_join_labels_bucketed,
+    "user_lifecycle_flags_bucketed": q_user_lifecycle_flags_bucketed,
+    "last_events_bucketed": q_last_events_bucketed,
+    "permutation_importance": q_permutation_importance,
     "split_train": q_split_train,
     "split_test": q_split_test,
     "split_sizes": q_split_sizes,

@@ -17,6 +17,14 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Semi joins of a large log (Spark's 10 GB at least) with an id set too big to
+    # broadcast: a Bloom filter of at most 64 MB goes to the scan.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "20000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "201326592",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
 }
 
 
