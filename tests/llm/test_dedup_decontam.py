@@ -147,12 +147,78 @@ def test_leaks_match_every_window_compared(frame, spark):
 def test_multi_index_finds_all_items_within_the_radius():
     rng = np.random.default_rng(2)
     items = [(i, words(12, 50 + i).encode()) for i in range(60)]
-    index = decontam.ItemIndex(items, 5, 0.8, decontam.RADIUS)
+    index = decontam.ItemIndex(items, 5, 0.8, 18)
     size = index.sizes[5][8]
+    size.probes = [decontam._flips(r) for r in decontam._block_radii(18)]  # look blocks up, although there are few items
     for print_ in [*rng.integers(0, 2**63, 60, dtype=np.uint64), *size.prints]:
         for _ in range(3):
             near = print_
             for b in rng.choice(64, rng.integers(0, 19), replace=False):
                 near ^= np.uint64(1) << np.uint64(b)
-            want = {j for j, p in enumerate(size.prints) if int(near ^ p).bit_count() <= decontam.RADIUS}
+            want = {j for j, p in enumerate(size.prints) if int(near ^ p).bit_count() <= 18}
             assert {j for j, _ in index._near(size, near)} == want
+
+
+def _item_and_window(rng, n, refrain):
+    """An item of n words and a text that holds it with its refrain of one
+    repeated word replaced by another's: similarity close above 0.8."""
+    body = [f"w{rng.randrange(10**6)}" for _ in range(n - refrain)]
+    return (" ".join(body + ["la"] * refrain), " ".join(body + ["na"] * refrain))
+
+
+def test_items_with_refrains_are_found(frame, spark):
+    rng = random.Random(3)
+    items, docs = [], []
+    for i in range(45):
+        n = (45, 85, 135, 235)[i % 4]
+        item, text = _item_and_window(rng, n, int(n * 0.1))
+        items.append((i, item))
+        docs.append((i, words(30, i, "x") + " " + text + " " + words(20, i, "y")))
+    want = _brute_leaks(docs[:12], items[:12])
+    assert len(want) >= 10
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in decontam.find_leaks(frame(docs), bench).collect()}
+    assert {k: v for k, v in got.items() if k[0] < 12} == want
+    assert {d for d, _ in got} >= {d for d, _ in want} and len(got) >= 40
+
+
+def test_repeated_shingles_match_every_window_compared(frame, spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choice("a b c d e".split()) for _ in range(rng.randint(6, 40)))) for i in range(12)]
+    items += [(20, "x y " * 15), (21, "la " * 30), (22, words(20, 3) + " la la la la la")]
+    docs = [(i, " ".join(rng.choice("a b c d e la x y".split()) for _ in range(rng.randint(5, 70)))) for i in range(30)]
+    docs += [(100 + i, t[: len(t) * 9 // 10] + " la la") for i, t in items] + [(200, words(20, 3) + " na na na na na")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in decontam.find_leaks(frame(docs), bench).collect()}
+    assert got == _brute_leaks(docs, items) and got
+
+
+def test_items_without_an_id_or_with_text_ids(frame, spark):
+    text = words(40, 4)
+    docs = [(1, words(5, 1) + " " + text), (2, words(60, 2)), (None, text)]
+    for schema, ids in (("item_id long, text string", [None, 7]), ("item_id string, text string", [None, "it-7"])):
+        bench = spark.createDataFrame([(ids[0], text), (ids[1], words(30, 9)), (ids[0], words(33, 6))], schema)
+        found = decontam.find_leaks(frame(docs), bench).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in found if r["doc_id"]) == [(1, None)] and len(found) == 2
+        assert [r["doc_id"] for r in decontam.drop_leaks(frame(docs), bench).collect()] == [2]
+        assert [r["doc_id"] for r in decontam.drop_leaks(frame(docs), bench, slice_chars=50).collect()] == [2]
+        assert decontam.find_leaks(frame(docs), bench, slice_chars=50).count() == 2
+
+
+def test_colliding_signatures_give_no_far_pairs(spark):
+    whole = (1 << 64) - 1
+    masks = [whole ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a + 1, 64)]
+    salts = simhash.mix(np.arange(1, len(masks) + 1, dtype=np.uint64)).tolist()
+    rng = random.Random(2)
+    prints = []
+    while len(prints) < 8:  # x under mask i and y under mask j have one signature
+        x, i = rng.getrandbits(64), rng.randrange(len(masks))
+        for j in rng.sample(range(len(masks)), 400):
+            y = (x & masks[i]) ^ salts[i] ^ salts[j]
+            if y & masks[j] == y and (x ^ y).bit_count() > 2:
+                prints += [x, y]
+                break
+    near = prints[0] ^ 5
+    signed = [v - (1 << 64) if v >> 63 else v for v in [*prints, near]]
+    got = simhash._crowded_pairs(spark.createDataFrame([(v,) for v in signed], "fp long"), 2).collect()
+    assert {tuple(sorted(r)) for r in got} == {tuple(sorted((signed[0], signed[-1])))}

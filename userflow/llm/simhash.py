@@ -134,7 +134,8 @@ def _crowded_pairs(fps: DataFrame, max_bits: int) -> DataFrame:
     lists = (_signatures(fps, masks).groupBy("sig")
              .agg(F.sort_array(F.collect_list("fp")).alias("m")).where("size(m) > 1"))
     return lists.selectExpr("explode(flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), "
-                            "y -> struct(x as a, y as b))))) as p").select("p.a", "p.b").distinct()
+                            "y -> struct(x as a, y as b))))) as p").select("p.a", "p.b").where(
+        f"bit_count(a ^ b) <= {max_bits}").distinct()  # signatures can collide
 
 
 def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
