@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, mix, pieces, text_bytes, word_hashes
+from userflow.llm.common import arrow_batches, limited_batches, mix, pieces, text_bytes, word_hashes
 from userflow.session import materialize
 
 RUN_TOKENS = 1 << 20
@@ -125,9 +125,10 @@ def _packed(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
 
 def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     """The buckets that sorted keys have, with their range of keys."""
-    cut = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-    for b in np.flatnonzero(np.diff(cut)).tolist():
-        yield b, slice(cut[b], cut[b + 1])
+    of = bucket_of(keys, buckets)
+    first = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+    for start, stop in zip(first, [*first[1:], len(of)]):
+        yield int(of[start]), slice(start, stop)
 
 
 _COUNTED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -390,9 +391,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "score": pa.array(np.add.reduceat(np.log10((two + MU * one) / (before + MU)), at[:-1]))})
 
     written = materialize(rows.mapInArrow(runs, RUN))  # a run keeps its number and texts when a task is repeated
-    arrow_batches(spark, 1)  # a row is a whole run
     asked = written.mapInArrow(probes, PROBE)
     found = (asked.unionByName(segments.select("kind", "bucket", "bits", "keys", "counts"), allowMissingColumns=True)
              .groupBy("kind", "bucket").applyInArrow(look_up, ANSWER))
-    return (found.unionByName(written, allowMissingColumns=True).groupBy("run").applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    scored = found.unionByName(written, allowMissingColumns=True).groupBy("run").applyInArrow(
+        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    with limited_batches(spark, 1):  # a row is a whole run
+        return materialize(scored)
