@@ -31,7 +31,7 @@ from userflow.session import materialize, shared_path
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` (Java and RE2 syntax); ``group``: the group whose length counts,
+    """``pattern`` (Java syntax; without the possessive ``*+`` also RE2); ``group``: the group whose length counts,
     at least ``least`` code points, else the match is dropped."""
 
     name: str
@@ -46,7 +46,13 @@ RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 6, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]+", 24),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1),
+    # A private key whole: its headers, its lines (of base64, 16 characters or more; also with the
+    # separators of quoted strings) and, where there is one, the short last line with the end mark.
+    Rule("pem", r"""-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"""
+                r"""(?:[\x20\x09-\x0D\\"'+]*(?:Proc-Type|DEK-Info|Version|Comment|Hash): [^\x0A\x0D]*)*+"""
+                r"""(?:[\x20\x09-\x0D\\"'+]*[A-Za-z0-9+/=]{16,})*+"""
+                r"""(?:(?:[\x20\x09-\x0D\\"'+]*+[A-Za-z0-9+/=]*+){0,4}-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)?""",
+         1, version=2),
 )
 MASK = "[SECRET]"
 #: Blobs and spans together up to which findings are broadcast (some 25 MB).
@@ -203,7 +209,7 @@ def mask_secrets(docs: DataFrame, ledger_path: str | None = None, id_col: str =
 def oracle_sql(rules: tuple[Rule, ...] = RULES) -> str:
     """DuckDB SQL for the counts and span lists of the documents table."""
     def found(kind: int, r: Rule) -> str:
-        p = "'" + _search_pattern(r).replace("'", "''") + "'"
+        p = "'" + _search_pattern(r).replace("*+", "*").replace("'", "''") + "'"
         return f"""
         SELECT rid, {kind} AS kind, unnest(list_transform(range(1, len(hits) + 1), lambda i:
                  {{'s': CAST(list_sum(list_transform(gaps[:i], lambda g: length(g)))
