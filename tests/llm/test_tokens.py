@@ -95,10 +95,32 @@ def test_repair_round_trip_and_random_access():
         token_files.pack_shard([1], [np.array([60000, 0], np.uint32)], 50257)
 
 
+def test_runs_of_one_id_are_compressed():
+    rng = np.random.default_rng(3)
+    for n in range(1, 40):  # every second place of a run, never over a border
+        seq = rng.integers(0, 2, n).astype(np.uint16)
+        inner = rng.random(n - 1) < 0.8 if n > 1 else np.zeros(0, bool)
+        want, taken = inner.copy(), False
+        for i in range(n - 1):
+            if inner[i] and seq[i] == seq[i + 1]:
+                taken = not taken
+                want[i] = taken
+            else:
+                taken = False
+        assert token_files._second_places(seq, inner).tolist() == want.tolist()
+    docs = [np.array([7] * n + [0], np.uint32) for n in (1, 2, 3, 64, 999, 5000)] + [np.array([7, 7, 9] * 400 + [0], np.uint32)]
+    data = token_files.pack_shard(list(range(len(docs))), docs, 50257)
+    shard = token_files.Shard(data)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(shard.documents(), docs, strict=True))
+    assert len(shard.symbols) < 300  # of some 7,000 ids
+    assert shard.slice(70, 400).tolist() == np.concatenate(docs)[70:470].tolist()
+
+
 def test_token_files_equal_the_library(frame):
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    rows = [(i * 3, t) for i, t in enumerate([None, "", *odd_texts(60, 3), words(2500)])] + [(None, "no id"), (6, "again")]
+    assert tokenizer.encode("end <|endoftext|> start", add_special_tokens=False).ids == [437, 220, 50256, 923]
+    special = ["end <|endoftext|> start", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>", "<|endoftext|> " * 40, "<|endof text|>"]
+    rows = [(1000 + i, t) for i, t in enumerate(special)] + [(i * 3, t) for i, t in enumerate([None, "", *odd_texts(60, 3), words(2500)])] + [(None, "no id"), (6, "again")]
     random.Random(2).shuffle(rows)
     got = token_files.tokenize_to_files(frame(rows), P.path("byte_bpe_50k.json"), shard_ids=500).collect()
     coded = {(i, t): np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], "<u4") for i, t in rows}

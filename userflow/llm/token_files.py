@@ -9,7 +9,9 @@ the end of a document.
 
 One round replaces many pairs at once: the most frequent ones of which no
 symbol is both a left and a right part, so that no two occurrences overlap and
-every count is exact.  Rounds end when a round would save little.
+every count is exact.  A pair of equal symbols counts at every second place of a
+run and shares its symbol with no other pair of the round.  Rounds end when no
+pair occurs often enough to pay for its rule, or all 16-bit symbols are used.
 
 Shard layout (little-endian): magic, version, then int64 counts (documents,
 ids, rules, symbols, first nonterminal), document ids (int64), a null mark for
@@ -58,6 +60,19 @@ _SHARDS_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_docs
                            ("n_tokens", pa.int64()), ("data", pa.binary())])
 
 
+def _second_places(seq: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """``inner`` without the second, fourth, ... place of each run of one symbol:
+    pairs at neighbouring places of a run overlap."""
+    same = np.flatnonzero((seq[1:] == seq[:-1]) & inner)
+    if not len(same):
+        return inner
+    first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+    start = np.repeat(same[first], np.diff(np.append(first, len(same))))
+    out = inner.copy()
+    out[same[(same - start) % 2 == 1]] = False
+    return out
+
+
 def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """The chosen pair codes (sorted), and the places of the frequent ones with
     which to look them up.  ``inner``: whether a place and the next are of one
@@ -65,6 +80,7 @@ def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.
 
     Counts over hashed buckets (upper bounds) narrow the places to few; their
     pairs are counted exactly."""
+    inner = _second_places(seq, inner)
     code = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
     bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)).astype(np.intp) + 1
     bucket *= inner  # 0: no pair
@@ -78,7 +94,7 @@ def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.
     chosen, left, right = [], set(), set()
     for c in pairs[order].tolist():
         a, b = c >> 16, c & 0xFFFF
-        if a != b and a not in right and b not in left:
+        if a not in right and b not in left and (a != b or (a not in left and a not in right)):
             left.add(a)
             right.add(b)
             chosen.append(c)
@@ -229,12 +245,12 @@ _CODERS: dict[str, UnitEncoder] = {}
 
 def worker_tokenizer(name: str, content) -> UnitEncoder:
     """The encoder of this Python worker; ``name`` stands for the broadcast
-    tokenizer file ``content``.  Special strings in a text are ordinary text."""
+    tokenizer file ``content``.  Special strings in a text are what the library
+    makes of them: their own ids."""
     coder = _CODERS.get(name)
     if coder is None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_str(content.value)
-        tokenizer.encode_special_tokens = True
 
         def encode_units(units: list[str]) -> list[bytes]:
             coded = tokenizer.encode_batch_fast([u or "" for u in units], add_special_tokens=False)
