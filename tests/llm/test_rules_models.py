@@ -1,6 +1,7 @@
 """Quality rules, secrets, licenses, language model and toxicity."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -257,6 +258,56 @@ def test_restored_words():
         assert own.text(plain) == plain
 
 
+def _chars(text):
+    counts = np.zeros(toxicity.CLASSES**3, np.int64)
+    c = np.concatenate([[0, 0], toxicity.classes(text), [0]])
+    np.add.at(counts, (c[:-2] * 32 + c[1:-1]) * 32 + c[2:], 1)
+    return toxicity.CharModel(counts)
+
+
+def test_every_disguise_reaches_the_lattice():
+    own = toxicity.Restorer(_chars("the idiot and the ass went to a class in grass with an antidisestablishmentarian idiot ass " * 80))
+    for written, want in (("a s s", "ass"), ("i  d  i  o  t", "idiot"), ("idiot$", "idiots"), ("a$$", "ass"), ("1d10t_x", "idiot_x"),
+                          ("ant1d1sestabl1shmentar1an1d10t", "antidisestablishmentarianidiot"), ("x_1d10t", "x_idiot"),
+                          ("1d10t!", "idiot"), ("i-d i.o_t", "idiot"), ("idiooot_", "idiot_"), ("$! 1d10t", "$! idiot")):
+        assert own.text(written) == want, (written, own.text(written))
+    for plain in ("idiot!", "go!!", "a b", "$5 + 7", "__", "a_b", "x" * 9000 + "7", "a! b"):
+        assert own.text(plain) == plain or plain[0] == "x", plain
+
+
+def test_lattices_decode_to_their_best_path():
+    rng = random.Random(5)
+    own = toxicity.Restorer(_chars("some idiot in the class will go to a trash bin again and again " * 30))
+    rows = own.model.rows
+    for _ in range(300):
+        token = "".join(rng.choice("aidotsh10345$@!|lg") * rng.choice([1, 1, 1, 2, 4]) for _ in range(rng.randint(1, 6)))
+        spaced = rng.random() < 0.3
+        shown = " ".join(token) if spaced else token
+        found = {}
+        for path in itertools.product(*own.lattice(shown, spaced)):
+            word = "".join(w for w, _ in path)
+            score, x, y = -sum(c for _, c in path) - (toxicity.SPACING_COST if spaced else 0.0), 0, 0
+            for c in [*word, None]:
+                z = toxicity.class_of(c) if c else 0
+                score += rows[x][y][z]
+                x, y = y, z
+            found[word] = max(found.get(word, -math.inf), score)
+        got, best, code = own._decode(shown, spaced), max(found.values()), -math.log(36) * len(token)
+        if best < code - 1e-9:
+            assert got == shown
+        elif best > code + 1e-9:  # ties go to any of the best
+            assert math.isclose(found[got], best, rel_tol=1e-9), (shown, got, best)
+
+
+def test_words_of_any_length_and_script_are_evidence():
+    keys = lambda t: set(toxicity.gram_keys(t).tolist())
+    long = "a" * 40 + "b"
+    assert keys(long) & keys("x " + long) == keys(long) and keys(long) - keys("a" * 40 + "c")
+    assert len(keys("aaaaaaaaaaaab") ^ keys("aaaaaaaaaaaac")) == 2  # the whole words
+    assert keys("毒物") <= keys("これは毒物")  # found inside a run without blanks
+    assert not keys("cat") & keys("concat") and toxicity.gram_keys("").size == 0
+
+
 def test_toxicity_learns_words_and_their_disguises(frame, labels):  # noqa: F811
     rng = random.Random(2)
     bad = ["blorgle", "snarf"]

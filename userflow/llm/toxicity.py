@@ -2,14 +2,16 @@
 
 Noisy channel.  Writers hide words by leet characters (``1d10t``), spacing
 (``i d i o t``) and repetition (``idiooot``).  A suspicious token spans a lattice: each
-leet character stands for itself or one of its letters, a run of three or more
-equal letters for one or two, single characters with one separator between
-them for one word.  Viterbi decoding under a character trigram model (counted
+leet character stands for one of its letters (``!`` at the end also for nothing), a
+run of three or more equal letters for one or two, three or more single
+characters with separators between them for one word.  Tokens may be of any
+length and border on ``_``.  Viterbi decoding under a character trigram model (counted
 over all documents) and channel costs gives the likeliest word; against it
 stands the hypothesis that the token is a code, each character equally likely.
 
-Score.  Evidence is a short list of word beginnings (3 to 12 bytes) and whole
-words that toxic texts hold and others do not, learnt from a
+Score.  Evidence is a short list of word beginnings (3 to 12 bytes; characters of
+three bytes and more, which scripts without blanks use, each begin one too) and
+whole words of any length that toxic texts hold and others do not, learnt from a
 bounded sample of labelled rows (``FIT_ROWS``, by the hash of their ids): they
 are picked one after the other by the toxic texts that no earlier pick covers,
 less a penalty for clean texts newly covered, so copies of one text add
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm.common import _BYTE_VALUE, _NOT_ALNUM, arrow_batches, mix
+from userflow.llm.common import _BYTE_VALUE, _NOT_ALNUM, _power_tables, arrow_batches, mix
 from userflow.session import materialize
 
 FIT_ROWS = 20_000
@@ -42,7 +44,6 @@ MIN_COVER, CLEAN_COST = 0.002, 4.0
 #: Beginnings in this share of the toxic texts and in hardly any clean one are
 #: evidence too, whatever else covers those texts.
 COMMON_SHARE, COMMON_CLEAN = 0.05, 0.0005
-MAX_PICKS = 2000
 #: An n-gram must be in this share of the toxic texts to be considered.
 MIN_SHARE = 0.004
 
@@ -53,9 +54,14 @@ LEET_COST, REPEAT_COST, SPACING_COST = 2.0, 1.0, 1.0
 _CODE_CHAR = log(1 / 36)
 _SYMBOLS = "@$!|+"
 _LETTER = "a-zß-öø-ɏ"
-_SPACED = re.compile(rf"(?<![\w{re.escape(_SYMBOLS)}])[{_LETTER}0-9{re.escape(_SYMBOLS)}](?:([ ._\-*])[{_LETTER}0-9{re.escape(_SYMBOLS)}])(?:\1[{_LETTER}0-9{re.escape(_SYMBOLS)}]){{2,}}(?![\w{re.escape(_SYMBOLS)}])")
-_LEETED = re.compile(rf"(?<![\w{re.escape(_SYMBOLS)}])(?=[0-9{re.escape(_SYMBOLS)}]*[{_LETTER}])(?=[{_LETTER}]*[0-9{re.escape(_SYMBOLS)}]+[{_LETTER}]|[{_LETTER}]+[0-9])[{_LETTER}0-9{re.escape(_SYMBOLS)}]{{3,24}}(?![\w{re.escape(_SYMBOLS)}])")
-_REPEATED = re.compile(rf"(?<!\w)[{_LETTER}]*([{_LETTER}])\1\1[{_LETTER}]*(?!\w)")
+_WRITTEN = rf"{_LETTER}0-9{re.escape(_SYMBOLS)}"
+_BEGIN, _END = rf"(?<![^\W_])(?<![{re.escape(_SYMBOLS)}])", rf"(?![^\W_])(?![{re.escape(_SYMBOLS)}])"
+_SEPARATOR = r"[ ._\-*]+"
+_SPACED = re.compile(rf"{_BEGIN}[{_WRITTEN}](?:{_SEPARATOR}[{_WRITTEN}]){{2,}}{_END}")
+_LEETED = re.compile(rf"{_BEGIN}(?=[0-9{re.escape(_SYMBOLS)}]*[{_LETTER}])(?=[{_LETTER}]*[0-9{re.escape(_SYMBOLS)}])[{_WRITTEN}]{{3,}}{_END}")
+_REPEATED = re.compile(rf"(?<![^\W_])[{_LETTER}]*([{_LETTER}])\1\1[{_LETTER}]*(?![^\W_])")
+#: Restored tokens that a worker remembers, of at most so many characters.
+MAX_KNOWN_CHARS = 64
 MAX_RESTORED = 200_000
 
 #: Character classes of the language model: 0 is a gap, 1-26 a-z, the rest shares five.
@@ -96,30 +102,39 @@ class Restorer:
     def text(self, text: str) -> str:
         """The lower-cased text, suspicious tokens replaced by what they stand for."""
         low = text.lower()
-        low = _SPACED.sub(lambda m: self.token(m.group(), m.group(1)), low)
-        low = _LEETED.sub(lambda m: self.token(m.group()), low)
+        low = _SPACED.sub(lambda m: self.token(m.group(), True), low)
+        low = _LEETED.sub(lambda m: m.group() if m.group().rstrip("!").isalpha() else self.token(m.group()), low)
         return _REPEATED.sub(lambda m: self.token(m.group()), low)
 
-    def token(self, token: str, separator: str | None = None) -> str:
+    def token(self, token: str, spaced: bool = False) -> str:
         out = self.known.get(token)
         if out is None:
-            if len(self.known) >= MAX_RESTORED:
-                self.known.clear()
-            out = self.known[token] = self._decode(token, separator)
+            out = self._decode(token, spaced)
+            if len(token) <= MAX_KNOWN_CHARS:
+                if len(self.known) >= MAX_RESTORED:
+                    self.known.clear()
+                self.known[token] = out
         return out
 
-    def _decode(self, token: str, separator: str | None) -> str:
-        chars = token.replace(separator, "") if separator else token
-        runs = [(m.group()[0], len(m.group())) for m in re.finditer(r"(.)\1*", chars, re.S)]
+    @staticmethod
+    def lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
+        """What each run of equal characters may stand for, with its cost."""
+        chars = re.sub(_SEPARATOR, "", token) if spaced else token
+        out = []
+        for m in re.finditer(r"(.)\1*", chars, re.S):
+            char, n = m.group(1), len(m.group())
+            letters = [(char, 0.0)] if char.isalpha() else [(x, LEET_COST) for x in LEET.get(char, "")]
+            copies = (n,) if n < 3 else (1, 2)
+            out.append([(letter * k, cost * min(n, 2) + (REPEAT_COST if k != n else 0.0)) for letter, cost in letters for k in copies])
+        if out and chars[-1] == "!":
+            out[-1].append(("", 0.0))
+        return out
+
+    def _decode(self, token: str, spaced: bool) -> str:
         rows = self.model.rows
         # (class two back, class one back): (log probability, restored)
-        paths = {(0, 0): (-SPACING_COST if separator else 0.0, "")}
-        for char, n in runs:
-            options: list[tuple[str, float]] = []
-            letters = [(char, 0.0)] if char.isalpha() else [(x, LEET_COST) for x in LEET.get(char, "")]
-            for letter, cost in letters:
-                copies = (n,) if n < 3 else (1, 2)
-                options += [(letter * k, cost * min(n, 2) + (REPEAT_COST if k != n else 0.0)) for k in copies]
+        paths = {(0, 0): (-SPACING_COST if spaced else 0.0, "")}
+        for options in self.lattice(token, spaced):
             new: dict = {}
             for (a, b), (p, done) in paths.items():
                 for written, cost in options:
@@ -134,21 +149,33 @@ class Restorer:
             if not paths:  # a character that stands for no letter
                 return token
         best, word = max((p + rows[a][b][0], w) for (a, b), (p, w) in paths.items())
-        return word if best > _CODE_CHAR * len(chars) else token
+        n_chars = len(re.sub(_SEPARATOR, "", token)) if spaced else len(token)
+        return word if best > _CODE_CHAR * n_chars else token
 
 
 _GRAM_R = np.uint64(0x9E3779B97F4A7C15)
 
 
 def gram_keys(text: str) -> np.ndarray:
-    """Hashes of the first 3, 4, ... bytes of every word of a text, and of the
-    whole word, repeats included.  Words are runs of letters, marks and digits."""
+    """Hashes of the first 3, 4, ... bytes of every word of a text, also from each
+    character of three or more bytes in it, and of the whole words, repeats
+    included.  Words are runs of letters, marks and digits."""
     buf = np.frombuffer(text.encode("utf-8", "replace") + b" " * (GRAM_SIZES[-1] + 1), np.uint8)
     gap = _NOT_ALNUM[buf]
     edge = np.flatnonzero(np.diff(gap.view(np.int8), prepend=np.int8(1)))
     start, end = edge[0::2], edge[1::2]
-    h = np.zeros(len(start), np.uint64)
     out = []
+    long = end - start > GRAM_SIZES[-1]
+    if long.any():
+        up, down = _power_tables(len(buf))
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUE[buf] * up, out=total[1:])
+        out.append(mix((total[end[long]] - total[start[long]]) * down[start[long]] + np.uint64(1000)))
+    inner = np.flatnonzero(buf >= 0xE0)
+    if len(inner):
+        inner = inner[~np.isin(inner, start, assume_unique=True)]
+        start, end = np.append(start, inner), np.append(end, end[np.searchsorted(start, inner, "right") - 1])
+    h = np.zeros(len(start), np.uint64)
     for n in range(1, GRAM_SIZES[-1] + 1):
         long_enough = end - start >= n
         start, end, h = start[long_enough], end[long_enough], h[long_enough]
@@ -290,7 +317,7 @@ def _cover(found: list[np.ndarray], toxic: np.ndarray, n_keys: int) -> list[tupl
     least = max(2.0, MIN_COVER * float((toxic == 1).sum()))
     gain = np.array([weight[t].sum() for t in texts])
     picks = []
-    while len(picks) < MAX_PICKS and n_keys:
+    while n_keys:  # each pick covers MIN_COVER anew, so they end
         # Gains only fall as texts are covered... but rise where clean ones are.
         best = int(np.argmax(gain))
         now = float(weight[texts[best]][open_[texts[best]]].sum())
