@@ -8,8 +8,10 @@ cutoff falsely rejects more than ALPHA / rules".  Cutoffs of one rule are
 nested, so they are tested from the loosest on (a fixed sequence, which needs no
 correction within the rule); over rules and strata the level DELTA is divided
 by their number (Bonferroni).  With probability 1 - DELTA, every stratum loses
-at most ALPHA of its good texts to all rules together.  A stratum with too few
-labels to prove a cutoff gets none: its texts only face the base rules.
+at most ALPHA of its good texts to all rules together.  Copies of a text are one
+trial.  The guarantee is about good texts that pass the base rules below; what
+those reject comes on top.  A stratum with too few labels to prove a cutoff gets
+none: its texts only face the base rules.
 
 Base rules: fewer than 50 words, or more than half of the words inside 3-word
 runs that occur twice or more in the text.
@@ -136,8 +138,15 @@ def _verdict(counts: DataFrame, cuts: DataFrame) -> DataFrame:
 
 
 def _good(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled good texts, each once in a stratum: copies of a text are no
+    further trials (texts are told apart by a 64-bit hash, column ``text_id``)."""
     ids = labels.where("quality = 1").select(F.col("doc_id").alias("__good")).distinct()
-    return counts.join(ids, F.col("doc_id") == F.col("__good"), "left_semi")
+    good = counts.join(ids, F.col("doc_id") == F.col("__good"), "left_semi")
+    return good.select("stratum", "text_id", *COUNTS).dropDuplicates(["stratum", "text_id"])
+
+
+def _text_id(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_id")
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -150,20 +159,22 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     is proven and only base rules reject.  An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
-                       F.col(text_col).alias("text"))
+                       F.col(text_col).alias("text"), _text_id(F.col(text_col)))
     counts = materialize(count_columns(rows, F.col("text")).drop("text"))
     cuts = materialize(cutoffs(_good(counts, labels), alpha, delta))
-    return _verdict(counts, cuts)
+    return _verdict(counts.drop("text_id"), cuts)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               stratum_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, all columns unchanged."""
+    """The rows of ``docs`` that no rule rejects, all columns unchanged; nulls,
+    repeated rows and empty tables as in :func:`score` (word-less texts go)."""
     rows = pack(docs).select(
         "_row", F.col(f"_row.{id_col}").alias("doc_id"),
-        F.coalesce(F.col(f"_row.{stratum_col}").cast("string"), F.lit("")).alias("stratum"))
+        F.coalesce(F.col(f"_row.{stratum_col}").cast("string"), F.lit("")).alias("stratum"),
+        _text_id(F.col(f"_row.{text_col}")))
     counts = materialize(count_columns(rows, F.col(f"_row.{text_col}")))
-    cuts = materialize(cutoffs(_good(counts.select("doc_id", "stratum", *COUNTS), labels), alpha, delta))
+    cuts = materialize(cutoffs(_good(counts.select("doc_id", "stratum", "text_id", *COUNTS), labels), alpha, delta))
     return unpack(_verdict(counts, cuts).where("kept"))
 
 
@@ -189,7 +200,7 @@ def oracle_sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
     runs AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM places),
     covered AS (SELECT rid, count(DISTINCT p) AS n_repeat_words
                 FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM runs WHERE c > 1) GROUP BY rid),
-    counts AS (SELECT p.rid, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+    counts AS (SELECT p.rid, doc_id, stratum, t, CAST(len(w) AS BIGINT) AS n_words,
                       CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
                       CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
                       CAST(len(l) AS BIGINT) AS n_lines,
@@ -200,7 +211,8 @@ def oracle_sql(alpha: float = ALPHA, delta: float = DELTA) -> str:
                FROM parts p LEFT JOIN covered c ON c.rid = p.rid),
     signals AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
                        {signals} FROM counts),
-    good AS (SELECT * FROM signals WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+    good AS (SELECT DISTINCT stratum, t, {", ".join(f"s_{r}" for r in RULES)} FROM signals
+             WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
     tests AS (SELECT *, {delta} / ((SELECT count(DISTINCT stratum) FROM good) * {len(RULES)}) AS level FROM ({long})),
     terms AS (SELECT stratum, rule, cutoff, level, n, unnest(range(0, k + 1)) AS i FROM tests WHERE k < {share} * n),
     passed AS (SELECT stratum, rule, cutoff FROM terms GROUP BY stratum, rule, cutoff, level
