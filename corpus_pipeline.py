@@ -5,6 +5,12 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which
 :func:`run` writes as Parquet and reads again for the next stage, so every
 stage works on all that its predecessor kept.  All but the last return the
 columns of ``documents``; the last adds ``n_tokens`` and ``token_ids``.
+
+Null, empty and word-less texts go at the first stage, which asks for 50 words;
+given to a later stage they are kept (near_dedup: one of all word-less ones) and
+have no tokens.  Rows that repeat an id are rows of their own, rows without an
+id stay unless a copy with one does.  Empty tables pass through every stage,
+and other columns keep their names and values.
 """
 
 from __future__ import annotations
