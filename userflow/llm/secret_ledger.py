@@ -185,7 +185,9 @@ def mask_secrets(docs: DataFrame, ledger_path: str | None = None, id_col: str =
     """``docs`` with every secret span replaced by :data:`MASK` in the text, and
     ``length_col`` (if there) set to the new length of changed texts.
 
-    All rows and columns stay; rows without a finding are unchanged.
+    All rows and columns stay; rows without a finding are unchanged, so a null text
+    stays null.  Repeated rows and rows without an id are masked alike; an empty
+    table stays empty.
     """
     spark = docs.sparkSession
     path = ledger_path or shared_path(spark, "ledger")
