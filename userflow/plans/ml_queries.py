@@ -33,7 +33,7 @@ from userflow.plans.registry import (
     plan_days,
 )
 from userflow.plans.transformer import WindowedFeatures
-from userflow.sources.schema import PAGE_CODES
+from userflow.sources.schema import PAGE_CODES, count_column
 from userflow.session import materialize, shared_path
 
 _FITTED: dict = {}
@@ -139,6 +139,42 @@ def q_naive_bayes_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return score_sql.score_with_sql(_fitted(spark, sf, "nb"), test).select("userId", LABEL, "prediction")
 
 
+#: Features of the boosted stump: few distinct values, so every midpoint is a candidate.
+STUMP_FEATURES = [count_column(c) for c in ("NS", "TU", "SU", "SD", "CC")] + ["last_paid", "last_female"]
+
+
+def q_boosted_stump(spark: SparkSession, sf: str) -> DataFrame:
+    """The one split of a boosted ensemble of one tree of depth one, fitted on the
+    rebalanced training rows, with what it predicts on either side (labels as
+    -1 and 1)."""
+    _, _, rebalanced = _sets(spark, sf)
+    model = modeling.build_pipeline(LABEL, "gbt", STUMP_FEATURES, maxIter=1, maxDepth=1, maxBins=256).fit(rebalanced)
+    nodes = {r["node"]: r for r in score_sql.splits(spark, model).collect()}  # three nodes
+    root, left, right = (nodes.get(i) for i in range(3))
+    return round_doubles(spark.createDataFrame(
+        [(root["feature"], root["threshold"], root["gain"], left["prediction"] if left else None, right["prediction"] if right else None)],
+        "feature string, threshold double, gain double, below double, above double"))
+
+
+def _stump_sql() -> str:
+    """Every midpoint of every feature, by the variance it takes away."""
+    order = ", ".join(f"'{f}'" for f in STUMP_FEATURES)
+    return SPLIT_ALL.rstrip() + f""",
+sl as (unpivot (select {LABEL}, {", ".join(f"{f}::double as {f}" for f in STUMP_FEATURES)} from rb_set)
+       on {", ".join(STUMP_FEATURES)} into name feature value v),
+pv as (select feature, v, count(*) as n, sum(2.0 * {LABEL} - 1) as s from sl group by 1, 2),
+cu as (select feature, v, lead(v) over w as v2, sum(n) over w as nl, sum(s) over w as ls,
+              sum(n) over (partition by feature) as nt, sum(s) over (partition by feature) as ts
+       from pv window w as (partition by feature order by v)),
+ga as (select feature, (v + v2) / 2 as threshold, ls / nl as below, (ts - ls) / (nt - nl) as above,
+              (1 - (ts / nt) ** 2) - nl / nt * (1 - (ls / nl) ** 2)
+              - (nt - nl) / nt * (1 - ((ts - ls) / (nt - nl)) ** 2) as gain
+       from cu where v2 is not null)
+""" + round_sql("select feature, threshold, gain, below, above from ga "
+                f"order by round(gain, 12) desc, list_position([{order}], feature), threshold limit 1",
+                ["threshold", "gain", "below", "above"])
+
+
 def _stage() -> WindowedFeatures:
     return WindowedFeatures(
         cutoffMs=PLAN.cutoff_ms, lookBackDays=PLAN.look_back_days, lookAheadDays=PLAN.look_ahead_days,
@@ -188,6 +224,7 @@ def ml_oracle_sql() -> dict[str, str]:
         "naive_bayes_predictions": SPLIT_ALL.rstrip() + ",\n" + doubles + ",\n" + _NB_SCORES + (
             f"\nselect userId, {LABEL}, case when max(case when class = 1 then raw end) > max(case when class = 0 then raw end) "
             "then 1.0::double else 0.0::double end as prediction from nb_raw group by 1, 2"),
+        "boosted_stump": _stump_sql(),
         "saved_scaler_pipeline": SPLIT_ALL + f"select userId, {_TRAIN_SCALED} from ft",
     }
 
@@ -202,4 +239,5 @@ ML_QUERIES = {
     "naive_bayes_parameters": q_naive_bayes_parameters,
     "naive_bayes_predictions": q_naive_bayes_predictions,
     "saved_scaler_pipeline": q_saved_scaler_pipeline,
+    "boosted_stump": q_boosted_stump,
 }

@@ -194,6 +194,23 @@ def score_with_sql(model: PipelineModel, df: DataFrame, prediction: str = "predi
     return df.withColumn(prediction, e(prediction_sql(df.sparkSession, model)))
 
 
+def splits(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(tree, node, feature, threshold, gain, prediction, is_leaf): the nodes of a
+    fitted tree pipeline as rows, thresholds in the features' own units."""
+    features, last = _features(model), model.stages[-1]
+    scaled = _scaling(model, len(features))
+    rows = []
+    for tree, nodes in tree_nodes(spark, last).items():
+        for i, n in nodes.items():
+            leaf = n["leftChild"] < 0
+            f = None if leaf else n["split"]["featureIndex"]
+            limit = None if leaf else raw_threshold(scaled[f], n["split"]["leftCategoriesOrThreshold"][0])
+            rows.append((int(tree), int(i), None if leaf else features[f], limit, None if leaf else float(n["gain"]),
+                         float(n["prediction"]), leaf))
+    return spark.createDataFrame(
+        rows, "tree int, node int, feature string, threshold double, gain double, prediction double, is_leaf boolean")
+
+
 # --- naive Bayes parameters ---------------------------------------------------
 
 def naive_bayes_parameters(spark: SparkSession, model: PipelineModel) -> DataFrame:
