@@ -140,6 +140,18 @@ def test_negatives_match_all_scores(spark, length, spread):
     assert sorted(map(tuple, hard_negatives.mine(df, row_block=40, anchor_block=2).collect())) == want
 
 
+def test_only_the_best_of_each_group_are_kept():
+    rng = np.random.default_rng(6)
+    for by in (1, 2):
+        rows = rng.integers(0, 6, (400, by + 2))
+        got = hard_negatives._keep_best(rows, by, 3)
+        want = []
+        for key in sorted({tuple(r[:by]) for r in rows.tolist()}):
+            want += sorted((r for r in rows.tolist() if tuple(r[:by]) == key), key=lambda r: (-r[-1], r[-2]))[:3]
+        assert got.tolist() == want
+    assert len(hard_negatives._keep_best(np.zeros((0, 3), np.int64), 1, 3)) == 0
+
+
 def test_negatives_of_no_rows_and_restored_setting(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)

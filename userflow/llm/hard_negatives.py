@@ -10,7 +10,7 @@ asks for, so the result never depends on rounding.
 Anchors meet all rows in blocks: rows and anchors are dealt into blocks of
 bounded size by a hash of their id, an equality join on the block's number
 brings each row block to each anchor block, and a task returns the best few of
-its tile for every anchor.  A first pass finds the positives, a second one the
+its tiles for every anchor.  A first pass finds the positives, a second one the
 negatives within a window that each positive's score sets.  No anchor or row
 passes through the driver; it reads three numbers (rows, anchors, largest
 component and length).
@@ -33,6 +33,8 @@ ROW_BLOCK, ANCHOR_BLOCK, ANCHOR_STEP = 16384, 2048, 256
 #: Components multiplied in one exact float32 product; sums stay below this.
 SLICE, EXACT = 1024, 1 << 24
 POSITIVES, NEGATIVES = 5, 3
+#: Candidates that a task holds before it keeps only the best of them.
+HELD_ROWS = 200_000
 #: A negative's score lies within these hundredths of its positive's.
 WINDOW = (50, 95)
 SCALE = 256.0
@@ -118,9 +120,10 @@ def _pack(length: int, scale: float, limit: int):
         ids = rows.column("id").to_numpy().astype(np.int64)
         order = np.argsort(ids, kind="stable")
         labels = rows.column("label").to_numpy().astype(np.int64)
+        vectors = rows.column("vec").combine_chunks()
+        sizes = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         matrix = np.zeros((len(ids), length))
-        for i, v in enumerate(rows.column("vec").to_pylist()):
-            matrix[i, : len(v)] = v
+        matrix[np.arange(length) < sizes[:, None]] = vectors.flatten().to_numpy(zero_copy_only=False)
         matrix = np.floor(matrix * scale)
         extra = rows.column("found").combine_chunks() if "found" in rows.column_names else None
         out = {"block": [], "ids": [], "labels": [], "vectors": []} | ({"found": []} if extra is not None else {})
@@ -201,24 +204,52 @@ def _best_negatives(primes: list[int], length: int, negatives: int, window: tupl
     return tile
 
 
-def _tiles(anchors: DataFrame, rows: DataFrame, n_rows: int, n_anchors: int, length: int, work: Callable, names: list[str]) -> DataFrame:
-    """``work`` on every pair of an anchor block and a row block."""
+def _keep_best(rows: np.ndarray, by: int, n: int) -> np.ndarray:
+    """The ``n`` best rows of each value of the first ``by`` columns: the last column
+    is the score, the one before it the id that decides ties."""
+    order = np.lexsort([rows[:, -2], -rows[:, -1], *(rows[:, c] for c in reversed(range(by)))])
+    rows = rows[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :by] != rows[:-1, :by]).any(1)
+    start = np.flatnonzero(new)
+    rank = np.arange(len(rows)) - np.repeat(start, np.diff(np.append(start, len(rows))))
+    return rows[rank < n]
+
+
+def _tiles(anchors: DataFrame, rows: DataFrame, n_rows: int, n_anchors: int, length: int, work: Callable, names: list[str],
+           by: int, best: int) -> DataFrame:
+    """``work`` on every pair of an anchor block and a row block.  Tiles of one
+    anchor block follow one another; a task keeps only the ``best`` rows of all its
+    tiles for each value of the first ``by`` columns."""
     spark = rows.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out(found: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch({c: pa.array(found[:, i].copy()) for i, c in enumerate(names)})
+
         for batch in batches:
             for t in batch.to_pylist():
                 a_ids, ids = np.frombuffer(t["a_ids"], np.int64), np.frombuffer(t["ids"], np.int64)
-                out = work(a_ids, np.frombuffer(t["a_labels"], np.int64), _matrix(t["a_vectors"], len(a_ids), length),
-                           ids, np.frombuffer(t["labels"], np.int64), _matrix(t["vectors"], len(ids), length), t.get("found"))
-                columns = zip(*out) if out else [[] for _ in names]
-                yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in zip(names, columns)})
+                found = work(a_ids, np.frombuffer(t["a_labels"], np.int64), _matrix(t["a_vectors"], len(a_ids), length),
+                             ids, np.frombuffer(t["labels"], np.int64), _matrix(t["vectors"], len(ids), length), t.get("found"))
+                held.append(np.array(found, np.int64).reshape(-1, len(names)))
+                size += len(found)
+                if size > HELD_ROWS:
+                    held = [_keep_best(np.concatenate(held), by, best)]
+                    size = len(held[0])
+                    if size > HELD_ROWS // 2:  # other anchors have come in between
+                        yield out(held[0])
+                        held, size = [], 0
+        if held:
+            yield out(_keep_best(np.concatenate(held), by, best))
 
     left = anchors.select(F.col("block").alias("a_block"), *[F.col(c).alias(f"a_{c}") for c in ("ids", "labels", "vectors")],
                           *[c for c in ["found"] if c in anchors.columns])
     pairs = n_rows * n_anchors
-    grid = (spark.range(pairs).selectExpr(f"id div {n_anchors} as block", f"id % {n_anchors} as a_block")
-            .repartition(min(pairs, 10 * spark.sparkContext.defaultParallelism)))
+    grid = spark.range(0, pairs, 1, min(pairs, 10 * spark.sparkContext.defaultParallelism)).selectExpr(
+        f"id % {n_rows} as block", f"id div {n_rows} as a_block")
     full = grid.join(rows, "block").join(left, "a_block").drop("block", "a_block")
     with limited_batches(spark, 1):
         return materialize(full.mapInArrow(run, ", ".join(f"{c} long" for c in names)))
@@ -262,13 +293,13 @@ def mine(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", la
 
     blocks = _blocks(table, n_rows, length, scale, row_block)
     first = _tiles(_blocks(anchors, n_anchors, length, scale, anchor_block), blocks, n_rows, n_anchors, length,
-                   _best_positives(primes, length, positives), ["anchor_id", "id", "score"])
+                   _best_positives(primes, length, positives), ["anchor_id", "id", "score"], 1, positives)
     found = _best(first, ["anchor_id"], "score", "id", positives).groupBy("anchor_id").agg(
         F.collect_list(F.struct("id", "score")).alias("found"))
     ready = anchors.join(found, anchors["id"] == found["anchor_id"]).drop("anchor_id")
     second = _tiles(_blocks(ready, n_anchors, length, scale, anchor_block), blocks, n_rows, n_anchors, length,
                     _best_negatives(primes, length, negatives, window),
-                    ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
+                    ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"], 2, negatives)
     return _best(second, ["anchor_id", "positive_id"], "negative_score", "negative_id", negatives).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
