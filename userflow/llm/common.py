@@ -8,6 +8,7 @@ digits and of all other non-punctuation characters.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -71,6 +72,22 @@ def unpack(df: DataFrame) -> DataFrame:
     return df.select("_row.*")
 
 
+_LEAN: list[bool] = []
+
+
+def lean_memory() -> None:
+    """Let this Python worker give large freed arrays back to the system at once.
+    Workers are kept for later tasks, and by default also what they once held."""
+    if _LEAN:
+        return
+    _LEAN.append(True)
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD of the GNU C library
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is the empty text."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, limited_batches, mix, pieces, text_bytes, word_hashes
+from userflow.llm.common import arrow_batches, lean_memory, limited_batches, mix, pieces, text_bytes, word_hashes
 from userflow.session import materialize
 
 RUN_TOKENS = 1 << 20
@@ -171,6 +171,7 @@ def train(docs: DataFrame, buckets: int) -> DataFrame:
     only), its number of distinct n-grams and their total."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for texts, _ in _runs(batches, [], RUN_TOKENS):
             words, at = _tokens_of(texts)
             history = histories(words, at)
@@ -181,6 +182,7 @@ def train(docs: DataFrame, buckets: int) -> DataFrame:
                                     for b, own in by_bucket(keys, buckets)], _COUNTED)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
+        lean_memory()
         kind = key[0].as_py()
         keys = np.concatenate([unpack_keys(x) for x in table.column("keys").to_pylist()])
         n = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()])
@@ -319,6 +321,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     denominator = float(np.log10(n_train + n_distinct + 1.0))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         number = 0
         for texts, (ids, held) in _runs(batches, ["doc_id", "held"], SCORE_TOKENS):
             tokens_, ends = _tokens_of(texts)
@@ -331,6 +334,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield from _packed([(run, docs_.tobytes(), pack_keys(words), *pack_places(places[:-1], n))], _RUN)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             for run, data, keys, often, places in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
                 words, places = unpack_keys(keys), unpack_places(often, places)
@@ -340,6 +344,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def look_up(key: tuple, table: pa.Table) -> pa.Table:
         """The level of each key that a run sent, and the exact count of each word."""
+        lean_memory()
         kind, bucket = key[0].as_py(), key[1].as_py()
         own, words, n = CountFilter(1, {}), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         runs_, sent = [], []
@@ -365,6 +370,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def finish(key: tuple, table: pa.Table) -> pa.Table:
         """The rows of one run, from the answers of all buckets in key order."""
+        lean_memory()
         answers = {UNIGRAM: [], BIGRAM: []}
         for kind, bucket, level, counts, data, keys, often, places in zip(*(table.column(c).to_pylist() for c in (
                 "kind", "bucket", "levels", "counts", "docs", "keys", "often", "places"))):
