@@ -7,8 +7,10 @@ of a piece has one last token, and the transducer reads a piece byte by byte
 with, as its state, the starts a token in progress may have, each with the
 tokens not yet emitted on the way there.  Tokens on which all starts agree are
 emitted; a start dies once no vocabulary entry continues it, so the lookahead
-is bounded by the longest entry.  States and transitions are made when first
-met and dropped together when there are too many.
+is bounded by the longest entry.  A transition on which the token emitted last
+has a say has two branches, chosen by whether the two tokens may be neighbours;
+so states do not multiply with that token.  States and transitions are made when
+first met and dropped together when there are too many, also inside a piece.
 
 Text is cut into pieces by the split pattern; a bounded table keeps their ids.
 """
@@ -48,6 +50,10 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line)}
 
 
+#: In place of the token emitted last, at the start of a piece.
+START = 1 << 20
+
+
 class Transducer:
     """Encodes pieces of bytes by merge ranks."""
 
@@ -62,13 +68,14 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        #: (last emitted token, longest start, ((length of start, pending tokens), ...)) to its number;
-        #: the empty start comes last, and its pending tokens end a piece there.
+        #: (longest start, ((length of start, pending tokens), ...)) to its number; the empty
+        #: start comes last, and its pending tokens end a piece there.
         self._number: dict = {}
         self._state: list = []
-        #: state * 256 + byte to (state, emitted tokens)
-        self._next: dict[int, tuple[int, tuple]] = {}
-        self._add((-1, b"", ((0, ()),)))
+        #: state * 256 + byte to (state, emitted tokens), or to [-1, token, step if the token
+        #: does not fit the last emitted one, step if it does].
+        self._next: dict = {}
+        self._add((b"", ((0, ()),)))
 
     def _add(self, state: tuple) -> int:
         n = self._number.setdefault(state, len(self._state))
@@ -101,18 +108,19 @@ class Transducer:
         return known
 
     def _fits(self, last: int, new: int) -> bool:
-        """Whether ``new`` may follow ``last`` (-1: the start of the piece).
+        """Whether ``new`` may follow ``last`` (START: it begins the piece).
 
         Undo the merges of both, latest first: at each point the two tokens that
         meet at the border must not make one that would have been merged before
         the merge undone last."""
-        if last < 0:
-            return self._whole(new)
         key = last << 20 | new
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) > self.max_states:
                 self._pairs.clear()
+            if last == START:
+                known = self._pairs[key] = self._whole(new)
+                return known
             token, ranks = self.token, self.ranks
             left, right, before, known = last, new, len(ranks), True
             while True:
@@ -138,49 +146,81 @@ class Transducer:
             known = self._self[rank] = self.merge(self.token[rank]) == [rank]
         return known
 
-    def _step(self, number: int, byte: int) -> tuple[int, tuple]:
-        last, longest, starts = self._state[number]
+    def _step(self, number: int, byte: int, fits_last: bool | None = None):
+        """What a byte does in a state: (state, emitted tokens) or, where that turns
+        on the last emitted token and ``fits_last`` is not given, the token it
+        would be followed by."""
+        longest, starts = self._state[number]
         seen = longest + bytes((byte,))
         end = len(seen) - 1
+        ranks, continued = self.ranks, self.continued
         reached, live = None, []
         for length, pending in starts:
             own = seen[end - length :]
             if reached is None:
-                rank = self.ranks.get(own)
-                if rank is not None and self._fits(pending[-1] if pending else last, rank):
-                    reached = (*pending, rank)
-            if own in self.continued:
+                rank = ranks.get(own)
+                if rank is not None:
+                    if not pending and fits_last is None:
+                        return rank
+                    if self._fits(pending[-1], rank) if pending else fits_last:
+                        reached = (*pending, rank)
+            if own in continued:
                 live.append((length + 1, pending))
         live.append((0, reached))
         out: tuple = ()
         if len(live) == 1:
             out, live[0] = reached, (0, ())
         else:
+            first = live[0][1]
             agreed = 0
-            for tokens in zip(*(p for _, p in live)):
-                if tokens.count(tokens[0]) != len(tokens):
+            for i in range(len(first)):
+                token = first[i]
+                if any(len(p) <= i or p[i] != token for _, p in live):
                     break
-                agreed += 1
+                agreed = i + 1
             if agreed:
-                out = reached[:agreed]
+                out = first[:agreed]
                 live = [(length, p[agreed:]) for length, p in live]
         # Starts come longest first.
-        state = (out[-1] if out else last, seen[end + 1 - live[0][0] :], tuple(live))
-        step = self._next[number << 8 | byte] = (self._add(state), out)
+        return self._add((seen[end + 1 - live[0][0] :], tuple(live))), out
+
+    def _grow(self, number: int, byte: int, last: int, step):
+        """The missing step (``step``: the branches known so far); too many states are dropped."""
+        if step is None:
+            step = self._step(number, byte)
+            if isinstance(step, int):
+                step = [-1, step, None, None]
+            self._next[number << 8 | byte] = step
+        if step[0] < 0:
+            branch = 3 if self._fits(last, step[1]) else 2
+            if step[branch] is None:
+                step[branch] = self._step(number, byte, branch == 3)
+            step = step[branch]
+        if len(self._state) > self.max_states or len(self._next) > 4 * self.max_states:
+            state = self._state[step[0]]
+            self._reset()
+            step = (self._add(state), step[1])
         return step
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
-        if len(self._state) > self.max_states:
-            self._reset()
         out: list[int] = []
-        at, find = 0, self._next.get
+        at, last, find, fits = 0, START, self._next.get, self._pairs.get
         for byte in piece:
-            step = find(at << 8 | byte) or self._step(at, byte)
-            at = step[0]
-            if step[1]:
-                out += step[1]
-        out += self._state[at][2][-1][1]
+            step = find(at << 8 | byte)
+            if step is None or step[0] < 0:
+                fit = None if step is None else fits(last << 20 | step[1])
+                known = None if fit is None else step[3 if fit else 2]
+                if known is None:
+                    step = self._grow(at, byte, last, step)
+                    find = self._next.get  # the tables may be new
+                else:
+                    step = known
+            at, emitted = step
+            if emitted:
+                out += emitted
+                last = emitted[-1]
+        out += self._state[at][1][-1][1]
         return out
 
 
@@ -239,11 +279,13 @@ class PieceEncoder:
 class UnitEncoder:
     """Ids of whole texts for a library that encodes strings whole, from the ids
     of units: text between single blanks, where the usual split pattern always
-    starts a new piece.  ``encode_strings(list of str) -> list of bytes``."""
+    starts a new piece.  ``encode_strings(list of str) -> list of bytes``;
+    ``encode_units`` does the same for units that each follow a blank."""
 
-    def __init__(self, encode_strings: Callable[[list[str]], list[bytes]], size: int = MAX_UNITS):
+    def __init__(self, encode_strings: Callable[[list[str]], list[bytes]], size: int = MAX_UNITS,
+                 encode_units: Callable[[list[str]], list[bytes]] | None = None):
         self.encode_strings = encode_strings
-        self.table = IdTable(lambda new: encode_strings([" " + u for u in new]), size)
+        self.table = IdTable(encode_units or (lambda new: encode_strings([" " + u for u in new])), size)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").split(" ") for t in texts]
@@ -393,7 +435,8 @@ def decode(encoded: DataFrame, rank_path: str, ids_col: str = "ids", packed: boo
 
 def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, text): packed ids as :func:`encode` and, in the same pass, the
-    text that :func:`decode` makes of them."""
+    text that :func:`decode` makes of them; nulls, repeated rows and empty tables
+    as there (a null text comes back as the empty one)."""
     arrow_batches(docs.sparkSession, 400)
     both = round_trip_column(docs.sparkSession, F.col(text_col), rank_path, pattern)
     return docs.select(F.col(id_col).alias("doc_id"), both.alias("both")).select("doc_id", "both.ids", "both.text")
@@ -401,7 +444,9 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
 
 def add_ids(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_name: str = "token_ids",
             count_name: str = "n_tokens") -> DataFrame:
-    """``docs`` with its ids and their number; columns of these names are replaced."""
+    """``docs`` with its ids and their number; columns of these names are replaced,
+    all others stay.  A null or empty text has no ids and the number 0; repeated
+    rows each keep theirs; an empty table stays empty."""
     arrow_batches(docs.sparkSession, 400)
     rows = pack(docs).withColumn("_ids", encode_column(docs.sparkSession, F.col(f"_row.{text_col}"), rank_path, pattern))
     kept = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in (ids_name, count_name)]
