@@ -39,6 +39,39 @@ def test_transducer_equals_merges_and_resets():
         assert small.encode(piece) == small.merge(piece)
 
 
+def test_states_are_bounded_inside_a_long_piece(reference):
+    ranks = bpe.parse_ranks(bpe.read_ranks(RANKS))
+    rng = random.Random(7)
+    piece = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60_000))
+    small, most = bpe.Transducer(ranks, max_states=1000), []
+    grow = small._grow
+
+    def watched(*args):
+        step = grow(*args)
+        most.append((len(small._state), len(small._next)))
+        return step
+
+    small._grow = watched
+    assert small.encode(piece.encode()) == reference.encode_ordinary(piece)
+    assert max(n for n, _ in most) <= 1001 and max(n for _, n in most) <= 4001
+    whole = bpe.Transducer(ranks)
+    assert whole.encode(piece.encode()) == small.encode(piece.encode())
+    assert len(whole._state) > 1001
+
+
+def test_random_bytes_equal_merges():
+    ranks = bpe.parse_ranks(bpe.read_ranks(RANKS))
+    rng = random.Random(11)
+    machine = bpe.Transducer(ranks)
+    tokens = sorted(ranks)
+    for _ in range(3000):
+        if rng.random() < 0.5:
+            piece = bytes(rng.choices(range(256), k=rng.randint(1, 12)))
+        else:
+            piece = b"".join(t[: rng.randint(1, len(t))] for t in rng.choices(tokens, k=rng.randint(1, 6)))
+        assert machine.encode(piece) == machine.merge(piece)
+
+
 def test_bpe_equals_tiktoken_and_round_trips(frame, reference):
     texts = [None, "", *odd_texts(120), words(3000), "x" * 5000, " " * 300 + "end", "Žluťoučký kůň\n\n  a  b"]
     df = frame(list(enumerate(texts)))

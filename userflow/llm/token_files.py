@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from userflow.llm.bpe import UnitEncoder
-from userflow.llm.common import arrow_batches
+from userflow.llm.common import arrow_batches, lean_memory
 from userflow.session import materialize, shared_path
 
 END_ID = 0
@@ -49,10 +49,12 @@ MIN_COUNT = 8
 #: A round must shorten the shard by this share, or it is the last.
 MIN_GAIN = 0.01
 MAX_ROUNDS = 24
-PAIRS_PER_ROUND = 2048
+PAIRS_PER_ROUND = 4096
 _BUCKETS = 18
 #: Units of text with their ids in one generation of a worker's table.
-MAX_UNITS = 800_000
+MAX_UNITS = 1_100_000
+#: New units that the library encodes as one string.
+UNITS_AT_ONCE = 2048
 
 _MAGIC = b"RPTF\x01\x00\x00\x00"
 SHARDS = "part int, shard int, n_docs long, n_tokens long, data binary"
@@ -73,38 +75,42 @@ def _second_places(seq: np.ndarray, inner: np.ndarray) -> np.ndarray:
     return out
 
 
-def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """The chosen pair codes (sorted), and the places of the frequent ones with
-    which to look them up.  ``inner``: whether a place and the next are of one
-    document.
+def _bucket_of(code: np.ndarray) -> np.ndarray:
+    return ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)).astype(np.intp) + 1
+
+
+def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chosen pair codes, the places where they occur, and which pair is at
+    each.  ``inner``: whether a place and the next are of one document.
 
     Counts over hashed buckets (upper bounds) narrow the places to few; their
-    pairs are counted exactly."""
+    pairs are counted exactly.  Chosen pairs have buckets of their own, by which
+    their places are found again."""
     inner = _second_places(seq, inner)
     code = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
-    bucket = ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)).astype(np.intp) + 1
+    bucket = _bucket_of(code)
     bucket *= inner  # 0: no pair
     counts = np.bincount(bucket, minlength=(1 << _BUCKETS) + 1)
     counts[0] = 0
     enough = max(MIN_COUNT, int(np.partition(counts, -limit)[-limit]))
     places = np.flatnonzero((counts >= enough)[bucket])
-    pairs, n = np.unique(code[places], return_counts=True)
+    own, own_bucket = code[places], bucket[places]
+    pairs, n = np.unique(own, return_counts=True)
     order = np.argsort(-n, kind="stable")
     order = order[n[order] >= MIN_COUNT][:limit]
     chosen, left, right = [], set(), set()
-    for c in pairs[order].tolist():
+    slot = np.zeros(len(counts), np.int32)
+    for c, k in zip(pairs[order].tolist(), _bucket_of(pairs[order]).tolist()):
         a, b = c >> 16, c & 0xFFFF
-        if a not in right and b not in left and (a != b or (a not in left and a not in right)):
+        if a not in right and b not in left and (a != b or (a not in left and a not in right)) and not slot[k]:
             left.add(a)
             right.add(b)
             chosen.append(c)
-    picked = np.sort(np.array(chosen, np.uint32))
-    if len(picked):
-        at = np.minimum(np.searchsorted(picked, code[places]), len(picked) - 1)
-        places = places[picked[at] == code[places]]
-    else:
-        places = places[:0]
-    return picked, places
+            slot[k] = len(chosen)
+    picked = np.array([0, *chosen], np.uint32)
+    which = slot[own_bucket]
+    hit = np.flatnonzero((which > 0) & (picked[which] == own))
+    return picked[1:], places[hit], which[hit] - 1
 
 
 def compress(ids: np.ndarray, doc_end: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,15 +125,14 @@ def compress(ids: np.ndarray, doc_end: np.ndarray, first: int) -> tuple[np.ndarr
         limit = min(PAIRS_PER_ROUND, MAX_SYMBOL - used)
         if len(seq) < 2 * MIN_COUNT or limit < 1:
             break
-        picked, places = _frequent_pairs(seq, ~last[:-1], limit)
+        picked, places, which = _frequent_pairs(seq, ~last[:-1], limit)
         if not len(picked) or len(places) < MIN_GAIN * len(seq):
             break
         parts = np.stack([picked >> np.uint32(16), picked & np.uint32(0xFFFF)], axis=1).astype(np.int64)
         known = np.concatenate([np.ones(first, np.uint32), lengths])
         rules.append(parts.astype(np.uint16))
         lengths = np.concatenate([lengths, known[parts].sum(1, dtype=np.uint32)])
-        code = seq[places].astype(np.uint32) << np.uint32(16) | seq[places + 1]
-        seq[places] = (used + np.searchsorted(picked, code)).astype(np.uint16)
+        seq[places] = (used + which).astype(np.uint16)
         last[places] = last[places + 1]
         keep = np.ones(len(seq), bool)
         keep[places + 1] = False
@@ -252,12 +257,30 @@ def worker_tokenizer(name: str, content) -> UnitEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_str(content.value)
 
-        def encode_units(units: list[str]) -> list[bytes]:
-            coded = tokenizer.encode_batch_fast([u or "" for u in units], add_special_tokens=False)
+        # Whether an id's bytes begin with a blank.
+        blank = np.zeros(tokenizer.get_vocab_size(), bool)
+        blank[[i for t, i in tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
+
+        def encode_strings(strings: list[str]) -> list[bytes]:
+            coded = tokenizer.encode_batch_fast([s or "" for s in strings], add_special_tokens=False)
             return [np.array(c.ids, np.uint32).tobytes() for c in coded]
 
+        def encode_units(units: list[str]) -> list[bytes]:
+            """Many units in one string: each begins at an id with a blank."""
+            out = []
+            for i in range(0, len(units), UNITS_AT_ONCE):
+                some = units[i : i + UNITS_AT_ONCE]
+                ids = np.frombuffer(encode_strings([" " + " ".join(some)])[0], np.uint32)
+                cuts = np.append(np.flatnonzero(blank[ids]), len(ids)).tolist()
+                if len(cuts) == len(some) + 1:
+                    data = ids.tobytes()
+                    out += [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
+                else:  # another vocabulary may hold blanks elsewhere
+                    out += encode_strings([" " + u for u in some])
+            return out
+
         _CODERS.clear()
-        coder = _CODERS[name] = UnitEncoder(encode_units, MAX_UNITS)
+        coder = _CODERS[name] = UnitEncoder(encode_strings, MAX_UNITS, encode_units)
     return coder
 
 
@@ -280,6 +303,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     end = np.array([end_id], np.uint32)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         coder = worker_tokenizer(name, content)
         part, shard, held_ids, held, size = TaskContext.get().partitionId(), 0, [], [], 0
 
