@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -28,13 +29,13 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, pack
+from userflow.llm.common import arrow_batches, lean_memory, pack
 
 #: States, and strings with their ids in one generation, that a worker keeps.
-MAX_STATES = 300_000
+MAX_STATES = 150_000
 MAX_UNITS = 300_000
 MAX_UNIT_CHARS = 64
-_TEXTS_AT_ONCE = 200
+_TEXTS_AT_ONCE = 1000
 #: Ids decoded at a time.
 DECODE_IDS = 1 << 16
 
@@ -235,34 +236,30 @@ class IdTable:
         self.old: dict[str, bytes] = {}
 
     def joined(self, lists: list[list[str]]) -> Iterator[bytes]:
-        """For each list the ids of its strings, one after the other."""
+        """For each list the ids of its strings, one after the other.  The strings
+        of some lists go through a small table of their own: it stays in the
+        processor's cache, which the large one does not."""
         for first in range(0, len(lists), _TEXTS_AT_ONCE):
             some = lists[first : first + _TEXTS_AT_ONCE]
-            missing = set().union(*some).difference(self.young)
-            fresh = {u: self.old[u] for u in missing if u in self.old}
-            new = [u for u in missing if u not in fresh]
-            fresh.update(zip(new, self.encode_new(new)))
-            short = {u: v for u, v in fresh.items() if len(u) <= MAX_UNIT_CHARS}
-            if len(self.young) + len(short) > self.size:
-                self.old, self.young = self.young, {}
-                # What these texts need beside the fresh strings is in the old generation now.
-                fresh.update((u, self.old[u]) for strings in some for u in strings if u in self.old)
-            self.young.update(short)
-            fresh = {u: v for u, v in fresh.items() if u not in self.young}
-            ids = self.young if not fresh else _Either(self.young, fresh)
+            here = dict.fromkeys(set().union(*some))
+            young, old, add, new = self.young, self.old, {}, []
+            for u in here:
+                ids = young.get(u)
+                if ids is None:
+                    ids = old.get(u)
+                    if ids is None:
+                        new.append(u)
+                        continue
+                    add[u] = ids
+                here[u] = ids
+            fresh = dict(zip(new, self.encode_new(new)))
+            here.update(fresh)
+            add.update((u, ids) for u, ids in fresh.items() if len(u) <= MAX_UNIT_CHARS)
+            if len(young) + len(add) > self.size:
+                self.old, self.young = young, {}
+            self.young.update(add)
             for strings in some:
-                yield b"".join([ids[u] for u in strings])
-
-
-class _Either(dict):
-    """A table beside which a few strings are looked up."""
-
-    def __init__(self, table: dict, rest: dict):
-        super().__init__(rest)
-        self.table = table
-
-    def __getitem__(self, u: str) -> bytes:
-        return self.table[u] if u in self.table else super().__getitem__(u)
+                yield b"".join(map(here.__getitem__, strings))
 
 
 class PieceEncoder:
@@ -276,6 +273,10 @@ class PieceEncoder:
         return list(self.table.joined([self.split(t) if t else [] for t in texts]))
 
 
+#: A blank before white space or the end.
+_BLANKS = re.compile(r" (?:\s|\Z)").search
+
+
 class UnitEncoder:
     """Ids of whole texts for a library that encodes strings whole, from the ids
     of units: text between single blanks, where the usual split pattern always
@@ -290,7 +291,7 @@ class UnitEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [(t or "").split(" ") for t in texts]
         # Runs of blanks are pieces of their own: such a text is encoded whole.
-        plain = [not any(not u or u[0].isspace() for u in units[1:]) for units in cut]
+        plain = [not _BLANKS(t or "") for t in texts]
         heads = self.encode_strings([units[0] if p else t for t, units, p in zip(texts, cut, plain)])
         rest = self.table.joined([units[1:] if p else [] for units, p in zip(cut, plain)])
         return [head + tail for head, tail in zip(heads, rest)]
@@ -367,6 +368,7 @@ def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: st
 
     @F.arrow_udf("binary" if packed else "array<int>")
     def bpe_ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lean_memory()
         coder = worker_coder(name, content, pattern)
         for batch in texts:
             ids = coder.encode(batch.to_pylist())
@@ -404,6 +406,7 @@ def round_trip_column(spark: SparkSession, text: Column, rank_path: str, pattern
 
     @F.arrow_udf("struct<ids: binary, text: string>")
     def bpe_both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lean_memory()
         coder = worker_coder(name, content, pattern)
         table = _token_table(coder.machine.ranks)
         for batch in texts:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from userflow.llm.common import arrow_batches, pack, pieces, shingle_hashes, text_bytes, unpack, word_hashes
+from userflow.llm.common import arrow_batches, lean_memory, pack, pieces, shingle_hashes, text_bytes, unpack, word_hashes
 from userflow.session import materialize
 
 SHINGLE_WORDS = 5
@@ -266,6 +266,7 @@ def _hits_udf(shared, id_type: str, k: int, similarity: float, radius: int | Non
 
     @F.arrow_udf(kind)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lean_memory()
         own = _worker_index(name, shared, k, similarity, radius)
         for batch in batches:
             out = []

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, mix, pack, text_bytes, unpack
+from userflow.llm.common import arrow_batches, lean_memory, mix, pack, text_bytes, unpack
 from userflow.llm.components import connected_components
 from userflow.session import materialize
 
@@ -57,6 +57,7 @@ def fingerprint(text: bytes | None, k: int = SHINGLE_WORDS) -> int:
 def _fingerprint_udf(k: int):
     @F.arrow_udf("long")
     def simhash(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lean_memory()
         for batch in texts:
             prints = np.fromiter((fingerprint(t, k) for t in text_bytes(batch)), np.uint64, len(batch))
             yield pa.array(prints.view(np.int64))
@@ -89,6 +90,7 @@ def _signatures(fps: DataFrame, masks: list[int]) -> DataFrame:
     salt = mix(np.arange(1, len(masks) + 1, dtype=np.uint64))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_memory()
         for batch in batches:
             fp = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
             step = max(1, (1 << 18) // len(table))
