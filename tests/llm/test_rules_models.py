@@ -308,6 +308,21 @@ def test_words_of_any_length_and_script_are_evidence():
     assert not keys("cat") & keys("concat") and toxicity.gram_keys("").size == 0
 
 
+def test_evidence_of_many_texts_is_that_of_each(monkeypatch):
+    rng = random.Random(8)
+    texts = ["", " ", "bad", "x" * 900 + " bad", "毒物 in これは毒物", "\ud800 bad", "b" * 13 + "ad bad",
+             *[" ".join(rng.choices(["bad", "good", "badly", "b" * 20, "éb", "毒"], k=rng.randrange(40))) for _ in range(60)]]
+    keys = np.unique(np.concatenate([toxicity.gram_keys(t) for t in ("bad", "b" * 20, "毒物")]))
+    model = toxicity.ToxicModel(None, keys, np.linspace(0.1, 2.0, len(keys)), (0.0, 1.0, 1.0))
+    weight = dict(zip(keys.tolist(), model.weights.tolist()))
+    found = [[weight[k] for k in toxicity.gram_keys(t).tolist() if k in weight] for t in texts]
+    want = [[1.0, max(f, default=0.0), np.log1p(len(f))] for f in found]
+    for size in (1, 200, 1 << 18):
+        monkeypatch.setattr(toxicity, "_GRAM_BYTES", size)
+        assert model.evidence(texts).tolist() == want
+    assert model.evidence([]).shape == (0, 3)
+
+
 def test_toxicity_learns_words_and_their_disguises(frame, labels):  # noqa: F811
     rng = random.Random(2)
     bad = ["blorgle", "snarf"]

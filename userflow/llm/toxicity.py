@@ -156,21 +156,26 @@ class Restorer:
 _GRAM_R = np.uint64(0x9E3779B97F4A7C15)
 
 
-def gram_keys(text: str) -> np.ndarray:
-    """Hashes of the first 3, 4, ... bytes of every word of a text, also from each
-    character of three or more bytes in it, and of the whole words, repeats
-    included.  Words are runs of letters, marks and digits."""
-    buf = np.frombuffer(text.encode("utf-8", "replace") + b" " * (GRAM_SIZES[-1] + 1), np.uint8)
+#: Bytes of text whose n-grams are hashed at once (a longer single text is one piece).
+_GRAM_BYTES = 1 << 18
+_PAD = b" " * (GRAM_SIZES[-1] + 1)
+
+
+def _grams(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the first 3, 4, ... bytes of every word, also from each character
+    of three or more bytes in it, and of the whole words, repeats included, with
+    the places where they begin.  Words are runs of letters, marks and digits;
+    ``data`` ends with ``_PAD``."""
+    buf = np.frombuffer(data, np.uint8)
     gap = _NOT_ALNUM[buf]
     edge = np.flatnonzero(np.diff(gap.view(np.int8), prepend=np.int8(1)))
     start, end = edge[0::2], edge[1::2]
-    out = []
     long = end - start > GRAM_SIZES[-1]
     if long.any():
         up, down = _power_tables(len(buf))
         total = np.zeros(len(buf) + 1, np.uint64)
         np.cumsum(_BYTE_VALUE[buf] * up, out=total[1:])
-        out.append(mix((total[end[long]] - total[start[long]]) * down[start[long]] + np.uint64(1000)))
+        yield mix((total[end[long]] - total[start[long]]) * down[start[long]] + np.uint64(1000)), start[long]
     inner = np.flatnonzero(buf >= 0xE0)
     if len(inner):
         inner = inner[~np.isin(inner, start, assume_unique=True)]
@@ -181,10 +186,14 @@ def gram_keys(text: str) -> np.ndarray:
         start, end, h = start[long_enough], end[long_enough], h[long_enough]
         h = h * _GRAM_R + _BYTE_VALUE[buf[start + n - 1]]
         if n in GRAM_SIZES:
-            out.append(mix(h + np.uint64(n)))
-            whole = h[end - start == n]
-            out.append(mix(whole + np.uint64(1000 + n)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            yield mix(h + np.uint64(n)), start
+            whole = end - start == n
+            yield mix(h[whole] + np.uint64(1000 + n)), start[whole]
+
+
+def gram_keys(text: str) -> np.ndarray:
+    """The hashes of :func:`_grams` of one text."""
+    return np.concatenate([keys for keys, _ in _grams(text.encode("utf-8", "replace") + _PAD)])
 
 
 @dataclass
@@ -198,15 +207,29 @@ class ToxicModel:
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
-    def evidence(self, restored: str) -> np.ndarray:
-        """1, the largest weight found, log(1 + picks found), repeats included."""
-        found = self.weights[:0]
-        if len(self.keys):
-            keys = gram_keys(restored)
-            keys = keys[self.bitmap[(keys >> np.uint64(44)).astype(np.int64)]]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            found = self.weights[at[self.keys[at] == keys]]
-        return np.array([1.0, found.max(initial=0.0), np.log1p(len(found))])
+    def evidence(self, restored: list[str]) -> np.ndarray:
+        """Per text 1, the largest weight found, log(1 + picks found), repeats included."""
+        out = np.zeros((len(restored), 3))
+        out[:, 0] = 1.0
+        if not len(self.keys):
+            return out
+        coded = [t.encode("utf-8", "replace") + _PAD for t in restored]
+        ends = np.cumsum([len(c) for c in coded])
+        first = 0
+        while first < len(coded):  # some texts at a time, each whole
+            before = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + _GRAM_BYTES, "right")))
+            for keys, start in _grams(b"".join(coded[first:last])):
+                near = np.flatnonzero(self.bitmap[(keys >> np.uint64(44)).astype(np.int64)])
+                keys = keys[near]
+                at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+                hit = self.keys[at] == keys
+                text = np.searchsorted(ends, before + start[near[hit]], "right")
+                np.maximum.at(out[:, 1], text, self.weights[at[hit]])
+                np.add.at(out[:, 2], text, 1.0)
+            first = last
+        out[:, 2] = np.log1p(out[:, 2])
+        return out
 
     def score(self, evidence: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(evidence @ np.array(self.curve), -30, 30))))
@@ -395,7 +418,7 @@ def _evidence_of(sample: DataFrame, model: ToxicModel) -> tuple[np.ndarray, np.n
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            found = np.array([own.evidence(t) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
+            found = own.evidence(batch.column("text").to_pylist())
             yield pa.record_batch({"toxic": batch.column("toxic"), "a": pa.array(found[:, 1]), "b": pa.array(found[:, 2])})
 
     # One row for each sampled text.
@@ -412,7 +435,8 @@ def score_column(model: ToxicModel, text: Column, spark) -> Column:
         own = shared.value
         restorer = Restorer(own.chars)
         for batch in batches:
-            yield pa.array([own.score(own.evidence(restorer.text(t or ""))) for t in batch.to_pylist()], pa.float64())
+            restored = [restorer.text(t or "") for t in batch.to_pylist()]
+            yield pa.array([own.score(e) for e in own.evidence(restored)], pa.float64())
 
     return toxic.asNondeterministic()(text)
 
