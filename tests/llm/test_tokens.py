@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -88,6 +90,21 @@ def test_bpe_equals_tiktoken_and_round_trips(frame, reference):
     assert bpe.encode(frame([]), RANKS, P.PATTERN).count() == 0
 
 
+def test_both_engines_cut_texts_alike():
+    want, got = regex.compile(P.PATTERN).findall, bpe.splitter(P.PATTERN)
+    plane = re.compile(bpe.plane_pattern(P.PATTERN)).findall
+    rng = random.Random(12)
+    likely = " \t\n\x1c\x1f\x85\xa0\u2003\u3000'strem9٣½Ⅷé日\u0301_-.😀𝒳"
+    for t in [*odd_texts(200, 3), *("".join(rng.choice(likely) if rng.random() < 0.8 else chr(rng.randrange(0xD800)) for _ in range(rng.randrange(30)))
+                                   for _ in range(5000))]:
+        assert got(t or "") == want(t or "")
+        if not re.search("[\U00010000-\U0010ffff]", t or ""):
+            assert plane(t or "") == want(t or "")
+    every = "".join(chr(c) + "a" for c in range(1 << 16) if not 0xD800 <= c < 0xE000)
+    assert plane(every) == want(every)
+    assert bpe.plane_pattern(r"\w+|(?i:x)|\d{2}") is None and bpe.splitter(r"\d{2}")("12345") == ["12", "34"]
+
+
 def test_id_table_generations_keep_results_right(reference):
     machine = bpe.Transducer(bpe.parse_ranks(bpe.read_ranks(RANKS)))
     texts = [words(40, i % 7) for i in range(600)] + odd_texts(300, 8) + [None, ""]

@@ -262,11 +262,46 @@ class IdTable:
                 yield b"".join(map(here.__getitem__, strings))
 
 
+_PLANE = "".join(map(chr, range(1 << 16)))
+_BEYOND = re.compile("[\U00010000-\U0010ffff]").search
+#: What a split pattern may consist of to mean the same to both engines.
+_PART = re.compile(r"\\[sS]|\\p\{[LN]\}|\[\^?|\]|\(\?[!:]|[ '|?+()A-Za-z0-9]")
+
+
+def plane_pattern(pattern: str) -> str | None:
+    """The split pattern for the standard library's engine, which is faster: classes
+    of characters are spelt out as ranges of the first 65,536 code points.  None
+    if the pattern has other parts than those of :data:`_PART`."""
+    parts, out, inside = _PART.findall(pattern), [], False
+    if "".join(parts) != pattern or "[]" in pattern or "[^]" in pattern:
+        return None
+    for part in parts:
+        if part[0] == "[":
+            inside = True
+        elif part == "]":
+            inside = False
+        elif part[0] == "\\":
+            runs = [m.span() for m in regex.finditer(f"{part}+", _PLANE)]
+            ranges = "".join(f"\\u{first:04x}-\\u{end - 1:04x}" for first, end in runs)
+            part = ranges if inside else f"[{ranges}]"
+        out.append(part)
+    return "".join(out)
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of a pattern in a text."""
+    whole, plane = regex.compile(pattern).findall, plane_pattern(pattern)
+    if plane is None:
+        return whole
+    fast = re.compile(plane).findall
+    return lambda text: fast(text) if text.isascii() or not _BEYOND(text) else whole(text)
+
+
 class PieceEncoder:
     """Ids of whole texts, cut into pieces by the split pattern."""
 
     def __init__(self, machine: Transducer, pattern: str, size: int = MAX_UNITS):
-        self.machine, self.split = machine, regex.compile(pattern).findall
+        self.machine, self.split = machine, splitter(pattern)
         self.table = IdTable(lambda new: [array("I", machine.encode(p.encode())).tobytes() for p in new], size)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
