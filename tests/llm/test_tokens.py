@@ -1,9 +1,13 @@
 """Token files, BPE and archives: exact round trips and public libraries."""
 
+import base64
+import gc
 import hashlib
 import random
 import re
+import weakref
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
@@ -12,7 +16,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from userflow.llm import bpe, token_files, warc
+from userflow.llm import bpe, common, token_files, warc
 
 from llm_fixtures import frame, words  # noqa: F401
 
@@ -210,3 +214,16 @@ def test_warc_records_and_revisits(spark, tmp_path):
     broken = warc.read_table(table.where("NOT (chunk_no = 5)"))
     assert sum(not r["whole"] for r in broken.collect()) == 1  # page 1 lacks a chunk; page 8 is a revisit
     assert warc.archive_pages(df.limit(0)).count() == 0
+
+
+def test_worker_holds_one_large_table(monkeypatch):
+    """The encoder stays for later tasks and goes when another operator starts."""
+    monkeypatch.setattr(common, "_LEAN", [True])
+    ranks = SimpleNamespace(value=b"".join(base64.b64encode(bytes([i])) + b" %d\n" % i for i in range(256)))
+    coder = bpe.worker_coder("bytes", ranks, P.PATTERN)
+    assert bpe.worker_coder("bytes", ranks, P.PATTERN) is coder
+    held = weakref.ref(coder)
+    del coder
+    common.lean_memory()
+    gc.collect()
+    assert held() is None

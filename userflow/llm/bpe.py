@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from userflow.llm.common import arrow_batches, lean_memory, pack
+from userflow.llm.common import arrow_batches, lean_memory, pack, worker_table
 
 #: States, and strings with their ids in one generation, that a worker keeps.
 MAX_STATES = 150_000
@@ -382,17 +382,12 @@ def _lists(batch: pa.Array) -> Iterator[np.ndarray]:
     return (flat[end - n : end] for n, end in zip(lengths, ends))
 
 
-_CODERS: dict[tuple[str, str], PieceEncoder] = {}
-
-
 def worker_coder(name: str, content, pattern: str) -> PieceEncoder:
     """The encoder of this Python worker, kept for its later tasks.  ``name``
     stands for the broadcast ``content``."""
-    coder = _CODERS.get((name, pattern))
-    if coder is None:
-        _CODERS.clear()
-        coder = _CODERS[name, pattern] = PieceEncoder(Transducer(parse_ranks(content.value)), pattern)
-    return coder
+    key = ("bpe", name, pattern)
+    lean_memory(keep=key)
+    return worker_table(key, lambda: PieceEncoder(Transducer(parse_ranks(content.value)), pattern))
 
 
 def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: str, packed: bool = False) -> Column:
@@ -403,7 +398,6 @@ def encode_column(spark: SparkSession, text: Column, rank_path: str, pattern: st
 
     @F.arrow_udf("binary" if packed else "array<int>")
     def bpe_ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lean_memory()
         coder = worker_coder(name, content, pattern)
         for batch in texts:
             ids = coder.encode(batch.to_pylist())
@@ -441,7 +435,6 @@ def round_trip_column(spark: SparkSession, text: Column, rank_path: str, pattern
 
     @F.arrow_udf("struct<ids: binary, text: string>")
     def bpe_both(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lean_memory()
         coder = worker_coder(name, content, pattern)
         table = _token_table(coder.machine.ranks)
         for batch in texts:

@@ -9,7 +9,7 @@ digits and of all other non-punctuation characters.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -73,11 +73,35 @@ def unpack(df: DataFrame) -> DataFrame:
 
 
 _LEAN: list[bool] = []
+_TABLES: dict = {}
 
 
-def lean_memory() -> None:
-    """Let this Python worker give large freed arrays back to the system at once.
+def worker_table(key: Hashable, build: Callable[[], object]):
+    """The large table ``key`` of this Python worker, built once and kept for its
+    later tasks.  A worker serves the stages of all operators, so it holds one
+    table at a time."""
+    if key not in _TABLES:
+        _drop_tables()
+        _TABLES[key] = build()
+    return _TABLES[key]
+
+
+def _drop_tables() -> None:
+    if not _TABLES:
+        return
+    _TABLES.clear()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean_memory(keep: Hashable = None) -> None:
+    """Let this Python worker give large freed arrays back to the system at once,
+    and the table that another operator left in it (all but ``keep``).
     Workers are kept for later tasks, and by default also what they once held."""
+    if keep not in _TABLES:
+        _drop_tables()
     if _LEAN:
         return
     _LEAN.append(True)

@@ -40,7 +40,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from userflow.llm.common import arrow_batches, lean_memory, pack, pieces, shingle_hashes, text_bytes, unpack, word_hashes
+from userflow.llm.common import (arrow_batches, lean_memory, pack, pieces, shingle_hashes, text_bytes, unpack,
+                                  word_hashes, worker_table)
 from userflow.session import materialize
 
 SHINGLE_WORDS = 5
@@ -249,25 +250,14 @@ def _id_type(df: DataFrame, column: str) -> str:
     return "long" if isinstance(df.schema[column].dataType, T.IntegralType) else "string"
 
 
-_INDEX: dict[str, ItemIndex] = {}
-
-
-def _worker_index(name: str, items, *settings) -> ItemIndex:
-    """The index of this Python worker for a broadcast slice, built once."""
-    if name not in _INDEX:
-        _INDEX.clear()
-        _INDEX[name] = ItemIndex(items.value, *settings)
-    return _INDEX[name]
-
-
 def _hits_udf(shared, id_type: str, k: int, similarity: float, radius: int | None, prefilter: bool):
     name = uuid.uuid4().hex
     kind, arrow = _hit_type(id_type)
 
     @F.arrow_udf(kind)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lean_memory()
-        own = _worker_index(name, shared, k, similarity, radius)
+        lean_memory(keep=name)
+        own = worker_table(name, lambda: ItemIndex(shared.value, k, similarity, radius))
         for batch in batches:
             out = []
             for _, some in pieces(text_bytes(batch)):
