@@ -119,6 +119,38 @@ def test_id_table_generations_keep_results_right(reference):
     assert [np.frombuffer(x, np.uint32).tolist() for x in whole.encode(texts)] == want
 
 
+def test_units_are_cut_where_the_library_starts_pieces_and_looked_up_once(reference):
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        coder = token_files.worker_tokenizer("units-test", SimpleNamespace(value=f.read()))
+    rng = random.Random(21)
+    likely = [" ", " ", "\n", "\n\n", "\t", "\x85", "\x1c", "\u3000", ",", ".", "!?", "'s", "'", "<|endoftext|>", "7", "_",
+              "stem", "Oñate", "ÿ", "×", "ª", "ǅ", "日", "e\u0301", "😀"]
+    texts = ["".join(rng.choices(likely, k=rng.randint(0, 12))) for _ in range(6000)] + odd_texts(2000, 5) + [None, ""]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    seen, encode = [], coder.encode_strings
+    coder.encode_strings = lambda units: (seen.extend(units), encode(units))[1]
+    try:
+        for at in range(0, len(texts), 1500):
+            got = coder.encode(texts[at : at + 1500])
+            assert [np.frombuffer(x, np.uint32).tolist() for x in got] == want[at : at + 1500]
+        before = len(seen)
+        assert coder.encode(["stem, stem.\nstem stem! Oñate"] * 3) == coder.encode(["stem, stem.\nstem stem! Oñate"] * 3)
+        assert set(seen[before:]) <= {"stem", ",", " stem", ".", "\n", "!", " Oñate"}  # a word is met once, whatever mark follows
+    finally:
+        token_files._CODERS.clear()
+
+
+def test_unit_table_keeps_what_was_used_last():
+    table, asked = bpe.UnitTable(100), []
+    coder = bpe.UnitEncoder(lambda units: (asked.extend(units), [np.array([len(u), 7], np.uint32).tobytes() for u in units])[1])
+    coder.table = table
+    for i in range(200):
+        coder.encode([" often " + f"new{i} long" + "x" * 80])
+    assert asked.count(" often") == 1 and len(table.n) <= 100 and len(table.ids) == table.n.sum() == 2 * len(table.units)
+    assert not any(len(u) > bpe.MAX_UNIT_CHARS for u in table.units.to_pylist())
+
+
 def test_utf8_stream_over_every_cut():
     text = "aé日😀z" * 3
     data = text.encode()

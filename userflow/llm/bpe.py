@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -310,26 +311,120 @@ class PieceEncoder:
 
 #: A blank before white space or the end.
 _BLANKS = re.compile(r" (?:\s|\Z)").search
+#: Marks that start a new piece after a letter; a single line end is a piece by itself.
+MARKS = ",.;:!?\n"
+#: Units whose ids are put together at once.
+_UNITS_AT_ONCE = 1 << 18
+
+
+_VISIBLE = np.array([False, True, True, True, False, False])
+
+
+def _cut_table(marks: str) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each byte (1 - 3: ASCII other than white space), and whether a text
+    is cut between two classes (8 * first + second)."""
+    kind = np.zeros(256, np.uint8)
+    kind[33:127] = 1
+    kind[[*range(65, 91), *range(97, 123)]] = 2
+    kind[list(marks.replace("\n", "").encode())] = 3
+    kind[32] = 5
+    if "\n" in marks:
+        kind[10] = 4
+    cut = np.zeros((8, 8), bool)
+    cut[:, 5] = cut[2, 3] = True
+    return kind, cut.ravel()
+
+
+class UnitTable:
+    """Ids of units, as one flat array; those not used for longest go first."""
+
+    def __init__(self, size: int):
+        self.size, self.tick = size, 0
+        self.units = pa.array([], pa.large_binary())
+        self.ids, self.n, self.used = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places of known units, and which units are not known."""
+        at = pc.index_in(units, value_set=self.units)
+        missing = at.is_null().to_numpy(zero_copy_only=False)
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        self.tick += 1
+        self.used[places[~missing]] = self.tick
+        return places, missing
+
+    def add(self, units: pa.Array, ids: np.ndarray, n: np.ndarray) -> None:
+        """New units with their ids, one after the other."""
+        self.units = pa.concat_arrays([self.units, units])
+        self.ids, self.n = np.concatenate([self.ids, ids]), np.concatenate([self.n, n])
+        self.used = np.concatenate([self.used, np.full(len(n), self.tick)])
+        if len(self.n) > self.size:
+            kept = np.zeros(len(self.n), bool)
+            kept[np.argsort(self.used, kind="stable")[len(self.n) - self.size // 2 :]] = True
+            self.ids = self.ids[np.repeat(kept, self.n)]
+            self.units, self.n, self.used = self.units.filter(pa.array(kept)), self.n[kept], self.used[kept]
 
 
 class UnitEncoder:
     """Ids of whole texts for a library that encodes strings whole, from the ids
-    of units: text between single blanks, where the usual split pattern always
-    starts a new piece.  ``encode_strings(list of str) -> list of bytes``;
-    ``encode_units`` does the same for units that each follow a blank."""
+    of units, cut where the usual split pattern always starts a new piece: before
+    single blanks, before a mark of ``marks`` that follows an ASCII letter, around
+    single line ends between visible ASCII.  ``encode_strings(list of str) -> list of bytes``.
 
-    def __init__(self, encode_strings: Callable[[list[str]], list[bytes]], size: int = MAX_UNITS,
-                 encode_units: Callable[[list[str]], list[bytes]] | None = None):
+    The units of all texts are numbered in one buffer, each is looked up once."""
+
+    def __init__(self, encode_strings: Callable[[list[str]], list[bytes]], size: int = MAX_UNITS, marks: str = MARKS):
         self.encode_strings = encode_strings
-        self.table = IdTable(encode_units or (lambda new: encode_strings([" " + u for u in new])), size)
+        self.kind, self.cut = _cut_table(marks)
+        self.table = UnitTable(size)
+
+    def _units(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The units of all texts, and the first unit of each text (one more than texts)."""
+        coded = [t.encode() for t in texts]
+        start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))])
+        data = b"".join(coded)
+        kind = self.kind[np.frombuffer(data, np.uint8)]
+        first = np.zeros(len(data) + 1, bool)
+        first[1:-1] = self.cut[kind[:-1] << np.uint8(3) | kind[1:]]
+        line = np.flatnonzero(kind[1:-1] == 4) + 1
+        line = line[_VISIBLE[kind[line - 1]] & _VISIBLE[kind[line + 1]]]
+        first[line] = first[line + 1] = True
+        for i, t in enumerate(texts):
+            if _BLANKS(t):  # runs of blanks are pieces of their own: such a text is encoded whole
+                first[start[i] : start[i + 1]] = False
+        first[start] = True
+        offsets = np.flatnonzero(first)
+        units = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        return units, np.searchsorted(offsets, start)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").split(" ") for t in texts]
-        # Runs of blanks are pieces of their own: such a text is encoded whole.
-        plain = [not _BLANKS(t or "") for t in texts]
-        heads = self.encode_strings([units[0] if p else t for t, units, p in zip(texts, cut, plain)])
-        rest = self.table.joined([units[1:] if p else [] for units, p in zip(cut, plain)])
-        return [head + tail for head, tail in zip(heads, rest)]
+        units, first = self._units([t or "" for t in texts])
+        found = units.dictionary_encode()
+        places, missing = self.table.find(found.dictionary)
+        known = self.table
+        start = np.concatenate([[0], np.cumsum(known.n)])
+        fresh = found.dictionary.filter(pa.array(missing))
+        coded = self.encode_strings([u.decode() for u in fresh.to_pylist()])
+        n_new = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        ids = np.frombuffer(b"".join(coded), np.uint32)
+        # Ids of the unit with each number: from the table, or after it the new ones.
+        pool, n, at = np.concatenate([known.ids, ids]), np.zeros(len(places), np.int64), start[places]
+        n[~missing] = known.n[places[~missing]]
+        n[missing], at[missing] = n_new, len(known.ids) + np.cumsum(n_new) - n_new
+        numbers, out = found.indices.to_numpy(), []
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(first, first[i] + _UNITS_AT_ONCE, "right")) - 1)
+            j = min(j, len(texts))
+            own = numbers[first[i] : first[j]]
+            size = n[own]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            flat = pool[np.repeat(at[own] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+            cuts = (4 * ends[first[i : j + 1] - first[i]]).tolist()
+            out += [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+            i = j
+        kept = pc.less_equal(pc.binary_length(fresh), MAX_UNIT_CHARS).to_numpy(zero_copy_only=False)
+        self.table.add(fresh.filter(pa.array(kept)), ids[np.repeat(kept, n_new)], n_new[kept])
+        return out
 
 
 def id_list(ids: list[bytes]) -> pa.Array:

@@ -24,8 +24,11 @@ Shards are rows of a Parquet table, committed by Spark to any store.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from userflow.llm.bpe import UnitEncoder
+from userflow.llm.bpe import MARKS, UnitEncoder
 from userflow.llm.common import arrow_batches, lean_memory
 from userflow.session import materialize, shared_path
 
@@ -51,10 +54,10 @@ MIN_GAIN = 0.01
 MAX_ROUNDS = 24
 PAIRS_PER_ROUND = 4096
 _BUCKETS = 18
-#: Units of text with their ids in one generation of a worker's table.
-MAX_UNITS = 1_100_000
-#: New units that the library encodes as one string.
-UNITS_AT_ONCE = 2048
+#: Units of text with their ids in a worker's table.
+MAX_UNITS = 2_000_000
+#: Bytes of text that are encoded together.
+ENCODE_BYTES = 16 << 20
 
 _MAGIC = b"RPTF\x01\x00\x00\x00"
 SHARDS = "part int, shard int, n_docs long, n_tokens long, data binary"
@@ -76,7 +79,9 @@ def _second_places(seq: np.ndarray, inner: np.ndarray) -> np.ndarray:
 
 
 def _bucket_of(code: np.ndarray) -> np.ndarray:
-    return ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)).astype(np.intp) + 1
+    bucket = code * np.uint32(0x9E3779B1)
+    bucket >>= np.uint32(32 - _BUCKETS)
+    return bucket.astype(np.intp)
 
 
 def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,11 +92,13 @@ def _frequent_pairs(seq: np.ndarray, inner: np.ndarray, limit: int) -> tuple[np.
     pairs are counted exactly.  Chosen pairs have buckets of their own, by which
     their places are found again."""
     inner = _second_places(seq, inner)
-    code = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
+    code = seq[:-1].astype(np.uint32)
+    code <<= np.uint32(16)
+    code |= seq[1:]
     bucket = _bucket_of(code)
-    bucket *= inner  # 0: no pair
+    bucket[~inner] = 1 << _BUCKETS  # no pair
     counts = np.bincount(bucket, minlength=(1 << _BUCKETS) + 1)
-    counts[0] = 0
+    counts[-1] = 0
     enough = max(MIN_COUNT, int(np.partition(counts, -limit)[-limit]))
     places = np.flatnonzero((counts >= enough)[bucket])
     own, own_bucket = code[places], bucket[places]
@@ -245,6 +252,26 @@ class Shard:
             i = j
 
 
+#: One piece of the usual split pattern: Latin letters, which may follow a blank.
+_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: The character that stands for each byte in a byte-level vocabulary.
+_BYTE_CHARS = dict(zip([*_SHOWN, *(b for b in range(256) if b not in _SHOWN)], map(chr, [*_SHOWN, *range(256, 324)])))
+
+
+def _byte_level(word: str) -> str:
+    if word.isascii():
+        return word.replace(" ", "\u0120")
+    return word.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
+def _splits_at_blanks(tokenizer: Tokenizer) -> bool:
+    """Whether texts go to the model as the pieces of the usual split pattern, byte by byte."""
+    steps = json.loads(tokenizer.to_str())
+    cut = steps["pre_tokenizer"] or {}
+    return steps["normalizer"] is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
+
+
 _CODERS: dict[str, UnitEncoder] = {}
 
 
@@ -257,33 +284,36 @@ def worker_tokenizer(name: str, content) -> UnitEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = Tokenizer.from_str(content.value)
 
-        # Whether an id's bytes begin with a blank.
-        blank = np.zeros(tokenizer.get_vocab_size(), bool)
-        blank[[i for t, i in tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
+        model, whole = tokenizer.model, _splits_at_blanks(tokenizer)
 
         def encode_strings(strings: list[str]) -> list[bytes]:
-            coded = tokenizer.encode_batch_fast([s or "" for s in strings], add_special_tokens=False)
-            return [np.array(c.ids, np.uint32).tobytes() for c in coded]
-
-        def encode_units(units: list[str]) -> list[bytes]:
-            """Many units in one string: each begins at an id with a blank."""
-            out = []
-            for i in range(0, len(units), UNITS_AT_ONCE):
-                some = units[i : i + UNITS_AT_ONCE]
-                ids = np.frombuffer(encode_strings([" " + " ".join(some)])[0], np.uint32)
-                cuts = np.append(np.flatnonzero(blank[ids]), len(ids)).tolist()
-                if len(cuts) == len(some) + 1:
-                    data = ids.tobytes()
-                    out += [data[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
-                else:  # another vocabulary may hold blanks elsewhere
-                    out += encode_strings([" " + u for u in some])
-            return out
-
+            """A single word is one piece, which goes to the library's model at once."""
+            one = [whole and _WORD(s) is not None for s in strings]
+            rest = iter(tokenizer.encode_batch_fast([s for s, o in zip(strings, one) if not o], add_special_tokens=False))
+            return [array("I", [t.id for t in model.tokenize(_byte_level(s))] if o else next(rest).ids).tobytes()
+                    for s, o in zip(strings, one)]
+
+        added = "".join(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        marks = "".join(m for m in MARKS if m not in added)  # a special string is never cut
         _CODERS.clear()
-        coder = _CODERS[name] = UnitEncoder(encode_strings, MAX_UNITS, encode_units)
+        coder = _CODERS[name] = UnitEncoder(encode_strings, MAX_UNITS, marks)
     return coder
 
 
+def _together(batches: Iterator[pa.RecordBatch], limit: int = ENCODE_BYTES) -> Iterator[tuple[list, list]]:
+    """Ids and texts of batches of at least ``limit`` bytes together."""
+    doc_ids, texts, size = [], [], 0
+    for batch in batches:
+        doc_ids += batch.column("doc_id").to_pylist()
+        texts += batch.column("text").to_pylist()
+        size += batch.nbytes
+        if size >= limit:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, texts
+
+
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> None:
     """Write the ids of all texts, in ascending id order (null ids first, equal
@@ -313,9 +343,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
                     (part, shard, len(held), size, pack_shard(held_ids, held, first)), _SHARDS_ARROW)],
                 schema=_SHARDS_ARROW)
 
-        for batch in batches:
-            coded = coder.encode(batch.column("text").to_pylist())
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
+        for doc_ids, texts in _together(batches):
+            for doc_id, ids in zip(doc_ids, coder.encode(texts)):
                 held_ids.append(doc_id)
                 held.append(np.concatenate([np.frombuffer(ids, np.uint32), end]))
                 size += len(held[-1])
