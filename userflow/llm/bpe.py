@@ -314,24 +314,28 @@ _BLANKS = re.compile(r" (?:\s|\Z)").search
 #: Marks that start a new piece after a letter; a single line end is a piece by itself.
 MARKS = ",.;:!?\n"
 #: Units whose ids are put together at once.
-_UNITS_AT_ONCE = 1 << 18
+_UNITS_AT_ONCE = 1 << 15
 
 
-_VISIBLE = np.array([False, True, True, True, False, False])
+_VISIBLE = np.array([False, True, True, True, False, False, False])
+_CUT, _ODD = 1, 2
 
 
 def _cut_table(marks: str) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each byte (1 - 3: ASCII other than white space), and whether a text
-    is cut between two classes (8 * first + second)."""
+    """The class of each byte (1 - 3: visible ASCII), and for two classes (8 * first +
+    second) whether a text is cut between them, and whether they may be a blank
+    and white space."""
     kind = np.zeros(256, np.uint8)
     kind[33:127] = 1
     kind[[*range(65, 91), *range(97, 123)]] = 2
     kind[list(marks.replace("\n", "").encode())] = 3
     kind[32] = 5
+    kind[[*range(9, 14), *range(28, 32), 0xC2, 0xE1, 0xE2, 0xE3]] = 6  # these bytes begin the other white space
     if "\n" in marks:
         kind[10] = 4
-    cut = np.zeros((8, 8), bool)
-    cut[:, 5] = cut[2, 3] = True
+    cut = np.zeros((8, 8), np.uint8)
+    cut[:, 5] = cut[2, 3] = _CUT
+    cut[5, 4:7] |= _ODD
     return kind, cut.ravel()
 
 
@@ -384,12 +388,15 @@ class UnitEncoder:
         data = b"".join(coded)
         kind = self.kind[np.frombuffer(data, np.uint8)]
         first = np.zeros(len(data) + 1, bool)
-        first[1:-1] = self.cut[kind[:-1] << np.uint8(3) | kind[1:]]
+        pairs = self.cut[kind[:-1] << np.uint8(3) | kind[1:]]
+        first[1:-1] = pairs & _CUT
         line = np.flatnonzero(kind[1:-1] == 4) + 1
         line = line[_VISIBLE[kind[line - 1]] & _VISIBLE[kind[line + 1]]]
         first[line] = first[line + 1] = True
-        for i, t in enumerate(texts):
-            if _BLANKS(t):  # runs of blanks are pieces of their own: such a text is encoded whole
+        ends = start[1:][start[1:] > 0] - 1
+        odd = np.concatenate([np.flatnonzero(pairs & _ODD), ends[kind[ends] == 5]])
+        for i in np.unique(np.searchsorted(start, odd, "right") - 1).tolist():
+            if _BLANKS(texts[i]):  # runs of blanks are pieces of their own: such a text is encoded whole
                 first[start[i] : start[i + 1]] = False
         first[start] = True
         offsets = np.flatnonzero(first)
@@ -407,7 +414,7 @@ class UnitEncoder:
         n_new = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         ids = np.frombuffer(b"".join(coded), np.uint32)
         # Ids of the unit with each number: from the table, or after it the new ones.
-        pool, n, at = np.concatenate([known.ids, ids]), np.zeros(len(places), np.int64), start[places]
+        pool, n, at = np.concatenate([known.ids, ids]), np.zeros(len(places), np.int32), start[places]
         n[~missing] = known.n[places[~missing]]
         n[missing], at[missing] = n_new, len(known.ids) + np.cumsum(n_new) - n_new
         numbers, out = found.indices.to_numpy(), []
@@ -418,7 +425,9 @@ class UnitEncoder:
             own = numbers[first[i] : first[j]]
             size = n[own]
             ends = np.concatenate([[0], np.cumsum(size)])
-            flat = pool[np.repeat(at[own] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+            place = np.repeat(at[own] - ends[:-1], size)
+            place += np.arange(ends[-1])
+            flat = pool[place].tobytes()
             cuts = (4 * ends[first[i : j + 1] - first[i]]).tolist()
             out += [flat[a:b] for a, b in zip(cuts, cuts[1:])]
             i = j
