@@ -3,14 +3,19 @@
 import base64
 import gc
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import weakref
 import zlib
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -151,6 +156,38 @@ def test_unit_table_keeps_what_was_used_last():
     assert not any(len(u) > bpe.MAX_UNIT_CHARS for u in table.units.to_pylist())
 
 
+def test_units_are_found_whichever_side_is_larger():
+    table = bpe.UnitTable(1000)
+    words_of = lambda ns: pa.array([b"u%d" % i for i in ns], pa.large_binary())
+    table.add(words_of(range(100)), np.arange(100, dtype=np.uint32), np.ones(100, np.int64))
+    for asked in ([], [150], [99, 200, 0, 7], range(50, 150), range(60, 300)):
+        places, missing = table.find(words_of(asked))
+        assert missing.tolist() == [i >= 100 for i in asked]
+        assert places.tolist() == [i if i < 100 else 0 for i in asked]
+        assert set(np.flatnonzero(table.used == table.tick).tolist()) == {i for i in asked if i < 100}
+
+
+def test_shards_after_the_first_are_made_in_memory_at_hand():
+    code = """
+import resource
+import numpy as np, pyarrow as pa
+from userflow.llm import common, token_files
+common.lean_memory()
+faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+ids = (np.random.default_rng(1).zipf(1.3, 1 << 19) % 50000).astype(np.uint32).tobytes()
+class Coder:
+    encode = staticmethod(lambda texts: [ids] * len(texts))
+rows = pa.record_batch({"doc_id": pa.array(range(6)), "text": pa.array(["x"] * 6)})
+seen = [(faults(), row) for row in token_files.shard_rows(iter([rows]), Coder, 0, 50257, shard_ids=1 << 19)]
+assert all((token_files.Shard(r.column("data")[0].as_py()).document(0)[:-1] == np.frombuffer(ids, np.uint32)).all() for _, r in seen)
+print(len(seen), seen[-1][0] - seen[1][0])
+"""
+    root = Path(__file__).parents[2]
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": str(root)}, capture_output=True, text=True, check=True)
+    shards, faults = map(int, out.stdout.split())
+    assert shards == 6 and faults < 4 * 5000  # fresh pages: some 20,000 a shard when every large array is one
+
+
 def test_utf8_stream_over_every_cut():
     text = "aé日😀z" * 3
     data = text.encode()

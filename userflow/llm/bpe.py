@@ -348,10 +348,18 @@ class UnitTable:
         self.ids, self.n, self.used = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def find(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Places of known units, and which units are not known."""
-        at = pc.index_in(units, value_set=self.units)
-        missing = at.is_null().to_numpy(zero_copy_only=False)
-        places = at.fill_null(0).to_numpy().astype(np.int64)
+        """Places of known units, and which units are not known (``units`` are distinct).
+        The smaller side is hashed, the larger one looked up in it."""
+        if len(units) < len(self.units):
+            number = pc.index_in(self.units, value_set=units)
+            known = number.is_valid().to_numpy(zero_copy_only=False)
+            places, missing = np.zeros(len(units), np.int64), np.ones(len(units), bool)
+            number = number.drop_null().to_numpy()
+            places[number], missing[number] = np.flatnonzero(known), False
+        else:
+            at = pc.index_in(units, value_set=self.units)
+            missing = at.is_null().to_numpy(zero_copy_only=False)
+            places = at.fill_null(0).to_numpy().astype(np.int64)
         self.tick += 1
         self.used[places[~missing]] = self.tick
         return places, missing
@@ -410,7 +418,7 @@ class UnitEncoder:
         known = self.table
         start = np.concatenate([[0], np.cumsum(known.n)])
         fresh = found.dictionary.filter(pa.array(missing))
-        coded = self.encode_strings([u.decode() for u in fresh.to_pylist()])
+        coded = self.encode_strings(fresh.cast(pa.large_string()).to_pylist())
         n_new = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         ids = np.frombuffer(b"".join(coded), np.uint32)
         # Ids of the unit with each number: from the table, or after it the new ones.

@@ -72,6 +72,11 @@ def unpack(df: DataFrame) -> DataFrame:
     return df.select("_row.*")
 
 
+#: A lean worker gives freed arrays of this size back at once.
+LEAN_BYTES = 1 << 20
+#: Inside reused_memory: the size below which freed arrays stay, and what may stay at the end of the heap.
+REUSED_BYTES, KEPT_BYTES = 16 << 20, 64 << 20
+_MMAP_THRESHOLD, _TRIM_THRESHOLD = -3, -1  # options of mallopt
 _LEAN: list[bool] = []
 _TABLES: dict = {}
 
@@ -86,14 +91,19 @@ def worker_table(key: Hashable, build: Callable[[], object]):
     return _TABLES[key]
 
 
+def _malloc(call: str, *values: int) -> None:
+    """A setting of the GNU C library's allocator; another library has none."""
+    try:
+        getattr(ctypes.CDLL(None), call)(*values)
+    except (OSError, AttributeError):
+        pass
+
+
 def _drop_tables() -> None:
     if not _TABLES:
         return
     _TABLES.clear()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
+    _malloc("malloc_trim", 0)
 
 
 def lean_memory(keep: Hashable = None) -> None:
@@ -106,10 +116,22 @@ def lean_memory(keep: Hashable = None) -> None:
         return
     _LEAN.append(True)
     pa.set_memory_pool(pa.system_memory_pool())
+    _malloc("mallopt", _MMAP_THRESHOLD, LEAN_BYTES)
+
+
+@contextmanager
+def reused_memory() -> Iterator[None]:
+    """Inside the block, arrays of up to REUSED_BYTES take the place of freed ones:
+    for work that makes the same arrays again and again, fresh pages cost more
+    than the work itself.  At its end all is lean again and what is free given back."""
+    _malloc("mallopt", _MMAP_THRESHOLD, REUSED_BYTES)
+    _malloc("mallopt", _TRIM_THRESHOLD, KEPT_BYTES)
     try:
-        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD of the GNU C library
-    except (OSError, AttributeError):  # another C library
-        pass
+        yield
+    finally:
+        _malloc("mallopt", _MMAP_THRESHOLD, LEAN_BYTES)
+        _malloc("mallopt", _TRIM_THRESHOLD, 128 << 10)
+        _malloc("malloc_trim", 0)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

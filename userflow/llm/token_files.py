@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from userflow.llm.bpe import MARKS, UnitEncoder
-from userflow.llm.common import arrow_batches, lean_memory
+from userflow.llm.common import arrow_batches, lean_memory, reused_memory
 from userflow.session import materialize, shared_path
 
 END_ID = 0
@@ -314,6 +314,30 @@ def _together(batches: Iterator[pa.RecordBatch], limit: int = ENCODE_BYTES) -> I
         yield doc_ids, texts
 
 
+def shard_rows(batches: Iterator[pa.RecordBatch], coder: UnitEncoder, part: int, first: int, end_id: int = END_ID,
+               shard_ids: int = SHARD_IDS) -> Iterator[pa.RecordBatch]:
+    """The shards of documents (doc_id, text) in their order, a row each."""
+    shard, held_ids, held, size, end = 0, [], [], 0, np.array([end_id], np.uint32)
+
+    def close() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], f.type) for v, f in zip(
+                (part, shard, len(held), size, pack_shard(held_ids, held, first)), _SHARDS_ARROW)],
+            schema=_SHARDS_ARROW)
+
+    with reused_memory():
+        for doc_ids, texts in _together(batches):
+            for doc_id, ids in zip(doc_ids, coder.encode(texts)):
+                held_ids.append(doc_id)
+                held.append(np.concatenate([np.frombuffer(ids, np.uint32), end]))
+                size += len(held[-1])
+                if size >= shard_ids:
+                    yield close()
+                    shard, held_ids, held, size = shard + 1, [], [], 0
+        if held:
+            yield close()
+
+
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> None:
     """Write the ids of all texts, in ascending id order (null ids first, equal
@@ -330,29 +354,11 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str, id_col: str =
     first = max(Tokenizer.from_str(text).get_vocab_size(), end_id + 1)
     if first > MAX_SYMBOL:
         raise ValueError("symbols are 16 bits wide; this vocabulary has more ids")
-    end = np.array([end_id], np.uint32)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean_memory()
         coder = worker_tokenizer(name, content)
-        part, shard, held_ids, held, size = TaskContext.get().partitionId(), 0, [], [], 0
-
-        def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], f.type) for v, f in zip(
-                    (part, shard, len(held), size, pack_shard(held_ids, held, first)), _SHARDS_ARROW)],
-                schema=_SHARDS_ARROW)
-
-        for doc_ids, texts in _together(batches):
-            for doc_id, ids in zip(doc_ids, coder.encode(texts)):
-                held_ids.append(doc_id)
-                held.append(np.concatenate([np.frombuffer(ids, np.uint32), end]))
-                size += len(held[-1])
-                if size >= shard_ids:
-                    yield close()
-                    shard, held_ids, held, size = shard + 1, [], [], 0
-        if held:
-            yield close()
+        yield from shard_rows(batches, coder, TaskContext.get().partitionId(), first, end_id, shard_ids)
 
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -365,19 +371,21 @@ def read_documents(table: DataFrame) -> DataFrame:
     start counts the ids of all documents before it."""
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                shard = Shard(batch.column("data")[i].as_py())
-                crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in shard.documents()]
-                n = len(crc)
-                yield pa.record_batch({
-                    "part": pa.array(np.full(n, batch.column("part")[i].as_py(), np.int32)),
-                    "shard": pa.array(np.full(n, batch.column("shard")[i].as_py(), np.int32)),
-                    "doc_id": pa.array(shard.doc_ids, pa.int64()),
-                    "at": pa.array(shard.token_at[:-1].astype(np.int64)),
-                    "n_tokens": pa.array(np.diff(shard.token_at).astype(np.int64)),
-                    "ids_crc32": pa.array(crc, pa.int64()),
-                })
+        lean_memory()
+        with reused_memory():
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    shard = Shard(batch.column("data")[i].as_py())
+                    crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in shard.documents()]
+                    n = len(crc)
+                    yield pa.record_batch({
+                        "part": pa.array(np.full(n, batch.column("part")[i].as_py(), np.int32)),
+                        "shard": pa.array(np.full(n, batch.column("shard")[i].as_py(), np.int32)),
+                        "doc_id": pa.array(shard.doc_ids, pa.int64()),
+                        "at": pa.array(shard.token_at[:-1].astype(np.int64)),
+                        "n_tokens": pa.array(np.diff(shard.token_at).astype(np.int64)),
+                        "ids_crc32": pa.array(crc, pa.int64()),
+                    })
 
     rows = table.select("part", "shard", "data").mapInArrow(
         documents, "part int, shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
